@@ -162,3 +162,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = join_groups(rows.select("doc_id", "n_shingles", "set_key"), labelled, "set_key", "members", total)
     label = F.coalesce("component_id", "doc_id")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", label.alias("component_id"), F.col("doc_id").eqNullSafe(label).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of docs that are the least id of their component, with their columns."""
+    gone = near_components(docs, percent=percent).filter("not kept").select("doc_id")
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)

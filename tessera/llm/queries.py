@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .language_id import held_out, identify, train
 from .near_dedup import near_components
+from .packing import pack
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +34,13 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {"op8_exact_dedup": op8_exact_dedup, "op9_near_dedup": op9_near_dedup}
+QUERIES = {
+    "op2_packing": op2_packing,
+    "op3_decontaminate": op3_decontaminate,
+    "op7_language_id": op7_language_id,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
+}
 
 SQL = {
     "op8_exact_dedup": """
