@@ -11,6 +11,11 @@ from .exact_dedup import exact_dedup
 from .language_id import held_out, identify, train
 from .near_dedup import near_components
 from .packing import pack
+from .substring_dedup import remove_repeats
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +40,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op7_language_id": op7_language_id,

@@ -45,3 +45,20 @@ def near_components(rows, percent):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+def remove_repeats(rows, window):
+    """doc_id -> (n_words, n_removed, kept words joined)."""
+    places = defaultdict(int)
+    split = [(i, words(t)) for i, t in rows]
+    for _, w in split:
+        for k in range(len(w) - window + 1):
+            places[tuple(w[k : k + window])] += 1
+    out = {}
+    for i, w in split:
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if places[tuple(w[k : k + window])] > 1:
+                gone.update(range(k, k + window))
+        out[i] = (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
+    return out
