@@ -12,6 +12,8 @@ from .language_id import held_out, identify, train
 from .near_dedup import near_components
 from .packing import pack
 from .substring_dedup import remove_repeats
+from .toxicity import score_toxicity
+from .toxicity import train as train_toxicity
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= 0.3).cast("int")})
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
@@ -43,6 +51,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
