@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Stages, connected_components, join_groups
 from .textkit import U, chunks, inner, mix, texts_of, windows, words_of
 
 SIZE = 128  # coordinates of a sketch
-BAND_ROWS = 4  # a pair at similarity 0.85 misses all 32 bands once in 10^10
+BAND_ROWS = 5  # a pair at similarity 0.85 misses all 25 bands less than once in 10^6
+CROWD = 8  # members from which a bucket counts the shingles that are a member's own
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 _SEEDS = mix(np.arange(1, 2 * SIZE + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
@@ -68,7 +69,7 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
 def band_keys(sketches: np.ndarray) -> np.ndarray:
     """A 64-bit key per band; the band's number is part of it."""
     bands = SIZE // BAND_ROWS
-    parts = sketches.reshape(len(sketches), bands, BAND_ROWS)
+    parts = sketches[:, : bands * BAND_ROWS].reshape(len(sketches), bands, BAND_ROWS)
     key = np.broadcast_to(_SEEDS[:bands], parts.shape[:2]).copy()
     for k in range(BAND_ROWS):
         key = mix(key * U(0xD6E8FEB86659FD93) + parts[:, :, k])
@@ -93,6 +94,12 @@ def _set_blobs(frames):
         yield pd.DataFrame({"id": part["doc_id"], "items": [s.tobytes() for s in shingle_sets(texts_of(part["text"]))]})
 
 
+def _items(frames):
+    for frame in frames:
+        items = [np.frombuffer(x, np.int64) for x in frame["items"]]
+        yield pd.DataFrame({"id": np.repeat(frame["id"].to_numpy(np.int64), [len(x) for x in items]), "g": np.concatenate(items)})
+
+
 def _verifier(percent: int):
     def verify(frames):
         for frame in frames:
@@ -112,10 +119,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Link texts whose shingle sets have 100 * |A and B| >= percent * |A or B|; label components.
 
     Rows with equal sets form a class first, however many they are.  Classes
-    meet in band buckets; each bucket links its members to its least one, never
-    all to all.  Where a bucket then still spans several components, its members
-    outside its largest component are compared with all others of it, so no link
-    between candidate classes is lost.  Every link is confirmed on the full sets.
+    meet in band buckets, and each bucket compares its members with one of them,
+    the one whose shingles are the most widespread, never all with all.  What a
+    bucket then still holds apart is compared further: in a small bucket, members
+    of different components; in crowded ones, classes of different components
+    that share one of their rarest shingles early enough to be similar (the exact
+    prefix filter).  So no link between candidate classes is lost, and each is
+    confirmed on the full sets.
 
     Null or empty texts have n_shingles 0 and stay alone.  Returns id_col,
     n_shingles, component_id (least id of the component) and kept (id equals
@@ -131,11 +141,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "classes",
     )
     spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("m")).filter("m > 1")
-    members = stages.keep(spread.join(shared, "bucket").select("bucket", "id", "n", "center"), "buckets")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
+    members = stages.keep(spread.join(shared, "bucket").select("bucket", "id", "n", "m"), "buckets")
     sets = stages.keep(base.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]).mapInPandas(_set_blobs, "id long, items binary"), "sets")
     size_of = members.select("id", "n").distinct()
 
+    # in crowded buckets: how many classes have each shingle
+    crowd = members.filter(F.col("m") >= CROWD).select("id").distinct()
+    items = sets.join(crowd, "id", "left_semi").mapInPandas(_items, "id long, g long")
+    shingles = stages.keep(items.join(items.groupBy("g").agg(F.count("*").alias("k")), "g"), "shingles")
+    typical = shingles.groupBy("id").agg(F.avg("k").alias("typical"))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """pairs(a, b) that pass on size and then on the full sets."""
         fit = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
@@ -143,21 +159,33 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = pairs.join(size_of.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size_of.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b").filter(fit).select("a", "b")
         return near.join(a, "a").join(b, "b").select("a", "b", "items_a", "items_b").mapInPandas(_verifier(percent), "a long, b long")
 
-    tried = stages.keep(members.filter("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), "star-pairs")
+    def components(links: DataFrame) -> DataFrame:
+        return stages.keep(connected_components(stages, links), "components")
+
+    centers = members.join(typical, "id", "left").groupBy("bucket").agg(F.min(F.struct((-F.coalesce("typical", F.lit(0))).alias("r"), "id")).alias("c")).select("bucket", F.col("c.id").alias("center"))
+    tried = stages.keep(members.join(centers, "bucket").filter("id <> center").select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct(), "star-pairs")
     links = stages.keep(confirmed(tried), "star-links")
-    comp = stages.keep(connected_components(stages, links), "components")
-    placed = stages.keep(members.join(comp, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("comp")), "placed")
+    comp = components(links)
+
+    # similar classes share one of their rarest shingles, no later in either than position n - percent % of n + 1
+    prefix = (
+        shingles.join(size_of, "id").withColumn("pos", F.row_number().over(Window.partitionBy("id").orderBy("k", "g")))
+        .filter(f"100 * (n - pos + 1) >= {percent} * n and k > 1").select(F.col("g").alias("bucket"), "id", "n", "pos")
+    )
+    met = members.filter(F.col("m") < CROWD).select("bucket", "id", "n", F.lit(1).alias("pos")).unionByName(prefix)
+    placed = stages.keep(met.join(comp, "id", "left").select("bucket", "id", "n", "pos", F.coalesce("component", "id").alias("comp")), "placed")
     parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     split = parts.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("top.comp").alias("main"))
     open_rows = stages.keep(placed.join(split, "bucket"), "open")
-    outside = open_rows.filter("comp <> main").select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    outside = open_rows.filter("comp <> main").select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("comp").alias("cx"))
+    most = "least(nx - px, n - pos) + 1"  # what two classes can share from these positions on
     rest = (
-        outside.join(open_rows, "bucket").filter("cx <> comp").filter(f"100 * least(nx, n) >= {percent} * greatest(nx, n)")
+        outside.join(open_rows, "bucket").filter(f"cx <> comp and 100 * ({most}) >= {percent} * (nx + n - ({most}))")
         .select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     )
     more = stages.keep(confirmed(stages.keep(rest, "rest-pairs")), "rest-links")
     if not more.isEmpty():
-        comp = stages.keep(connected_components(stages, links.unionByName(more)), "components")
+        comp = components(links.unionByName(more))
     labelled = classes.join(comp, "id", "left").select("set_key", "members", F.coalesce("component", "id").alias("component_id"))
     out = join_groups(rows.select("doc_id", "n_shingles", "set_key"), labelled, "set_key", "members", total)
     label = F.coalesce("component_id", "doc_id")
