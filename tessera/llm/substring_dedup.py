@@ -123,19 +123,37 @@ def _repeated(doc: np.ndarray, at: np.ndarray, *keys: np.ndarray) -> tuple[np.nd
     return order, np.bincount(group, moved)[group] > 0
 
 
-def _by_doc(bucket: int, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """Places as one row per text."""
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
+def _by_group(bucket: int, groups: int, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+    """Places as one row per group of texts, so that rows do not multiply with the texts a bucket meets."""
+    group = (doc.view(U) >> U(7)) % U(groups)
+    order = np.lexsort((at, doc, group))
+    group, doc, at = group[order].astype(np.int64), doc[order], at[order].astype(np.uint32)
     fresh = np.ones(len(doc), bool)
     fresh[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
-    doc, at = doc[fresh], at[fresh]
-    edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    parts = np.split(at.astype(np.uint32), edge[1:]) if len(doc) else []
-    return pd.DataFrame({"bucket": np.int32(bucket), "kind": "hit", "src": doc[edge], "h": None, "h2": None, "doc": None, "at": [p.tobytes() for p in parts]})
+    group, doc, at = group[fresh], doc[fresh], at[fresh]
+    edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    docs, ats = (np.split(x, edge[1:]) if len(doc) else [] for x in (doc, at))
+    return pd.DataFrame({"bucket": np.int32(bucket), "kind": "hit", "src": group[edge], "h": None, "h2": None, "doc": [p.tobytes() for p in docs], "at": [p.tobytes() for p in ats]})
 
 
-def _merge(compact: bool):
+def _per_text(frames):
+    """Places from all buckets, one row per text; the rows come sorted by group."""
+    for _, rows in _gathered(frames):
+        doc = np.concatenate([np.frombuffer(r.doc, np.int64) for r in rows])
+        at = np.concatenate([np.frombuffer(r.at, np.uint32) for r in rows])
+        order = np.lexsort((at, doc))
+        doc, at = doc[order], at[order]
+        edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        yield pd.DataFrame({"key": doc[edge], "at": [p.tobytes() for p in np.split(at, edge[1:])]})
+
+
+def _places(rows: DataFrame, groups: int) -> DataFrame:
+    """(key, at) with all places of a text in one row, from rows of _by_group."""
+    dealt = rows.select(F.col("src").alias("bucket"), "doc", "at").repartition(groups, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInPandas(_per_text, "key long, at binary")
+
+
+def _merge(compact: bool, n_buckets: int):
     """Merge a bucket's batch with its runs: a new run (of all, if compacting) and the hits that the batch brings."""
 
     def run(frames):
@@ -146,7 +164,7 @@ def _merge(compact: bool):
             s = h[order]
             group = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]])) - 1
             news = np.bincount(group, fresh[order])[group] > 0
-            yield _by_doc(bucket, doc[order][hit & news], at[order][hit & news])
+            yield _by_group(bucket, n_buckets, doc[order][hit & news], at[order][hit & news])
             keep = order if compact else order[fresh[order]]
             if len(keep):
                 yield pd.DataFrame({"bucket": np.int32(bucket), "kind": "run", "src": np.int64(0), "h": [h[keep].tobytes()], "h2": None, "doc": [doc[keep].tobytes()], "at": [at[keep].tobytes()]})
@@ -162,7 +180,7 @@ class FingerprintIndex:
         self.runs: list[DataFrame] = []
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """batch(key, text) -> hits(key, at): anchors, in it or in the runs, that it repeats.
+        """batch(key, text) -> hits, packed by _by_group: anchors, in it or in the runs, that it repeats.
 
         When fan_in runs have gathered, the new run takes them all in.
         """
@@ -170,10 +188,10 @@ class FingerprintIndex:
         rows = batch.mapInPandas(_anchor_rows(self.window, self.n_buckets), _BUCKET)
         for old in self.runs:
             rows = rows.unionByName(old)
-        merged = rows.repartition(self.n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_merge(compact), _BUCKET)
+        merged = rows.repartition(self.n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_merge(compact, self.n_buckets), _BUCKET)
         written = self.stages.keep(merged, "run")
         self.runs = ([] if compact else self.runs) + [written.filter("kind = 'run'")]
-        return written.filter("kind = 'hit'").select(F.col("src").alias("key"), "at")
+        return written.filter("kind = 'hit'")
 
 
 def _window_rows(window: int, n_buckets: int):
@@ -184,9 +202,8 @@ def _window_rows(window: int, n_buckets: int):
                 words = words_of(texts_of(part["text"]))
                 starts, pos, _ = anchors(words.hash, words.first, window)
                 wanted = np.zeros(int(words.first[-1]) + 1, bool)
-                for k, blobs in enumerate(part["hits"]):
-                    for blob in blobs:
-                        wanted[words.first[k] + np.frombuffer(blob, np.uint32).astype(np.int64)] = True
+                for k, blob in enumerate(part["hits"]):
+                    wanted[words.first[k] + np.frombuffer(blob, np.uint32).astype(np.int64)] = True
                 starts = starts[wanted[pos]]
                 whole = windows(words.hash, window)[starts]
                 other = windows(words.hash, window, ALT_WORD_BASE)[starts]
@@ -198,25 +215,28 @@ def _window_rows(window: int, n_buckets: int):
     return run
 
 
-def _verify(frames):
-    for bucket, rows in _gathered(frames):
-        h, h2, doc, at = (np.concatenate([np.frombuffer(getattr(r, c), t) for r in rows]) for c, t in (("h", U), ("h2", np.uint32), ("doc", np.int64), ("at", np.uint32)))
-        order, hit = _repeated(doc, at, h2, h)
-        yield _by_doc(bucket, doc[order][hit], at[order][hit])
+def _verify(n_buckets: int):
+    def run(frames):
+        for bucket, rows in _gathered(frames):
+            h, h2, doc, at = (np.concatenate([np.frombuffer(getattr(r, c), t) for r in rows]) for c, t in (("h", U), ("h2", np.uint32), ("doc", np.int64), ("at", np.uint32)))
+            order, hit = _repeated(doc, at, h2, h)
+            yield _by_group(bucket, n_buckets, doc[order][hit], at[order][hit])
+
+    return run
 
 
 def _strip(window: int, with_text: bool):
     def run(frames):
         for part in chunks(frames):
             out = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            for text, copies, blobs in zip(texts_of(part["text"]), part["copies"], part["starts"], strict=True):
+            for text, copies, blob in zip(texts_of(part["text"]), part["copies"], part["starts"], strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 cover = np.zeros(len(words) + 1, np.int64)
                 if len(words) >= window:
                     if copies > 1:
                         starts = np.arange(len(words) - window + 1)
                     else:
-                        starts = np.unique(np.concatenate([np.frombuffer(b, np.uint32) for b in blobs])).astype(np.int64) if blobs is not None and len(blobs) else np.zeros(0, np.int64)
+                        starts = np.frombuffer(blob or b"", np.uint32).astype(np.int64)
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, starts + window, -1)
                 gone = np.cumsum(cover)[:-1] > 0
@@ -263,12 +283,13 @@ def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 2, bucket_c
     for k in range(batches):
         found = index.add(base.filter(F.pmod(F.shiftright("key", 8), F.lit(batches)) == k).select("key", "text"))
         hits = found if hits is None else hits.unionByName(found)
-    by_text = hits.groupBy("key").agg(F.collect_list("at").alias("hits"))
-    rows = base.select("key", "text").join(by_text, "key").mapInPandas(_window_rows(window, n_buckets), _BUCKET)
-    starts = stages.keep(rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_verify, _BUCKET).select(F.col("src").alias("key"), "at"), "starts")
+    by_text = stages.keep(_places(hits, n_buckets), "hits")
+    rows = base.select("key", "text").join(by_text.withColumnRenamed("at", "hits"), "key").mapInPandas(_window_rows(window, n_buckets), _BUCKET)
+    starts = stages.keep(rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_verify(n_buckets), _BUCKET), "verified")
     release()
-    per_text = copies.filter("copies = 1").join(starts.groupBy("key").agg(F.collect_list("at").alias("starts")), "key").select("key", F.lit(1).cast("long").alias("copies"), "starts")
-    marks = per_text.unionByName(copies.filter("copies > 1").select("key", "copies", F.lit(None).cast("array<binary>").alias("starts")))
+    starts = stages.keep(_places(starts, n_buckets), "starts")
+    per_text = copies.filter("copies = 1").join(starts.withColumnRenamed("at", "starts"), "key").select("key", F.lit(1).cast("long").alias("copies"), "starts")
+    marks = per_text.unionByName(copies.filter("copies > 1").select("key", "copies", F.lit(None).cast("binary").alias("starts")))
     joined = join_groups(base, marks, "key", "copies", int(total or 0)).select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "starts")
     out = joined.mapInPandas(_strip(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return out if with_text else out.drop("kept_text")
