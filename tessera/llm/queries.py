@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .html_text import extract_main_text
 from .language_id import held_out, identify, train
 from .near_dedup import near_components
 from .packing import pack
+from .secret_scan import digest, find_secrets
 from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .toxicity import train as train_toxicity
+from .warc import build_derivatives, responses
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +37,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= 0.3).cast("int")})
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
@@ -47,14 +58,22 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = build_derivatives(responses(table(spark, sf_dir, "pages")))
+    return out.withColumn("headers", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("headers"))))).withColumn("block_sha256", F.sha2("block", 256)).drop("block")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op4_toxicity": op4_toxicity,
+    "op5_html_text": op5_html_text,
+    "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
+    "op10_warc": op10_warc,
 }
 
 SQL = {
