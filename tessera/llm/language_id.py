@@ -119,8 +119,16 @@ def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashe
     the highest one.  Only the most_grams commonest n-grams reach the driver.
     None if no row can be learnt from.
     """
-    eligible = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    sample = eligible.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= per_language).select("lang", "text")
+    eligible = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 31) - 1)).alias("u"))
+    sizes = {r["lang"]: r["n"] for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(65).collect()}
+    if not sizes:
+        return None
+    # a cut that about twice the wanted rows pass, so that few rows and not whole languages are ranked
+    below = F.lit(False)
+    for name, n in sizes.items():
+        below = below | ((F.col("lang") == name) & (F.col("u") < int((1 << 31) * min(1.0, 2 * per_language / n))))
+    ranked = eligible.filter(below).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u")))
+    sample = ranked.filter(F.col("r") <= per_language).select("lang", "text")
 
     def count(frames):
         for part in chunks(frames):
