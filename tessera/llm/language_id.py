@@ -48,16 +48,15 @@ def grams(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         m = len(x) - n + 1
         if m <= 0:
             continue
-        ok = letter[1 : 1 + m].copy() if n > 1 else letter[:m].copy()
-        for k in range(1, n - 1):
+        ok = letter[1 : 1 + m].copy() if n > 2 else letter[:m] | letter[1 : 1 + m]
+        for k in range(2, n - 1):
             ok &= letter[k : k + m]
-        ok &= letter[:m] | letter[n - 1 : n - 1 + m]
         at = np.flatnonzero(ok)
         h = x[at]
         for k in range(1, n):
             h = h * U(0x110001) + x[at + k]
         all_hashes.append(mix(h + U(n * 0x1E3779B97F4A7C15)))
-        owners.append(owner[at + (1 if n > 1 else 0)])
+        owners.append(owner[at + 1])
     return np.concatenate(all_hashes) if all_hashes else np.zeros(0, U), np.concatenate(owners) if owners else np.zeros(0, np.int32), has
 
 
