@@ -162,6 +162,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, least: f
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that resemble no benchmark item."""
-    found = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that resemble no benchmark item; rows without an id are judged together."""
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")

@@ -40,7 +40,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, keep: str = "max") -> DataFrame:
-    """The rows of docs that stay, whole and with their columns."""
+    """The rows of docs that stay, whole and with their columns.
+
+    Rows that repeat both id and text stay together; of rows without an id, one
+    group of equal texts stays if no row with an id has that text.
+    """
     norm = ascii_lower(F.col("text"))
-    best = docs.select("doc_id", norm.alias("norm")).groupBy(F.unhex(F.md5("norm")).alias("h"), "norm").agg(getattr(F, keep)("doc_id").alias("_keep"))
-    return docs.join(best.select(F.col("_keep").alias("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+    best = docs.select("doc_id", norm.alias("norm")).groupBy(F.unhex(F.md5("norm")).alias("_h"), "norm").agg(getattr(F, keep)("doc_id").alias("_keep")).select("_h", "_keep")
+    same = F.unhex(F.md5(ascii_lower(docs["text"]))) == best["_h"]
+    return docs.join(best, same & docs["doc_id"].eqNullSafe(best["_keep"]), "left_semi")

@@ -129,14 +129,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null or empty texts have n_shingles 0 and stay alone.  Returns id_col,
     n_shingles, component_id (least id of the component) and kept (id equals
-    component_id), one row per input row; rows repeating id and text agree.
+    component_id), one row per input row; rows repeating id and text agree.  Rows
+    without an id never lead: they join the component of an equal text that has
+    one, and are otherwise alone (component_id null).
     """
     stages = Stages(docs.sparkSession, "near")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stages.keep(base.mapInPandas(_signatures, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
     total = rows.count()
     classes = stages.keep(
-        rows.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r"), F.count("*").alias("members"))
+        rows.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "bands")).alias("r"), F.count("*").alias("members"))
         .select("set_key", "members", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), F.col("r.bands").alias("bands")),
         "classes",
     )
