@@ -283,11 +283,13 @@ def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 2, bucket_c
     for k in range(batches):
         found = index.add(base.filter(F.pmod(F.shiftright("key", 8), F.lit(batches)) == k).select("key", "text"))
         hits = found if hits is None else hits.unionByName(found)
+        release()
     by_text = stages.keep(_places(hits, n_buckets), "hits")
     rows = base.select("key", "text").join(by_text.withColumnRenamed("at", "hits"), "key").mapInPandas(_window_rows(window, n_buckets), _BUCKET)
     starts = stages.keep(rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_verify(n_buckets), _BUCKET), "verified")
     release()
     starts = stages.keep(_places(starts, n_buckets), "starts")
+    release()
     per_text = copies.filter("copies = 1").join(starts.withColumnRenamed("at", "starts"), "key").select("key", F.lit(1).cast("long").alias("copies"), "starts")
     marks = per_text.unionByName(copies.filter("copies > 1").select("key", "copies", F.lit(None).cast("binary").alias("starts")))
     joined = join_groups(base, marks, "key", "copies", int(total or 0)).select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "starts")
