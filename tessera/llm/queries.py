@@ -77,8 +77,24 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_substring_dedup": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, p, md5(array_to_string(w[p : p + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+r AS (SELECT doc_id, p FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS k FROM r),
+x AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d)),
+t AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.k) AS kept, count(*) AS n FROM x ANTI JOIN g ON x.doc_id = g.doc_id AND x.k = g.k GROUP BY 1)
+SELECT d.doc_id, len(w)::bigint AS n_words, len(w)::bigint - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)""",
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)""",
+    "op9_near_dedup": """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[p : p + 4], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT x, y FROM i JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * k >= 85 * (a.n + b.n - k)),
+c AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT e.y, c.c FROM c JOIN e ON c.id = e.x WHERE c.c < e.y)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept FROM d JOIN (SELECT id, min(c) AS c FROM c GROUP BY 1) m ON d.doc_id = m.id LEFT JOIN n USING (doc_id)""",
 }
