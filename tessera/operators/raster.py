@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +110,9 @@ def components(mask: DataFrame, rounds: int = 64) -> DataFrame:
     Works on runs: least labels pass between touching runs of adjacent rows with
     pointer jumping, so long shapes need few rounds.
     """
+    context = mask.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():  # a local session without a shared folder
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
     base = runs(mask).withColumn("id", F.xxhash64("row", "col_start"))
     a, b = base.alias("a"), base.alias("b")
     touch = a.join(b, (F.col("a.row") + 1 == F.col("b.row")) & (F.col("a.col_start") <= F.col("b.col_end")) & (F.col("b.col_start") <= F.col("a.col_end"))).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))

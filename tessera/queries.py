@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import fixtures as X
 from .functions import numbers as N
 from .functions import seq as S
-from .operators import annotation, cells, demux, expression, molecules, raster, saturation, spatial
+from .operators import annotation, cells, demux, expression, molecules, raster, reports, saturation, spatial
 from .plans import jobs
 from .sources import fastq, tables
 
@@ -722,3 +722,93 @@ def cluster_sizes(spark, d):
 
     c = spark.read.parquet(f"{d}/embeddings.parquet").groupBy(F.col("label").alias("cluster")).agg(F.count("*").alias("n"))
     return c.withColumn("pct", F.bround(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))) * 100, 2))
+
+
+# Reports
+
+
+@query("curve_normalised", "WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS line, l_quantity * 2 AS f, l_discount AS s FROM lineitem), m AS (SELECT max(f) AS mf, max(s) AS ms FROM r), c AS (SELECT line, greatest(0, least(1, CASE WHEN mf > 1.5 THEN f / 100 ELSE f END)) AS read_fraction, greatest(0, least(100, CASE WHEN ms <= 1 THEN s * 100 ELSE s END)) AS saturation FROM r, m), k AS (SELECT *, row_number() OVER (PARTITION BY read_fraction ORDER BY line DESC, saturation DESC) AS k FROM c) SELECT read_fraction, round(saturation, 6) AS saturation FROM k WHERE k = 1")
+def curve_normalised(spark, d):
+    li = spark.read.parquet(f"{d}/lineitem.parquet").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), (F.col("l_quantity") * 2).cast("string").alias("read_fraction")).agg(F.max("l_discount").cast("string").alias("saturation"))
+    return reports.normalise_curve(li).withColumn("saturation", F.round("saturation", 6))
+
+
+@query("metrics_pivot", "WITH w AS (SELECT l_returnflag || l_linestatus AS bin, max(l_quantity) FILTER (WHERE l_shipdate IS NOT NULL) AS most, min(l_quantity) AS least FROM lineitem GROUP BY 1) SELECT bin, most, least, cast(row_number() OVER (ORDER BY bin) as int) AS place FROM w")
+def metrics_pivot(spark, d):
+    g = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.concat("l_returnflag", "l_linestatus").alias("bin")).agg(F.max("l_quantity").alias("most"), F.min("l_quantity").alias("least"))
+    return reports.pivot_metrics(g.select("bin", F.expr("stack(2, 'most', most, 'least', least) as (key, value)")), ["most", "least"])
+
+
+@query("matrix_stats", "WITH p AS (SELECT barcode, sum(cnt) AS u, count(*) AS g FROM (SELECT barcode, gene, count(*) AS cnt FROM cd GROUP BY 1, 2) GROUP BY 1) SELECT count(*) AS bins, round(avg(u), 6) AS mean_umi, median(u)::double AS median_umi, round(avg(g), 6) AS mean_genes, median(g) AS median_genes, (SELECT count(DISTINCT gene) FROM cd) AS genes, cast(sum(g) as bigint) AS entries FROM p", "cd")
+def matrix_stats(spark, d):
+    return reports.matrix_stats(mol(spark, d).groupBy(F.col("barcode").alias("bin"), "gene").agg(F.count("*").alias("value")))
+
+
+@query("metadata_join", "SELECT barcode, readcount, CASE WHEN x % 3 > 0 THEN x::double WHEN y % 2 > 0 THEN y::double ELSE 0 END AS x, CASE WHEN x % 3 > 0 THEN y::double WHEN y % 2 > 0 THEN x::double ELSE 0 END AS y, x % 3 > 0 OR y % 2 > 0 AS has_spatial FROM bs JOIN pos USING (barcode)", "bs", "pos")
+def metadata_join(spark, d):
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    m = X.frame(spark, d, X.POSITIONS).select("barcode", F.lit(1).alias("line"), F.when(F.col("x") % 3 > 0, x).alias("x1"), y.alias("y1"), F.when(F.col("y") % 2 > 0, y).alias("x2"), x.alias("y2"))
+    return reports.attach_metadata(summary(spark, d).select("barcode", "readcount"), m)
+
+
+@query("bin_step", "WITH g AS (SELECT lead(x) OVER (ORDER BY x) - x AS g FROM (SELECT DISTINCT x FROM pos)) SELECT quantile_cont(g, 0.1) AS step FROM g", "pos")
+def bin_step(spark, d):
+    return reports.coordinate_step(X.frame(spark, d, X.POSITIONS), "x")
+
+
+@query("robust_levels", "WITH v AS (SELECT barcode, umi, ln(1 + umi) AS v FROM bs), q AS (SELECT quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.995) AS hi FROM v) SELECT barcode, umi, cast(round_even(round(greatest(0, least(1, coalesce((v - lo) / nullif(hi - lo, 0), 0))) * 255, 6), 0) as int) AS level FROM v, q", "bs")
+def robust_levels(spark, d):
+    return reports.robust_levels(summary(spark, d).select("barcode", "umi"), "umi")
+
+
+@query("cell_depths", "SELECT pos.barcode, coalesce(readcount, 0) AS reads, coalesce(umi, 0) AS umi, coalesce(genes, 0) AS genes FROM (SELECT DISTINCT barcode FROM pos) AS pos LEFT JOIN bs USING (barcode)", "bs", "pos")
+def cell_depths(spark, d):
+    return reports.cell_depths(mol(spark, d), X.frame(spark, d, X.POSITIONS))
+
+
+@query("exonic_split", "SELECT count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'R') AS exonic, count(*) FILTER (WHERE l_returnflag = 'A') AS intergenic, 0::bigint AS ambiguous, count(*) FILTER (WHERE l_returnflag NOT IN ('R', 'A')) AS intronic FROM lineitem")
+def exonic_split(spark, d):
+    status = F.when(F.col("l_returnflag") == "R", "Assigned").when(F.col("l_returnflag") == "A", "Unassigned_NoFeatures").otherwise("Unassigned_Other")
+    return reports.exonic_split(spark.read.parquet(f"{d}/lineitem.parquet").groupBy(status.alias("status")).agg(F.count("*").alias("n")))
+
+
+_BIN_SATURATION = """WITH f AS (SELECT i / 10.0::double AS f FROM range(11) AS t(i)), b AS (SELECT 'bin10_' || (x // 20)::varchar || '_' || (y // 20)::varchar AS bin, barcode, gene, umi, cnt FROM loc),
+h AS (SELECT cnt::double AS c, count(*) AS n FROM b GROUP BY 1), p AS (SELECT f, sum(n * CASE WHEN f <= 0 THEN 0 WHEN f >= 1 THEN 1 ELSE 1 - pow(1 - f, c) END) AS seen, sum(n * c) AS reads FROM f, h GROUP BY f),
+g AS (SELECT bin, gene, sum(cnt)::double AS c FROM b GROUP BY 1, 2), e AS (SELECT f, bin, sum(CASE WHEN f <= 0 THEN 0 WHEN f >= 1 THEN 1 ELSE 1 - pow(1 - f, c) END) AS g FROM f, g GROUP BY 1, 2), m AS (SELECT f, median(g) AS m FROM e GROUP BY f)
+SELECT round_even(f, 4) AS read_fraction, round_even(m, 2) AS median_gene_number, round_even(CASE WHEN f <= 0 THEN 0 ELSE greatest(0, least(100, (1 - seen / (f * reads)) * 100)) END, 2) AS umi_saturation,
+round_even(CASE WHEN f <= 0 THEN 0 ELSE greatest(0, least(100, (1 - seen / (f * reads)) * 100)) END, 2) AS read_saturation FROM p JOIN m USING (f)"""
+
+
+@query("bin_saturation", _BIN_SATURATION, "loc")
+def bin_saturation(spark, d):
+    b = located(spark, d).withColumn("origin", F.col("barcode")).withColumn("barcode", spatial.bin_label(F.col("x"), F.col("y")))
+    return saturation.saturation_curve(b, origin="origin")
+
+
+@query("segment_match", "WITH w AS (SELECT s_suppkey AS p, substr(barcode, 1, 4) AS e FROM (SELECT s_suppkey, %s AS barcode FROM supplier)), n AS (SELECT p, e, e AS seq FROM w UNION ALL SELECT p, e, substr(e, 1, i - 1) || b || substr(e, i + 1) FROM w, unnest([1, 2, 3, 4]) AS t(i), unnest(['A', 'C', 'G', 'T', 'N']) AS u(b)), t AS (SELECT seq, arg_max(e, p) AS entry FROM n GROUP BY 1) SELECT a.entry || b.entry AS barcode, count(*) AS reads FROM reads JOIN t a ON substr(reads.seq, 1, 4) = a.seq JOIN t b ON substr(reads.seq, 5, 4) = b.seq GROUP BY 1" % X.dna("(s_suppkey * 7919) % 65536", 8), "reads")
+def segment_match(spark, d):
+    r = X.frame(spark, d, X.READS).select(F.substring("seq", 1, 4).alias("s1"), F.substring("seq", 5, 4).alias("s2"))
+    return demux.match_segments(r, whitelist_mismatch_dict(spark, d), ["s1", "s2"]).groupBy("barcode").agg(F.count("*").alias("reads"))
+
+
+@query("threshold_max_entropy", f"WITH h AS ({_LEVELS}), p AS (SELECT level, n::double / sum(n) OVER () AS p FROM h), c AS (SELECT level, sum(p) OVER (ORDER BY level) AS c, sum(p * ln(p)) OVER (ORDER BY level) AS e, sum(p * ln(p)) OVER () AS a FROM p) SELECT level AS threshold FROM c WHERE 1 - c > 1e-12 ORDER BY round(ln(c) - e / c + ln(1 - c) - (a - e) / (1 - c), 9) DESC, level LIMIT 1")
+def threshold_max_entropy(spark, d):
+    return raster.max_entropy(levels(spark, d))
+
+
+@query("label_remap", "SELECT row, col, CASE WHEN label % 2 = 0 AND label > 0 THEN label // 2 ELSE 0 END AS label FROM lab", "lab")
+def label_remap(spark, d):
+    ids = spark.range(1, 300).select((F.col("id") * 2).cast("int").alias("label"), F.col("id").cast("int").alias("new_label"))
+    return raster.remap(X.frame(spark, d, X.LABELS), ids)
+
+
+@query("feature_names", "SELECT gene, name FROM (SELECT regexp_extract(attrs, 'gene_id \"([^\"]*)\"', 1) AS gene, arg_max(regexp_extract(attrs, 'gene_name \"([^\"]*)\"', 1), line) AS name FROM ann WHERE feature = 'gene' GROUP BY 1)", "ann")
+def feature_names(spark, d):
+    return annotation.gene_names(genes(spark, d))
+
+
+@query("depth_windows", "SELECT event_type, count(*) AS n FROM events GROUP BY date_trunc('hour', ts), event_type")
+def depth_windows(spark, d):
+    from .streaming.ingest import windowed_counts
+
+    return windowed_counts(spark.read.parquet(f"{d}/events.parquet"), "ts", "1 hour", "2 hours", ["event_type"]).select("event_type", "n")
