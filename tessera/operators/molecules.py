@@ -31,14 +31,16 @@ def merge_parents(molecules: DataFrame, width: int, ratio: float = 0.1) -> DataF
 def merge_umis(molecules: DataFrame, width: int, ratio: float = 0.1, rounds: int = 4) -> DataFrame:
     """Molecules after directional merging, with the number of UMIs and reads that each took in.
 
-    Every hop needs a tenfold count, so chains are short; pointer doubling
-    follows 2**rounds hops, and an unfinished chain is an error.
+    Every hop needs a tenfold count, so chains are short: pointer doubling follows
+    2**rounds hops, and 16 exceed any 64-bit count at the default ratio.
     """
     keys = ["barcode", "gene"]
-    now = merge_parents(molecules, width, ratio).select(*keys, "umi", "cnt", F.coalesce("parent", "umi").alias("root"))
+    # only merged UMIs take part in the doubling; each step is cached, else it would be computed twice by the next
+    hop = merge_parents(molecules, width, ratio).filter("parent is not null").select(*keys, "umi", F.col("parent").alias("root")).persist()
     for _ in range(rounds):
-        up = now.select(*keys, F.col("umi").alias("root"), F.col("root").alias("next"))
-        now = now.join(up, [*keys, "root"], "left").select(*keys, "umi", "cnt", F.coalesce("next", "root").alias("root"))
+        up = hop.select(*keys, F.col("umi").alias("root"), F.col("root").alias("next"))
+        hop = hop.join(up, [*keys, "root"], "left").select(*keys, "umi", F.coalesce("next", "root").alias("root")).persist()
+    now = molecules.join(hop, [*keys, "umi"], "left").select(*keys, "umi", "cnt", F.coalesce("root", "umi").alias("root"))
     merged = F.col("umi") != F.col("root")
     return now.groupBy(*keys, F.col("root").alias("umi")).agg(
         F.sum("cnt").alias("cnt"), F.count_if(merged).alias("merged_umis"), F.coalesce(F.sum(F.when(merged, F.col("cnt"))), F.lit(0)).alias("merged_reads")
