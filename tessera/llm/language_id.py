@@ -115,11 +115,12 @@ def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashe
     At most per_language rows of each language are used, chosen by a hash of the
     row; their whole texts are counted in the cluster.  An n-gram enters the
     filter of every language whose relative frequency is at least least_share of
-    the highest one.  Only the most_grams commonest n-grams reach the driver.
+    the highest one.  Only the most_grams commonest n-grams reach the driver, and
+    the 64 commonest languages are learnt, as many as a slot has bits.
     None if no row can be learnt from.
     """
     eligible = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 31) - 1)).alias("u"))
-    sizes = {r["lang"]: r["n"] for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(65).collect()}
+    sizes = {r["lang"]: r["n"] for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
     if not sizes:
         return None
     # a cut that about twice the wanted rows pass, so that few rows and not whole languages are ranked
