@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import html
+import pickle
 import re
+from functools import lru_cache
+from itertools import pairwise
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -29,6 +32,7 @@ CUES = frozenset(
 CONTENT = frozenset("article content main post entry body story text".split())
 
 COPY = 0.8  # share of common lines above which a neighbour is a copy, not a template
+NEAR = 4  # distinct outlines compared on each side, besides the page beyond a run of copies
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE
@@ -161,104 +165,169 @@ def _outline(frames):
         yield pd.DataFrame(rows, columns=["key", "host", "path", "lines"])
 
 
-def _nearest(row, before, after):
-    """Of the neighbours in URL order, on the same host, the one with the longer common path; the earlier if equal."""
+def _path_in_common(a, b) -> int:
+    n = 0
+    for p, q in zip(a[2], b[2], strict=False):
+        if p != q:
+            break
+        n += 1
+    return n
 
-    def shared(other) -> int:
-        if other is None or other[1] != row[1]:
-            return -1
-        n = 0
-        for p, q in zip(row[2], other[2], strict=False):
-            if p != q:
-                break
-            n += 1
-        return n
 
-    p, q = shared(before), shared(after)
-    return None if max(p, q) < 0 else before if p >= q else after
+@lru_cache(256)
+def _shared(a: bytes, b: bytes) -> np.ndarray:
+    """Which lines of outline a stand in outline b too."""
+    return common_lines(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
 
 
-def _mask(row, other) -> bytes:
-    """The shared lines of a page and its neighbour; none if that is nearly a copy, from which nothing can be told."""
-    if other is None:
-        return b""
-    shared = common_lines(*(np.frombuffer(x[3], np.uint64) for x in (row, other)))
-    return shared.tobytes() if shared.mean() <= COPY else b""
+def _alike(a, b) -> bool:
+    """Whether two pages are nearly copies, or one nearly holds the other."""
+    return a[3] == b[3] or int(_shared(a[3], b[3]).sum()) * 8 > COPY * min(len(a[3]), len(b[3]))
 
 
-_MASKS = "kind string, part int, edge int, key long, host string, path string, lines binary, mask binary"
+def _mask(row, before, after) -> bytes:
+    """The shared lines of a page and the nearest page of its host that is not nearly a copy of it.
 
+    before, after: (pages from the nearest on, the page beyond a run of copies).
+    Nearer is the longer common path, then the place in URL order, the earlier if
+    equal.  If all are alike, it may be for a long template around a short text:
+    then lines count as shared that pages at two other paths or more agree on.
+    """
+    found = []
+    for side, (pages, far) in enumerate((before, after)):
+        own = [p for p in pages if p[3] != row[3]][:NEAR]
+        if far is not None and far[3] != row[3] and all(far[3] != p[3] for p in own):
+            own.append(far)
+        found += [(-_path_in_common(row, p), d, side, p) for d, p in enumerate(own)]
+    agreed: dict[bytes, set] = {}
+    for *_, page in sorted(found, key=lambda x: x[:3]):
+        shared = _shared(row[3], page[3])
+        if shared.mean() <= COPY:
+            return shared.tobytes()
+        if page[2] != row[2] and not shared.all():
+            agreed.setdefault(shared.tobytes(), set()).add(page[2])
+    return min((m for m, paths in agreed.items() if len(paths) > 1), key=lambda m: (m.count(1), m), default=b"")
+
+
+def _seen(page, pages: list) -> list:
+    """The pages of distinct outlines from this one on, one more than are compared, as one may equal the page itself."""
+    return [page, *(p for p in pages if p[3] != page[3])][: NEAR + 1]
+
+
+def _beyond(page, last, far):
+    """The page beyond the run of copies that ends with last, seen from the page that follows it."""
+    return far if last is None or _alike(page, last) else last
+
+
+def _walk(rows: list, start: tuple) -> list[tuple]:
+    """State (host, distinct pages, page beyond the run, last page) before each row and after all, in the order of rows."""
+    host, pages, far, last = start
+    out = []
+    for row in rows:
+        if row[1] != host:
+            host, pages, far, last = row[1], [], None, None
+        far = _beyond(row, last, far)
+        out.append((host, pages, far, last))
+        pages, last = _seen(row, pages), row
+    return [*out, (host, pages, far, last)]
 
-def _difference(frames):
-    """Masks of a sorted partition's inner rows; its first and last two rows go to the driver, which joins partitions."""
-    part = TaskContext.get().partitionId()
-    rows, n = [], 0
 
-    def result(row, mask):
-        return ("mask", part, 0, row[0], None, None, None, mask)
+_NOTHING = (None, [], None, None)
+_ROWS = "kind string, part int, at long, key long, host string, path string, lines binary"
+_COLUMNS = [c.split()[0] for c in _ROWS.split(", ")]
 
-    def sent(row, edge):
-        return ("edge", part, edge, *row, None)
 
-    held: list = []
+def _number(frames):
+    """The rows of a sorted partition with their places, and one row on its ends: what the partitions around it must know."""
+    part = TaskContext.get().partitionId()
+    rows: list = []
     for frame in frames:
-        out = []
-        for row in frame[["key", "host", "path", "lines"]].itertuples(index=False, name=None):
-            n += 1
-            held.append(row)
-            if n <= 2:
-                out.append(sent(row, n))
-            if len(held) == 3:
-                out.append(result(held[1], _mask(held[1], _nearest(held[1], held[0], held[2]))))
-                held.pop(0)
-        yield pd.DataFrame(out, columns=_COLUMNS)
-    for row in held if n > 2 else []:
-        rows.append(sent(row, 3))
-    yield pd.DataFrame(rows, columns=_COLUMNS)
-
-
-_COLUMNS = [c.split()[0] for c in _MASKS.split(", ")]
-
-
-def _join_edges(edges: pd.DataFrame) -> list[tuple[int, bytes]]:
-    """Masks of the rows at the borders of partitions."""
-    rows, seen = [], set()
-    for r in edges.sort_values(["part", "edge"], kind="stable").itertuples(index=False):
-        rows.append(((r.key, r.host, r.path, r.lines), r.part, r.edge))
-    out = []
-    for k, (row, part, _) in enumerate(rows):
-        # partitions hold at most four edge rows: 1, 2 and the last two; neighbours of the outer ones are all here
-        own = [j for j in range(len(rows)) if rows[j][1] == part]
-        if k not in (own[0], own[-1]) or row[0] in seen:
-            continue
-        seen.add(row[0])
-        before = rows[k - 1][0] if k else None
-        after = rows[k + 1][0] if k + 1 < len(rows) else None
-        out.append((row[0], _mask(row, _nearest(row, before, after))))
+        own = list(frame[["key", "host", "path", "lines"]].itertuples(index=False, name=None))
+        yield pd.DataFrame([("row", part, len(rows) + k, *r) for k, r in enumerate(own)], columns=_COLUMNS)
+        rows += own
+    if rows:
+        ends = []
+        for order in (rows, rows[::-1]):
+            # from the far end back to this one; only the host at this end matters
+            host = [r for r in order if r[1] == order[0][1]]
+            ends.append((len(host) == len(rows), order[0], _ends(host)))
+        yield pd.DataFrame([("ends", part, 0, 0, None, None, pickle.dumps(ends))], columns=_COLUMNS)
+
+
+def _ends(host: list) -> tuple[list, tuple | None]:
+    """The first distinct pages of a host's rows and the first page beyond the run of copies they begin with."""
+    pages: list = []
+    for row in host:
+        if len(pages) > NEAR:
+            break
+        if all(row[3] != p[3] for p in pages):
+            pages.append(row)
+    far = next((b for a, b in pairwise(host) if not _alike(a, b)), None)
+    return pages, far
+
+
+def _contexts(ends: list[tuple[int, list]], side: int) -> dict[int, tuple]:
+    """The state in which each partition is entered, from before (side 0) or after (side 1)."""
+    out, state = {}, _NOTHING
+    for part, both in ends if side == 0 else ends[::-1]:
+        (whole, first, _), (_, last, (pages, far)) = both[side], both[1 - side]
+        out[part] = state
+        if whole and state[0] == first[1]:
+            far = far or _beyond(first, state[3], state[2])
+            for p in reversed(pages):
+                state = (None, _seen(p, state[1]), None, None)
+            pages = state[1]
+        state = (last[1], pages, far, last)
     return out
 
 
+def _difference(before: dict[int, tuple], after: dict[int, tuple]):
+    """Masks of the rows of whole partitions."""
+
+    def masks(part: int, rows: list) -> pd.DataFrame:
+        left = _walk(rows, before.get(part, _NOTHING))[:-1]
+        right = _walk(rows[::-1], after.get(part, _NOTHING))[-2::-1]
+        return pd.DataFrame({"key": [r[0] for r in rows], "mask": [_mask(r, a[1:3], b[1:3]) for r, a, b in zip(rows, left, right, strict=True)]})
+
+    def run(frames):
+        now, rows = None, []
+        for frame in frames:
+            for part, *row in frame[["part", "key", "host", "path", "lines"]].itertuples(index=False, name=None):
+                if part != now and rows:
+                    yield masks(now, rows)
+                    rows = []
+                now = part
+                rows.append(tuple(row))
+        if rows:
+            yield masks(now, rows)
+
+    return run
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of the article of every page.
 
     Elements that are never text of an article (menus, footers, scripts, forms,
     asides and blocks whose class or id says so) are left out while parsing.  The
-    pages of a host are sorted by URL path, and each is paired with the nearer of
-    its two neighbours; their lines are aligned by longest common subsequence,
-    and shared lines are deleted if they stand outside the article element or
-    hold link text alone, so copies of an article do not erase each other.
+    pages of a host are sorted by URL path, and each is paired with the nearest
+    page of the host that is not nearly its copy; copies are passed over, however
+    many.  Their lines are aligned by longest common subsequence, and shared
+    lines are deleted if they stand outside the article element or hold link text
+    alone, so copies of an article do not erase each other.
 
     Only hashes of lines are sorted, by ranges of host and path, so a host of any
-    size spreads; the rows at the borders of the ranges, at most four each, are
-    paired on the driver.  Null or empty pages give an empty text, pages without
+    size spreads; of each range, some pages at both ends go to the driver, which
+    tells the ranges around it.  Null or empty pages give an empty text, pages without
     neighbour are not differenced, equal rows agree.
     """
     spark, stages = pages.sparkSession, Stages(pages.sparkSession, "html")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("key", F.xxhash64("page_id", "url", "html"))
     outline = base.select("key", "url", "html").mapInPandas(_outline, "key long, host string, path string, lines binary").filter("length(lines) > 0")
-    found = stages.keep(outline.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key").mapInPandas(_difference, _MASKS), "masks")
-    borders = _join_edges(found.filter("kind = 'edge'").toPandas())
-    masks = found.filter("kind = 'mask'").select("key", "mask").unionByName(spark.createDataFrame(pd.DataFrame(borders, columns=["key", "mask"]).astype({"key": "int64"}) if borders else [], "key long, mask binary"))
+    found = stages.keep(outline.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "host", "path", "key").sortWithinPartitions("host", "path", "key").mapInPandas(_number, _ROWS), "outlines")
+    ends = sorted((r["part"], pickle.loads(r["lines"])) for r in found.filter("kind = 'ends'").select("part", "lines").collect())
+    around = spark.sparkContext.broadcast([_contexts(ends, side) for side in (0, 1)])
+    dealt = found.filter("kind = 'row'").select("part", "at", "key", "host", "path", "lines").repartitionByRange(max(len(ends), 1), "part").sortWithinPartitions("part", "at")
+    masks = dealt.mapInPandas(lambda frames: _difference(*around.value)(frames), "key long, mask binary")
     masks = masks.groupBy("key").agg(F.max("mask").alias("mask"))
 
     def extract(frames):

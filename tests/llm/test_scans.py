@@ -121,6 +121,55 @@ def test_pages_lose_shared_lines_only(spark):
     assert extract_main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def texts_by_id(spark, rows):
+    pages = spark.createDataFrame([(*r, "m", "k", "t") for r in rows], PAGES)
+    return {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+
+
+def test_copies_are_passed_over(spark):
+    def page(own):
+        return f"<body><p>Welcome<p>Our site<p>{own}<p>second {own}<p>All rights reserved</body>"
+
+    rows = [(k, f"http://h.org/a/{k:03d}", page(f"story {k}")) for k in range(12)]
+    rows += [(5, *rows[5][1:]), (105, "http://h.org/a/005?again", rows[5][2])]  # a repeated row, and the page captured twice
+    long = "".join(f"<p>line {k}" for k in range(30))
+    rows += [(200 + k, f"http://h.org/a/003/{k:03d}", f"<p>Welcome<p>Our site{long}<p>edit {k}<p>All rights reserved") for k in range(40)]  # a run of near copies
+    got = texts_by_id(spark, rows)
+    assert all(got[k] == f"story {k} second story {k}" for k in range(12)) and got[105] == got[5]
+    assert all(got[200 + k] == " ".join(f"line {i}" for i in range(30)) + f" edit {k}" for k in range(40))
+
+
+def test_short_text_in_long_template(spark):
+    head, foot = ("".join(f"<p>{w} {k}" for k in range(12)) for w in ("top", "end"))
+    rows = [(k, f"http://t.org/{k}", f"{head}<p>story {k}<p>more of {k}{foot}") for k in range(7)]
+    rows.append((7, rows[4][1] + "?again", rows[4][2].replace("more of", "rest of")))
+    got = texts_by_id(spark, rows)
+    assert all(got[k] == f"story {k} more of {k}" for k in range(7)) and got[7] == "story 4 rest of 4"
+
+
+def test_masks_do_not_depend_on_partitions():
+    from tessera.llm import html_text as T
+
+    rng = random.Random(8)
+    for _ in range(200):
+        kinds = [np.array([1, 2, 3, *(rng.randrange(4, 9) for _ in range(rng.randrange(4)))], np.uint64).tobytes() for _ in range(5)]
+        rows = [(k, f"h{k // 25}", f"/{k:02d}", rng.choice(kinds) if rng.random() < 0.5 else kinds[0]) for k in range(40)]
+        want = T._difference({}, {})(iter([T.pd.DataFrame([(0, *r) for r in rows], columns=["part", "key", "host", "path", "lines"])]))
+        want = {r.key: r.mask for f in want for r in f.itertuples()}
+        cuts = [0, *sorted(rng.sample(range(1, 40), 6)), 40]
+        parts = [rows[a:b] for a, b in itertools.pairwise(cuts)]
+        ends = []
+        for p, own in enumerate(parts):
+            both = []
+            for order in (own, own[::-1]):
+                host = [r for r in order if r[1] == order[0][1]]
+                both.append((len(host) == len(own), order[0], T._ends(host)))
+            ends.append((p, both))
+        frame = T.pd.DataFrame([(p, *r) for p, own in enumerate(parts) for r in own], columns=["part", "key", "host", "path", "lines"])
+        got = {r.key: r.mask for f in T._difference(T._contexts(ends, 0), T._contexts(ends, 1))(iter([frame])) for r in f.itertuples()}
+        assert got == want
+
+
 def der(tag, body):
     n = len(body)
     return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else b"\x82" + n.to_bytes(2, "big")) + body
