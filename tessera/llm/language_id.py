@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Stages
 from .textkit import U, chunks, mix, texts_of
 
 WIDTHS = (2, 3, 4)
@@ -62,7 +63,10 @@ def grams(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class LanguageFilter:
-    """Slots hold one bit per language: one probe answers for all languages at once."""
+    """Slots hold one bit per language, in as many words of 64 as they need: one probe answers for all languages at once.
+
+    Masks and slots are flat where one word is enough, else they have a row of words each.
+    """
 
     languages: list[str]
     slots: np.ndarray
@@ -71,14 +75,19 @@ class LanguageFilter:
 
     @classmethod
     def build(cls, languages: list[str], gram: np.ndarray, mask: np.ndarray, slots: int, hashes: int) -> LanguageFilter:
-        if len(languages) > 64:
-            raise ValueError("a slot holds at most 64 languages")
-        table = np.zeros(slots, U)
+        if len(languages) > 64 * (mask.shape[1] if mask.ndim == 2 else 1):
+            raise ValueError("masks have too few words for the languages")
+        table = np.zeros((slots, *mask.shape[1:]), U)
         for k in range(hashes):
             np.bitwise_or.at(table, cls.probe(gram, k, slots), mask)
-        fill = np.array([((table >> U(b)) & U(1)).mean() for b in range(len(languages))])
+        fill = np.array([cls.bit(table, b).mean() for b in range(len(languages))])
         return cls(languages, table, hashes, fill**hashes)
 
+    @staticmethod
+    def bit(masks: np.ndarray, b: int) -> np.ndarray:
+        """Which masks hold language b."""
+        return ((masks[:, b // 64] if masks.ndim == 2 else masks) >> U(b % 64)) & U(1) == 1
+
     @staticmethod
     def probe(gram: np.ndarray, k: int, slots: int) -> np.ndarray:
         return ((gram >> U(21 * k)) % U(slots)).astype(np.int64)
@@ -95,7 +104,7 @@ class LanguageFilter:
         gram, owner, has = grams(texts)
         mask = self.lookup(gram)
         total = np.bincount(owner, minlength=len(texts)).astype(float)
-        hits = np.stack([np.bincount(owner[(mask >> U(b)) & U(1) == 1], minlength=len(texts)) for b in range(len(self.languages))], axis=1)
+        hits = np.stack([np.bincount(owner[self.bit(mask, b)], minlength=len(texts)) for b in range(len(self.languages))], axis=1)
         fp = self.false_positive[None, :]
         return np.maximum(hits - total[:, None] * fp, 0) / np.maximum(1 - fp, 1e-9), total, has
 
@@ -109,25 +118,33 @@ class LanguageFilter:
         return names, score, np.where(has, np.divide(top, total, out=np.zeros_like(top), where=total > 0), 0.0)
 
 
-def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashes: int = 2, least_share: float = 0.35, least_count: int = 4, most_grams: int = 120_000) -> LanguageFilter | None:
-    """Fit the filters on rows that are not held out and have a language.
+def _cuts(counts: list[int], numbers: list[int], most: int, least: int) -> tuple[int, int]:
+    """Counts that at most ``most`` n-grams reach (all of the highest count at any rate) and that at least ``least`` reach, 1 if fewer are there."""
+    order = np.argsort(counts)[::-1]
+    value, reach = np.array(counts)[order], np.cumsum(np.array(numbers)[order])
+    enough = np.flatnonzero(reach >= least)
+    return int(value[max(int((reach <= most).sum()) - 1, 0)]), int(value[enough[0]]) if len(enough) else 1
+
+
+def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashes: int = 2, least_share: float = 0.35, least_count: int = 4, most_grams: int = 120_000, least_grams: int = 5000) -> LanguageFilter | None:
+    """Fit the filters on rows that are not held out and have a language; every language is learnt.
 
     At most per_language rows of each language are used, chosen by a hash of the
     row; their whole texts are counted in the cluster.  An n-gram enters the
     filter of every language whose relative frequency is at least least_share of
-    the highest one.  Only the most_grams commonest n-grams reach the driver, and
-    the 64 commonest languages are learnt, as many as a slot has bits.
+    the highest one.  Of those, each language keeps its own commonest ones: at
+    most most_grams, seen least_count times or more, but rarer ones too until it
+    has least_grams, so that one with few or short rows is known as well.
     None if no row can be learnt from.
     """
+    spark, stages = docs.sparkSession, Stages(docs.sparkSession, "language")
     eligible = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 31) - 1)).alias("u"))
-    sizes = {r["lang"]: r["n"] for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
+    sizes = [(r["lang"], r["n"]) for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).collect()]
     if not sizes:
         return None
     # a cut that about twice the wanted rows pass, so that few rows and not whole languages are ranked
-    below = F.lit(False)
-    for name, n in sizes.items():
-        below = below | ((F.col("lang") == name) & (F.col("u") < int((1 << 31) * min(1.0, 2 * per_language / n))))
-    ranked = eligible.filter(below).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u")))
+    below = spark.createDataFrame([(name, int((1 << 31) * min(1.0, 2 * per_language / n))) for name, n in sizes], "lang string, below long")
+    ranked = eligible.join(F.broadcast(below), "lang").filter("u < below").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u")))
     sample = ranked.filter(F.col("r") <= per_language).select("lang", "text")
 
     def count(frames):
@@ -138,21 +155,27 @@ def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashe
                 g, n = np.unique(gram[code[owner] == k], return_counts=True)
                 yield pd.DataFrame({"lang": str(name), "gram": g.view(np.int64), "n": n})
 
-    n_parts = docs.sparkSession.sparkContext.defaultParallelism
-    counts = sample.repartition(n_parts).mapInPandas(count, "lang string, gram long, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    top = counts.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).filter(F.col("total") >= least_count)
-    rows = top.orderBy(F.desc("total"), "gram").limit(most_grams).select("gram", F.map_keys("by").alias("k"), F.map_values("by").alias("v")).toPandas()
-    if not len(rows):
+    n_parts = spark.sparkContext.defaultParallelism
+    counts = stages.keep(sample.repartition(n_parts).mapInPandas(count, "lang string, gram long, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n")), "counts")
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("sum"))
+    rated = counts.join(F.broadcast(sums), "lang").select("gram", F.struct("lang", "n", (F.col("n") / F.col("sum")).alias("rate")).alias("x"))
+    by_gram = rated.groupBy("gram").agg(F.sum("x.n").alias("total"), F.max("x.rate").alias("top"), F.collect_list("x").alias("by"))
+    own = stages.keep(by_gram.select("gram", "total", "top", F.inline("by")).filter(F.col("rate") >= least_share * F.col("top")).select("gram", "lang", "n", "total"), "own")
+    numbers: dict[str, list[tuple[int, int]]] = {}
+    for r in own.groupBy("lang", "n").agg(F.count("*").alias("k")).collect():
+        numbers.setdefault(r["lang"], []).append((r["n"], r["k"]))
+    languages = sorted(numbers)
+    if not languages:
         return None
-    languages = sorted({x for k in rows["k"] for x in k})
-    index = {x: i for i, x in enumerate(languages)}
-    table = np.zeros((len(rows), len(languages)))
-    for i, (k, v) in enumerate(zip(rows["k"], rows["v"], strict=True)):
-        table[i, [index[x] for x in k]] = v
-    rate = table / np.maximum(table.sum(axis=0), 1)
-    inside = rate >= least_share * rate.max(axis=1, keepdims=True)
-    mask = (inside.astype(U) << np.arange(len(languages), dtype=U)).sum(axis=1, dtype=U)
-    return LanguageFilter.build(languages, rows["gram"].to_numpy(np.int64).view(U), mask, slots, hashes)
+    cuts = [(name, i, *_cuts(*map(list, zip(*numbers[name], strict=True)), most_grams, least_grams)) for i, name in enumerate(languages)]
+    kept = own.join(F.broadcast(spark.createDataFrame(cuts, "lang string, code int, low long, sure long")), "lang").filter((F.col("n") >= F.col("low")) & ((F.col("total") >= least_count) | (F.col("n") >= F.col("sure"))))
+    rows = kept.select("gram", "code").toPandas()
+    stages.drop()
+    gram, at = np.unique(rows["gram"].to_numpy(np.int64), return_inverse=True)
+    code = rows["code"].to_numpy(np.int64)
+    mask = np.zeros((len(gram), -(-len(languages) // 64)), U)
+    np.bitwise_or.at(mask, (at, code // 64), U(1) << (code % 64).astype(U))
+    return LanguageFilter.build(languages, gram.view(U), mask if len(languages) > 64 else mask[:, 0], slots, hashes)
 
 
 def identify(docs: DataFrame, model: LanguageFilter | None, text_col: str = "text") -> DataFrame:
