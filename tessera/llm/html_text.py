@@ -113,9 +113,11 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
 
 
 def main_lines(lines: list[tuple[str, bool, bool]], shared: np.ndarray | None) -> list[str]:
-    """The lines of the article: those in main elements if the page has any, without weak shared ones."""
+    """The lines that are not shared; where nothing could be compared, those in main elements if the page has any."""
+    if shared is not None:
+        return [t for k, (t, _, _) in enumerate(lines) if not shared[k]]
     inside = any(m for _, m, _ in lines)
-    return [t for k, (t, m, w) in enumerate(lines) if (m or not inside) and not (w and shared is not None and shared[k])]
+    return [t for t, m, _ in lines if m or not inside]
 
 
 def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,7 +163,7 @@ def _outline(frames):
         for key, url, page in zip(part["key"], texts_of(part["url"]), texts_of(part["html"]), strict=True):
             lines = lines_of(page)
             host, path = _address(url)
-            rows.append((key, host, path, np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t, _, _ in lines], np.uint64).tobytes()))
+            rows.append((key, host, path, np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 << 1 | m for t, m, _ in lines], np.uint64).tobytes()))
         yield pd.DataFrame(rows, columns=["key", "host", "path", "lines"])
 
 
@@ -176,8 +178,8 @@ def _path_in_common(a, b) -> int:
 
 @lru_cache(256)
 def _shared(a: bytes, b: bytes) -> np.ndarray:
-    """Which lines of outline a stand in outline b too."""
-    return common_lines(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+    """Which lines of outline a stand in outline b too; the last bit says that a line is in the article."""
+    return common_lines(np.frombuffer(a, np.uint64) >> np.uint64(1), np.frombuffer(b, np.uint64) >> np.uint64(1))
 
 
 def _alike(a, b) -> bool:
@@ -190,9 +192,11 @@ def _mask(row, before, after) -> bytes:
 
     before, after: (pages from the nearest on, the page beyond a run of copies).
     Nearer is the longer common path, then the place in URL order, the earlier if
-    equal.  If all are alike, it may be for a long template around a short text:
-    then lines count as shared that pages at two other paths or more agree on.
+    equal.  Only the article is judged where the page has one.  If all are alike
+    without one, it may be for a long template around a short text: then lines
+    count as shared that pages at two other paths or more agree on.
     """
+    main = np.frombuffer(row[3], np.uint64) & np.uint64(1) == 1
     found = []
     for side, (pages, far) in enumerate((before, after)):
         own = [p for p in pages if p[3] != row[3]][:NEAR]
@@ -202,9 +206,9 @@ def _mask(row, before, after) -> bytes:
     agreed: dict[bytes, set] = {}
     for *_, page in sorted(found, key=lambda x: x[:3]):
         shared = _shared(row[3], page[3])
-        if shared.mean() <= COPY:
+        if (shared[main] if main.any() else shared).mean() <= COPY:
             return shared.tobytes()
-        if page[2] != row[2] and not shared.all():
+        if page[2] != row[2] and not shared.all() and not main.any():
             agreed.setdefault(shared.tobytes(), set()).add(page[2])
     return min((m for m, paths in agreed.items() if len(paths) > 1), key=lambda m: (m.count(1), m), default=b"")
 
@@ -312,8 +316,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     pages of a host are sorted by URL path, and each is paired with the nearest
     page of the host that is not nearly its copy; copies are passed over, however
     many.  Their lines are aligned by longest common subsequence, and shared
-    lines are deleted if they stand outside the article element or hold link text
-    alone, so copies of an article do not erase each other.
+    lines are deleted, inside the article element and outside.  Where no page
+    can be compared, the article element decides alone.
 
     Only hashes of lines are sorted, by ranges of host and path, so a host of any
     size spreads; of each range, some pages at both ends go to the driver, which

@@ -170,6 +170,17 @@ def test_masks_do_not_depend_on_partitions():
         assert got == want
 
 
+def test_differencing_decides_in_and_out_of_the_article(spark):
+    def page(k):
+        return f"<body><p>Welcome<article><p>story {k}<p>Write to us<p>end {k}</article><p>beside {k}<p>All rights reserved</body>"
+
+    copy = "<article><p>same a<p>same b<p>same c<p>same d<p>same e<p>edit {}</article>"
+    rows = [(k, f"http://d.org/{k}", page(k)) for k in range(5)] + [(10 + k, f"http://e.org/{k}", copy.format(k)) for k in range(4)]
+    got = texts_by_id(spark, rows)
+    assert all(got[k] == f"story {k} end {k} beside {k}" for k in range(5))
+    assert all(got[10 + k] == f"same a same b same c same d same e edit {k}" for k in range(4))
+
+
 def der(tag, body):
     n = len(body)
     return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else b"\x82" + n.to_bytes(2, "big")) + body
