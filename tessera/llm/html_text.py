@@ -29,6 +29,8 @@ CUES = frozenset(
     "ad ads adv advert adverts advertisement banner cookie cookies consent gdpr notice alert promo promotion sponsor sponsored sidebar comment comments disqus reply replies respond menu nav navbar navigation breadcrumb breadcrumbs "
     "footer masthead popup modal overlay newsletter subscribe subscription share sharing social related recommended widget login signup toolbar pager pagination skip".split()
 )
+STRONG = frozenset("comment comments disqus cookie cookies footer".split())  # these win over the words of CONTENT
+MODIFIERS = frozenset("has with no without is not".split())  # has-sidebar says what a page has, not what the block is
 CONTENT = frozenset("article content main post entry body story text".split())
 
 COPY = 0.8  # share of common lines above which a neighbour is a copy, not a template
@@ -37,17 +39,28 @@ NEAR = 4  # distinct outlines compared on each side, besides the page beyond a r
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE
 )
-_CUE = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
-
-
-def _cued(attributes: str) -> bool:
-    """Whether class, id or role name boilerplate."""
-    if "=" not in attributes:
-        return False
-    names = {w.lower() for v in _CUE.findall(attributes) for w in _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()) if w}
-    return bool(names & CUES) and not names & CONTENT or bool(_HIDDEN.search(attributes))
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NOT_LETTERS = re.compile(r"[^a-z]+")
+_CAMEL = re.compile(r"([a-z])([A-Z])")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+
+
+def _cued(attributes: str) -> int:
+    """Whether class, id or role name boilerplate, or the block is hidden: 0 no, 1 unless it frames the page's text, 2 surely."""
+    names: set[str] = set()
+    hidden = False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                words = [w for w in _NOT_LETTERS.split(_CAMEL.sub(r"\1 \2", token).lower()) if w]
+                if not words or words[0] in MODIFIERS:
+                    continue
+                if STRONG.intersection(words) and all(w in CUES or w in CONTENT for w in words):
+                    return 2
+                names.update(words)
+        hidden = hidden or name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and bool(_NO_DISPLAY.search(value)))
+    return int(bool(names & CUES) and not names & CONTENT or hidden)
 
 
 def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
@@ -60,7 +73,11 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
     if not page:
         return []
     out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, bool]] = []
+    # cued frames: whether they hold an article, by number; the open ones; those around each line
+    framing: list[bool] = []
+    cued: list[int] = []
+    around: list[tuple[int, ...]] = []
     dropped = depth = link = 0
     text: list[str] = []
     plain = False
@@ -70,6 +87,7 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
         line = " ".join("".join(text).split())
         if line:
             out.append((line, depth > 0, depth == 0 or not plain))
+            around.append(tuple(cued))
         text.clear()
         plain = False
 
@@ -95,21 +113,39 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
         if name not in FRAMES:
             continue
         if m[2]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, _, _ in stack):
                 while stack:
-                    n, d = stack.pop()
+                    n, d, c = stack.pop()
                     dropped -= d
+                    if c:
+                        cued.pop()
                     depth -= n in MAIN
                     if n == name:
                         break
         elif not m[4].rstrip().endswith("/"):
-            drop = name in DROPPED or (name == "header" and not depth) or (name not in ("html", "body") and _cued(m[4]))
-            stack.append((name, drop))
+            cue = 0 if name in ("html", "body") else _cued(m[4])
+            drop = name in DROPPED or (name == "header" and not depth) or cue == 2
+            if cue == 1 and not drop:
+                cued.append(len(framing))
+                framing.append(False)
+            stack.append((name, drop, cue == 1 and not drop))
+            if name in MAIN and not dropped and not drop:
+                for c in cued:
+                    framing[c] = True
             dropped += drop
             depth += name in MAIN
     add(page[at:])
     close()
-    return out
+    if not framing:
+        return out
+    # a cued frame goes unless it holds an article or most of the text
+    size = [0] * len(framing)
+    for (t, _, _), frames in zip(out, around, strict=True):
+        for c in frames:
+            size[c] += len(t)
+    whole = sum(len(t) for t, _, _ in out)
+    gone = {c for c, holds in enumerate(framing) if not holds and 2 * size[c] <= whole}
+    return [x for x, frames in zip(out, around, strict=True) if not gone.intersection(frames)]
 
 
 def main_lines(lines: list[tuple[str, bool, bool]], shared: np.ndarray | None) -> list[str]:

@@ -181,6 +181,18 @@ def test_differencing_decides_in_and_out_of_the_article(spark):
     assert all(got[10 + k] == f"same a same b same c same d same e edit {k}" for k in range(4))
 
 
+@pytest.mark.parametrize("attributes", ['class="overflow-hidden"', 'data-hidden="0"', 'aria-hidden="false"', 'class="has-sidebar"', 'class="with-menu"', 'class="sidebar-layout"'])
+def test_wrappers_are_kept(attributes):
+    for tag in ("article", "p"):
+        page = f"<body><div {attributes}><{tag}>The story of the page</{tag}></div><div>end</div></body>"
+        assert "The story of the page" in [t for t, _, _ in lines_of(page)]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', 'aria-hidden="true"', 'style="display: none"', 'class="comment-body"', 'class="comment-content"', 'class="cookie-text"', 'id="footer-content"', 'class="sidebar"'])
+def test_cued_blocks_go(attributes):
+    assert [t for t, _, _ in lines_of(f"<p>The story of the page</p><div {attributes}><p>gone</p></div>")] == ["The story of the page"]
+
+
 def der(tag, body):
     n = len(body)
     return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else b"\x82" + n.to_bytes(2, "big")) + body
