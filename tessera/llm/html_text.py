@@ -36,9 +36,15 @@ CONTENT = frozenset("article content main post entry body story text".split())
 COPY = 0.8  # share of common lines above which a neighbour is a copy, not a template
 NEAR = 4  # distinct outlines compared on each side, besides the page beyond a run of copies
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE
-)
+
+
+def _tokens(raw: str) -> re.Pattern:
+    return re.compile(
+        rf"<!--.*?(?:-->|\Z)|<({raw})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE
+    )
+
+
+_TOKEN, _WHOLE = _tokens(RAW), _tokens("script|style|title")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NOT_LETTERS = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -63,7 +69,7 @@ def _cued(attributes: str) -> int:
     return int(bool(names & CUES) and not names & CONTENT or hidden)
 
 
-def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
+def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, bool]]:
     """The text lines of a page as (text, main, weak), boilerplate elements left out.
 
     A line is a block's text: references decoded, white space folded.  main: it
@@ -98,7 +104,7 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
             plain = plain or (not link and not piece.isspace())
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    for m in (_WHOLE if whole else _TOKEN).finditer(page):
         add(page[at : m.start()])
         at = m.end()
         name = m[3]
@@ -123,8 +129,8 @@ def lines_of(page: str | None) -> list[tuple[str, bool, bool]]:
                     if n == name:
                         break
         elif not m[4].rstrip().endswith("/"):
-            cue = 0 if name in ("html", "body") else _cued(m[4])
-            drop = name in DROPPED or (name == "header" and not depth) or cue == 2
+            cue = 0 if whole or name in ("html", "body") else _cued(m[4])
+            drop = not whole and (name in DROPPED or name == "header" and not depth or cue == 2)
             if cue == 1 and not drop:
                 cued.append(len(framing))
                 framing.append(False)

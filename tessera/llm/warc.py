@@ -87,7 +87,7 @@ def derive(row) -> list[tuple]:
     """The metadata and the conversion record of one response record, both referring to it."""
     status, headers, body = split_http(bytes(row.block or b""))
     page = _text(body, headers)
-    lines = [t for t, _, _ in lines_of(page)]
+    lines = [t for t, _, _ in lines_of(page, whole=True)]
     title, lang = _TITLE.search(page), _LANG.search(page)
     links = [a or b or c for a, b, c in _HREF.findall(page)]
     fields = [("http-status", status), *((f"http-{k}", v) for k, v in headers.items()), ("title", " ".join(title[1].split()) if title else ""), ("language", lang[1] if lang else ""), ("payload-digest", row.payload_digest or sha1_digest(body)), *(("outlink", x) for x in links)]
@@ -105,7 +105,8 @@ def build_derivatives(records: DataFrame) -> DataFrame:
 
     Both name the response in refers_to and keep its target, date and HTTP
     headers; the metadata also holds its payload digest, title, language and
-    links.  The conversion holds the text of the page, one block a line.
+    links.  The conversion holds the whole text of the page, menus and
+    footers too, one block a line; the title is in the metadata.
     """
 
     def run(frames):

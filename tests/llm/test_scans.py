@@ -263,6 +263,13 @@ def test_warc_derivatives_round_trip(spark, tmp_path):
     assert W.build_derivatives(W.responses(pages.limit(0))).count() == 0
 
 
+def test_conversion_holds_the_whole_text(spark):
+    html = "<head><title>T</title><style>p{}</style></head><body><nav><a href=x>menu</a></nav><header>Site</header><div class='ad'>buy</div><article><p>story</article><aside>side</aside><form>send <select><option>one</select></form><p hidden>hid</p><script>x()</script><footer>end"
+    made = W.build_derivatives(W.responses(spark.createDataFrame([(1, "u", html, "m", "k", "t")], PAGES)))
+    text = [bytes(r["block"]).decode() for r in made.collect() if r["warc_type"] == "conversion"]
+    assert text == ["menu\nSite\nbuy\nstory\nside\nsend\none\nhid\nend"]
+
+
 @pytest.mark.parametrize("data,want", [("YWJj", b"abc"), ("YWJ", b"ab"), ("Y", None), ("--__", b"\xfb\xef\xff")])
 def test_base64(data, want):
     assert S.decode_base64(data) == want
