@@ -26,6 +26,13 @@ _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+_ESCAPED = re.compile(r"\\+[nrt]")
+_PEM_HEADERS = re.compile(r"\s*((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[ \t]+[^\n]*\n)*)+)")
+_CIPHER = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*[0-9A-Fa-f]{16,}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/_-]{15,}(?=(?:\s|\\+[nrt])+[A-Za-z0-9+/_-])")
+_BREAK = re.compile(r"(?:\s|\\+[nrt])+")
+_CHUNK = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_ENCRYPTION = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))  # fixed value: PKCS 5 and PKCS 12
 _SSH_MAGIC = b"openssh-key-v1\x00"
 
 
@@ -72,18 +79,24 @@ def is_der_key(data: bytes) -> bool:
     """A sequence filled exactly by nested items, led by a version number, as private keys are.
 
     Accepts RSA keys (version and at least eight integers), EC keys (version 1 and
-    a key string) and wrapped keys (version, algorithm with an object identifier,
-    key string).
+    a key string), DSA keys (version 0 and five integers), wrapped keys (version,
+    algorithm with an object identifier, key string) and encrypted ones (a password
+    scheme and a string).
     """
     top = _der_item(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
         return False
     items = _der_items(data, top[1], top[2])
+    if items and [t for t, _, _ in items] == [0x30, 0x04]:
+        inner = _der_items(data, items[0][1], items[0][2])
+        return bool(inner) and inner[0][0] == 0x06 and data[inner[0][1] : inner[0][2]].startswith(_ENCRYPTION) and items[1][2] - items[1][1] >= 16
     if not items or items[0][0] != 0x02 or items[0][2] - items[0][1] != 1:
         return False
     tags = [t for t, _, _ in items]
     if len(tags) >= 9 and set(tags[:9]) == {0x02}:
         return True
+    if tags == [0x02] * 6 and data[items[0][1]] == 0:
+        return items[1][2] - items[1][1] >= 64 and 20 <= items[2][2] - items[2][1] <= 33
     if len(tags) >= 2 and tags[1] == 0x04 and data[items[0][1]] == 1:
         return items[1][2] - items[1][1] >= 16
     if len(tags) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:
@@ -115,6 +128,53 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(first, dict) and isinstance(first.get("alg"), str) and isinstance(second, dict)
 
 
+def is_pem_key(body: str) -> bool:
+    """Whether what stands between the marks is a key: line ends may be escaped, headers may come first.
+
+    The content of a key encrypted by its headers is cipher text; whole blocks of it are what can be told.
+    """
+    body = _ESCAPED.sub("\n", body).replace("\\/", "/")
+    headers = _PEM_HEADERS.match(body)
+    data = decode_base64("".join(body[headers.end() if headers else 0 :].split()))
+    if not data:
+        return False
+    if headers and "ENCRYPTED" in headers[1] and _CIPHER.search(headers[1]):
+        return len(data) >= 16 and len(data) % 8 == 0
+    return is_der_key(data) or is_ssh_key(data)
+
+
+def wrapped_key(text: str, start: int, end: int) -> tuple[str, int] | None:
+    """Kind and end of a key whose base64 goes on over white space or escaped line ends after its first line.
+
+    A DER key says how long it is; an SSH key ends with its first shorter line.
+    """
+    width = end - start
+    first = decode_base64(text[start : start + width // 4 * 4]) or b""
+    ssh, need = first.startswith(_SSH_MAGIC), 0
+    if not ssh:
+        if len(first) < 6 or first[0] != 0x30:
+            return None
+        n = first[1] & 0x7F if first[1] & 0x80 else 0
+        if n > 3 or first[2 + n] not in (0x02, 0x30):
+            return None
+        need = -(-(2 + n + (int.from_bytes(first[2 : 2 + n], "big") if n else first[1])) * 4 // 3)
+    parts, have, at = [text[start:end]], width, end
+    while ssh or have < need:
+        gap = _BREAK.match(text, at)
+        chunk = _CHUNK.match(text, gap.end()) if gap else None
+        if not chunk:
+            break
+        parts.append(chunk[0])
+        have += len(chunk[0].rstrip("="))
+        at = chunk.end()
+        if len(chunk[0]) != width:
+            break
+    data = decode_base64("".join(parts)) if len(parts) > 1 else None
+    if not data or not (is_ssh_key(data) if ssh else is_der_key(data)):
+        return None
+    return ("ssh" if ssh else "der"), at
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the base patterns, leftmost and non-overlapping per kind; too short matches are dropped."""
     out = []
@@ -132,8 +192,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     out = []
     if "-----BEGIN" in text:
         for m in _PEM.finditer(text):
-            data = decode_base64("".join(m[2].split()))
-            if data and (is_der_key(data) or is_ssh_key(data)):
+            if is_pem_key(m[2]):
                 out.append(("pem", m.start(), m.end()))
     if "eyJ" in text:
         out += [("token", m.start(), m.end()) for m in _SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
@@ -143,6 +202,11 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             out.append(("ssh", m.start(), m.end()))
         elif data and is_der_key(data):
             out.append(("der", m.start(), m.end()))
+    pems, after = [(a, b) for k, a, b in out if k == "pem"], 0
+    for m in _WRAPPED.finditer(text):
+        if m.start() >= after and not any(a <= m.start() < b for a, b in pems) and (found := wrapped_key(text, m.start(), m.end())):
+            after = found[1]
+            out.append((found[0], m.start(), after))
     for m in _HEX_ANY.finditer(text):
         if is_der_key(bytes.fromhex(m[0])):
             out.append(("der", m.start(), m.end()))

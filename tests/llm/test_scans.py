@@ -217,6 +217,25 @@ def test_structural_confirmation():
     assert S.confirmed_spans("A" * 60 + " " + "ab" * 40 + " eyJhIjox.eyJhIjox.x") == []
 
 
+def test_common_forms_of_keys():
+    import textwrap
+
+    def pem(name, body, end="\n"):
+        return f"-----BEGIN {name}PRIVATE KEY-----{end}{body}{end}-----END {name}PRIVATE KEY-----"
+
+    b64 = lambda b, end="\n": end.join(textwrap.wrap(base64.b64encode(b).decode(), 64))
+    dsa = der(0x30, der(2, b"\0") + der(2, b"\1" * 128) + der(2, b"\1" * 20) + b"".join(der(2, b"\1" * 100) for _ in range(3)))
+    locked = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, b"")) + der(4, b"x" * 64))
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    for text in (pem("RSA ", b64(RSA, "\\n"), "\\n"), pem("RSA ", b64(RSA, "\\\\n"), "\\\\n"), pem("RSA ", headers + b64(b"\7" * 160)), pem("ENCRYPTED ", b64(locked)), pem("DSA ", b64(dsa))):
+        assert ("pem", 2, 2 + len(text)) in S.confirmed_spans("a " + text + " b"), text
+    for kind, data in (("der", RSA), ("der", dsa), ("der", locked), ("ssh", SSH)):
+        for end in ("\n", "\n    ", "\\n"):
+            text = b64(data, end)
+            assert (kind, 6, 6 + len(text)) in S.confirmed_spans(f"a key {text}\n\nwords follow"), (kind, end)
+    assert S.confirmed_spans(pem("RSA ", "Comment: none\n\n" + b64(b"\7" * 160)) + "\n" + b64(b"\x30" * 160)) == []
+
+
 def test_base_patterns_equal_plain_finditer(make):
     import re
 
