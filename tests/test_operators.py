@@ -238,3 +238,29 @@ def test_empty_inputs(spark):
     assert cells.segments(pd.DataFrame({"rank": [], "umi": []})) == []
     cuts = cells.segments(pd.DataFrame({"rank": range(1, 500), "umi": range(500, 1, -1)}))
     assert cuts[0][0] == 0 and cuts[-1][1] == 499 and all(a[1] == b[0] for a, b in itertools.pairwise(cuts))
+
+
+def test_empty_drops_is_registered_whole(monkeypatch):
+    import inspect
+
+    from tessera import queries
+
+    taken = {}
+    whole = inspect.signature(cells.empty_drops)
+
+    class Table:
+        def select(self, *columns):
+            return self
+
+    def record(*args, **kwargs):
+        call = whole.bind(*args, **kwargs)
+        call.apply_defaults()
+        taken.update(call.arguments)
+        return Table()
+
+    monkeypatch.setattr(cells, "empty_drops", record)
+    monkeypatch.setattr(queries, "mol", lambda *a: None)
+    monkeypatch.setattr(queries.F, "round", lambda *a: queries.F)
+    monkeypatch.setattr(queries.F, "alias", lambda *a: None, raising=False)
+    queries.QUERIES["emptydrops_calls"](None, "")
+    assert taken["candidates"] == 20_000 and taken["sims"] == 10_000
