@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,20 +26,49 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Only where the session names none (local tests) a temporary folder is set.
-    """
+    """The folder that driver and executors share, from spark.checkpoint.dir or the context's checkpoint folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jvm_dir.get() if jvm_dir.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    if not found and spark.sparkContext.master.startswith("local"):
+        # one machine is the whole cluster: the session's warehouse serves as the shared folder
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
         spark.sparkContext.setCheckpointDir(found)
+    if not found:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def make_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in any store; it has its name only once it is whole."""
+    draft, fs = _file_system(spark, path + ".draft")
+    out = fs.create(draft, True)
+    out.write(text.encode())
+    out.close()
+    fs.rename(draft, _file_system(spark, path)[0])
+
+
+def read_latest(spark: SparkSession, folder: str, prefix: str) -> str:
+    """The text of the small file under folder whose name, with this prefix, comes last."""
+    at, fs = _file_system(spark, folder)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(at))
+    names = [n for n in names if n.startswith(prefix) and not n.endswith(".draft")]
+    if not names:
+        raise FileNotFoundError(f"{folder} holds no {prefix} file")
+    stream = fs.open(_file_system(spark, f"{folder}/{names[-1]}")[0])
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 class Stages:
     """Written tables of one query run; each cuts the lineage at a shared folder.
 
@@ -61,11 +89,17 @@ class Stages:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_bucketed(self, df: DataFrame, label: str, buckets: int, by: list[str], apart: str) -> DataFrame:
+        """Write df in buckets of ``by``, so that joins on these columns leave it where it lies, in one folder per value of ``apart``."""
+        self._n += 1
+        name = "tessera_" + uuid.uuid4().hex
+        df.write.format("parquet").partitionBy(apart).bucketBy(buckets, *by).option("path", f"{self.path}/{self._n}-{label}").option("compression", "zstd").saveAsTable(name)
+        return self.spark.table(name)
+
     def drop(self, path: str | None = None) -> None:
         try:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path or self.path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            p, fs = _file_system(self.spark, path or self.path)
+            fs.delete(p, True)
         except Exception:  # noqa: BLE001  the session may have ended before the interpreter
             pass
 

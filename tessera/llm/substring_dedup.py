@@ -3,30 +3,46 @@
 Every window of WINDOW words holds CORE-word windows at WINDOW - CORE + 1
 places; the one with the least hash (the leftmost of equals) is its anchor.
 Equal windows have equal anchors at equal offsets, so anchors alone are indexed,
-about one in thirteen words.  A run of the index is immutable: per bucket of the
-hash space, sorted anchor hashes with the texts and positions they stand at.  A
-new batch is merged bucket by bucket with the runs there are; anchors that stand
-at two places or more are hits, and the windows around hits are then verified
-by hashes of all their words before anything is removed.
+about one in thirteen words.
+
+The index is a log of immutable runs in a shared folder.  A run holds each anchor
+hash once, with one place it stands at and whether it stands at more, in
+buckets of the hash that are sorted inside.  A batch becomes a run of its own,
+merge-joined bucket by bucket with the runs there are, which stay where they
+lie; when runs have gathered, they are merged into one.  A manifest names the
+live runs, so an index can be opened again.
+
+Anchors at two places or more are hits; the windows around hits are then
+verified by a 128-bit digest of all their words before anything is removed.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
+import json
+import uuid
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Stages, join_groups
-from .textkit import ALT_WORD_BASE, U, chunks, inner, texts_of, windows, words_of
+from .common import Stages, join_groups, make_text_file, read_latest
+from .textkit import U, chunks, inner, texts_of, windows, words_of
 
 CORE = 10
 _POS = U((1 << 30) - 1)
-_BUCKET = "bucket int, kind string, src long, h binary, h2 binary, doc binary, at binary"
 _FLUSH = 1 << 24  # characters of text whose entries leave a worker together
+_ENTRY = "h long, k1 long, k2 long, at int, many boolean, places array<int>"
+_WINDOW = "d1 long, d2 long, k1 long, k2 long, at int, many boolean, places array<int>"
+_HIT = "k1 long, k2 long, at int, places array<int>"
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    """The 128 bits by which a text is known, as two columns."""
+    hexed = F.md5(text)
+    return tuple(F.conv(F.substring(hexed, at, 16), 16, -10).cast("long") for at in (1, 17))
 
 
 def anchors(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,23 +63,6 @@ def anchors(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndar
     return at, (low[at] & _POS).astype(np.int64), core
 
 
-def _blobs(kind: str, n_buckets: int, h: np.ndarray, h2: np.ndarray | None, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """Entries as one row per bucket, ordered by hash within it."""
-    bucket = ((h >> U(33)) % U(n_buckets)).astype(np.int64)
-    order = np.lexsort((h, bucket))
-    edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    parts = np.split(order, edge[1:]) if len(order) else []
-    return pd.DataFrame({
-        "bucket": bucket[order[edge]].astype(np.int32) if len(order) else np.zeros(0, np.int32),
-        "kind": kind,
-        "src": np.int64(0),
-        "h": [h[p].tobytes() for p in parts],
-        "h2": [h2[p].tobytes() if h2 is not None else None for p in parts],
-        "doc": [doc[p].tobytes() for p in parts],
-        "at": [at[p].astype(np.uint32).tobytes() for p in parts],
-    })
-
-
 def _flushes(frames):
     """Lists of frame slices holding about _FLUSH characters together."""
     held, size = [], 0
@@ -77,7 +76,30 @@ def _flushes(frames):
         yield held
 
 
-def _anchor_rows(window: int, n_buckets: int):
+def _folded(names: list[str], keys: list[np.ndarray], k1: np.ndarray, k2: np.ndarray, at: np.ndarray):
+    """Entries with each key once, and one row per text with its places whose key repeats here.
+
+    So a key that stands everywhere leaves a worker once a flush, however many
+    places it has; ``many`` says that its places here are known already.
+    """
+    order = np.lexsort((*keys,))
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    group = np.cumsum(new) - 1
+    many = np.bincount(group, minlength=1)[group] > 1 if len(order) else new
+    one = order[new]
+    yield pd.DataFrame({**{n: k[one] for n, k in zip(names, keys, strict=True)}, "k1": k1[one], "k2": k2[one], "at": at[one], "many": many[new], "places": None})
+    known = np.sort(order[many])  # by text and place again
+    if len(known):
+        edge = np.flatnonzero(np.concatenate([[True], (k1[known][1:] != k1[known][:-1]) | (k2[known][1:] != k2[known][:-1])]))
+        texts = known[edge]
+        # spread by the text's key; a missing second part tells these rows apart
+        spread = {n: k1[texts] if n == "d1" else None for n in names}
+        yield pd.DataFrame({**spread, "k1": k1[texts], "k2": k2[texts], "at": None, "many": True, "places": np.split(at[known], edge[1:])})
+
+
+def _anchor_rows(window: int):
     def run(frames):
         for held in _flushes(frames):
             found = []
@@ -86,115 +108,112 @@ def _anchor_rows(window: int, n_buckets: int):
                 _, pos, core = anchors(words.hash, words.first, window)
                 pos = np.unique(pos)
                 owner = np.searchsorted(words.first, pos, "right") - 1
-                found.append((core[pos], part["key"].to_numpy(np.int64)[owner], pos - words.first[owner]))
-            h, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield _blobs("batch", n_buckets, h, None, doc, at)
-
-    return run
-
-
-def _gathered(frames):
-    """Rows of one partition, sorted by bucket, bucket by bucket."""
-    now, rows = None, []
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            if row.bucket != now and rows:
-                yield now, rows
-                rows = []
-            now = row.bucket
-            rows.append(row)
-    if rows:
-        yield now, rows
-
-
-def _repeated(doc: np.ndarray, at: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, which entries in that order share their keys with an entry at another place)."""
-    order = np.lexsort((at, doc, *keys))
-    new = np.zeros(len(order), bool)
-    new[0] = True
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    d, a = doc[order], at[order]
-    moved = np.zeros(len(order), np.int64)
-    moved[1:] = (d[1:] != d[:-1]) | (a[1:] != a[:-1])
-    moved[new] = 0
-    group = np.cumsum(new) - 1
-    return order, np.bincount(group, moved)[group] > 0
-
-
-def _by_group(bucket: int, groups: int, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """Places as one row per group of texts, so that rows do not multiply with the texts a bucket meets."""
-    group = (doc.view(U) >> U(7)) % U(groups)
-    order = np.lexsort((at, doc, group))
-    group, doc, at = group[order].astype(np.int64), doc[order], at[order].astype(np.uint32)
-    fresh = np.ones(len(doc), bool)
-    fresh[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
-    group, doc, at = group[fresh], doc[fresh], at[fresh]
-    edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    docs, ats = (np.split(x, edge[1:]) if len(doc) else [] for x in (doc, at))
-    return pd.DataFrame({"bucket": np.int32(bucket), "kind": "hit", "src": group[edge], "h": None, "h2": None, "doc": [p.tobytes() for p in docs], "at": [p.tobytes() for p in ats]})
-
-
-def _per_text(frames):
-    """Places from all buckets, one row per text; the rows come sorted by group."""
-    for _, rows in _gathered(frames):
-        doc = np.concatenate([np.frombuffer(r.doc, np.int64) for r in rows])
-        at = np.concatenate([np.frombuffer(r.at, np.uint32) for r in rows])
-        order = np.lexsort((at, doc))
-        doc, at = doc[order], at[order]
-        edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        yield pd.DataFrame({"key": doc[edge], "at": [p.tobytes() for p in np.split(at, edge[1:])]})
-
-
-def _places(rows: DataFrame, groups: int) -> DataFrame:
-    """(key, at) with all places of a text in one row, from rows of _by_group."""
-    dealt = rows.select(F.col("src").alias("bucket"), "doc", "at").repartition(groups, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInPandas(_per_text, "key long, at binary")
-
-
-def _merge(compact: bool, n_buckets: int):
-    """Merge a bucket's batch with its runs: a new run (of all, if compacting) and the hits that the batch brings."""
-
-    def run(frames):
-        for bucket, rows in _gathered(frames):
-            h, doc, at = (np.concatenate([np.frombuffer(getattr(r, c), t) for r in rows]) for c, t in (("h", U), ("doc", np.int64), ("at", np.uint32)))
-            fresh = np.concatenate([np.full(len(r.h) // 8, r.kind == "batch") for r in rows])
-            order, hit = _repeated(doc, at, h)
-            s = h[order]
-            group = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]])) - 1
-            news = np.bincount(group, fresh[order])[group] > 0
-            yield _by_group(bucket, n_buckets, doc[order][hit & news], at[order][hit & news])
-            keep = order if compact else order[fresh[order]]
-            if len(keep):
-                yield pd.DataFrame({"bucket": np.int32(bucket), "kind": "run", "src": np.int64(0), "h": [h[keep].tobytes()], "h2": None, "doc": [doc[keep].tobytes()], "at": [at[keep].tobytes()]})
+                found.append((core[pos].view(np.int64), part["k1"].to_numpy(np.int64)[owner], part["k2"].to_numpy(np.int64)[owner], (pos - words.first[owner]).astype(np.int32)))
+            h, *place = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield from _folded(["h"], [h], *place)
 
     return run
 
 
 class FingerprintIndex:
-    """Sorted immutable runs in the shared folder; add() merges a batch and returns its hits."""
-
-    def __init__(self, stages: Stages, window: int, n_buckets: int, fan_in: int = 4):
-        self.stages, self.window, self.n_buckets, self.fan_in = stages, window, n_buckets, fan_in
-        self.runs: list[DataFrame] = []
+    """Sorted immutable runs under a folder that all executors share."""
+
+    def __init__(self, spark: SparkSession, path: str, window: int, buckets: int, fan_in: int, names: list[str], number: int):
+        self.spark, self.path, self.window, self.buckets, self.fan_in, self.number = spark, path, window, buckets, fan_in, number
+        self.compactions = 0
+        self.stages = Stages(spark, "index-work")
+        self.runs = [self._open_run(n) for n in names]
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, window: int = 35, buckets: int | None = None, fan_in: int = 3) -> FingerprintIndex:
+        """An empty index.  buckets is best the session's number of shuffle partitions, which it is unless given."""
+        index = cls(spark, path, window, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fan_in, [], 0)
+        index._publish()
+        return index
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> FingerprintIndex:
+        """The index under path as its last complete manifest describes it."""
+        return cls(spark, path, **json.loads(read_latest(spark, path, "manifest-")))
+
+    def _publish(self) -> None:
+        """Name the live runs in a new manifest; it counts once it is complete."""
+        self.number += 1
+        state = {"window": self.window, "buckets": self.buckets, "fan_in": self.fan_in, "names": [n for n, _ in self.runs], "number": self.number}
+        make_text_file(self.spark, f"{self.path}/manifest-{self.number:08d}", json.dumps(state))
+
+    def _open_run(self, name: str) -> tuple[str, str]:
+        table = "tessera_" + uuid.uuid4().hex
+        place = "struct<k1: bigint, k2: bigint, at: int>"
+        self.spark.sql(f"CREATE TABLE {table} (h BIGINT, k1 BIGINT, k2 BIGINT, at INT, many BOOLEAN, woken ARRAY<{place}>) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+        return name, table
+
+    def _write_run(self, rows: DataFrame) -> tuple[str, str]:
+        """A new run, in buckets sorted by hash; woken are places in older runs that were alone until now."""
+        name, table = f"run-{uuid.uuid4().hex}", "tessera_" + uuid.uuid4().hex
+        rows.select("h", "k1", "k2", "at", "many", "woken").write.format("parquet").bucketBy(self.buckets, "h").sortBy("h").option("path", f"{self.path}/{name}").option("compression", "zstd").saveAsTable(table)
+        return name, table
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """batch(key, text) -> hits, packed by _by_group: anchors, in it or in the runs, that it repeats.
+        """Take in batch(k1, k2, text), texts that differ and are not in the index yet; return its hits.
 
-        When fan_in runs have gathered, the new run takes them all in.
+        Hits are the places (k1, k2 and at or places) of anchors that stand at two
+        places or more: those of the batch, and those in the runs that it repeats.
         """
-        compact = len(self.runs) + 1 >= self.fan_in
-        rows = batch.mapInPandas(_anchor_rows(self.window, self.n_buckets), _BUCKET)
-        for old in self.runs:
-            rows = rows.unionByName(old)
-        merged = rows.repartition(self.n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_merge(compact, self.n_buckets), _BUCKET)
-        written = self.stages.keep(merged, "run")
-        self.runs = ([] if compact else self.runs) + [written.filter("kind = 'run'")]
-        return written.filter("kind = 'hit'")
+        found = self.stages.keep(batch.select("k1", "k2", "text").mapInPandas(_anchor_rows(self.window), _ENTRY), "entries")
+        entries = found.filter("h is not null")
+        new = entries.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
+        woken = []
+        for i, (_, table) in enumerate(self.runs):
+            old = self.spark.table(table).select("h", F.col("many").alias(f"many{i}"), F.struct("k1", "k2", "at").alias(f"place{i}"))
+            new = new.join(old, "h", "left").withColumn("many", F.col("many") | F.col(f"many{i}").isNotNull())
+            woken.append(F.when(~F.col(f"many{i}"), F.col(f"place{i}")))
+        none = F.array().cast("array<struct<k1: bigint, k2: bigint, at: int>>")
+        run = self._write_run(new.withColumn("woken", F.filter(F.array(*woken), lambda p: p.isNotNull()) if woken else none))
+        self.runs.append(run)
+        self._publish()
+        rows, alone = self.spark.table(run[1]), F.lit(None).cast("array<int>").alias("places")
+        own = entries.filter("not many").join(rows.filter("many").select("h"), "h", "left_semi").select("k1", "k2", "at", alone)
+        hits = own.unionByName(rows.filter("size(woken) > 0").select(F.inline("woken")).select("k1", "k2", "at", alone)).unionByName(found.filter("h is null").select("k1", "k2", "at", "places"))
+        hits = self.stages.keep(hits, "hits")
+        if len(self.runs) >= self.fan_in:
+            self.compact()
+        return hits
+
+    def compact(self) -> None:
+        """Merge all runs into one; the old ones go after the manifest names the new one."""
+        old = self.runs
+        rows = reduce(DataFrame.unionByName, [self.spark.table(t).select("h", "k1", "k2", "at", "many") for _, t in old])
+        merged = rows.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
+        self.runs = [self._write_run(merged.withColumn("woken", F.array().cast("array<struct<k1: bigint, k2: bigint, at: int>>")))]
+        self._publish()
+        self.compactions += 1
+        for name, table in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.stages.drop(f"{self.path}/{name}")
+
+    def close(self) -> None:
+        """Forget the session's names of the runs; the files stay."""
+        for _, table in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _digests(words, starts: np.ndarray, window: int) -> np.ndarray:
+    """128-bit digests (two numbers each) of the windows at these words, over the bytes of their words joined by one space."""
+    sizes = words.end - words.start
+    solid = words.data[np.repeat(words.start - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+    at = np.cumsum(sizes + 1) - sizes - 1
+    joined = np.full(len(solid) + len(sizes), 32, np.uint8)
+    joined[np.arange(len(solid)) + np.repeat(np.arange(len(sizes)), sizes)] = solid
+    joined = joined.tobytes()
+    last = starts + window - 1
+    made = [hashlib.blake2b(joined[a:b], digest_size=16).digest() for a, b in zip(at[starts].tolist(), (at[last] + sizes[last]).tolist(), strict=True)]
+    return np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
+
+
+def _window_rows(window: int):
+    """The windows around the hits of each text, by digest."""
 
-
-def _window_rows(window: int, n_buckets: int):
     def run(frames):
         for held in _flushes(frames):
             found = []
@@ -203,40 +222,85 @@ def _window_rows(window: int, n_buckets: int):
                 starts, pos, _ = anchors(words.hash, words.first, window)
                 wanted = np.zeros(int(words.first[-1]) + 1, bool)
                 for k, blob in enumerate(part["hits"]):
-                    wanted[words.first[k] + np.frombuffer(blob, np.uint32).astype(np.int64)] = True
+                    wanted[words.first[k] + np.frombuffer(blob, np.int32).astype(np.int64)] = True
                 starts = starts[wanted[pos]]
-                whole = windows(words.hash, window)[starts]
-                other = windows(words.hash, window, ALT_WORD_BASE)[starts]
+                d = _digests(words, starts, window)
                 owner = np.searchsorted(words.first, starts, "right") - 1
-                found.append((whole, (other >> U(32)).astype(np.uint32), part["key"].to_numpy(np.int64)[owner], starts - words.first[owner]))
-            h, h2, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield _blobs("batch", n_buckets, h, h2, doc, at)
+                found.append((d[:, 0], d[:, 1], part["k1"].to_numpy(np.int64)[owner], part["k2"].to_numpy(np.int64)[owner], (starts - words.first[owner]).astype(np.int32)))
+            d1, d2, *place = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield from _folded(["d1", "d2"], [d1, d2], *place)
 
     return run
 
 
-def _verify(n_buckets: int):
-    def run(frames):
-        for bucket, rows in _gathered(frames):
-            h, h2, doc, at = (np.concatenate([np.frombuffer(getattr(r, c), t) for r in rows]) for c, t in (("h", U), ("h2", np.uint32), ("doc", np.int64), ("at", np.uint32)))
-            order, hit = _repeated(doc, at, h2, h)
-            yield _by_group(bucket, n_buckets, doc[order][hit], at[order][hit])
+def _repeated(frames):
+    """Places whose digest stands at two or more, from rows sorted by digest; only the last row is remembered."""
+    last, told = None, True  # the last row, and whether it has been given out
+    for frame in frames:
+        sure = frame["d2"].isna().to_numpy()
+        if sure.any():
+            yield frame.loc[sure, ["k1", "k2", "at", "places"]]
+        rows = frame.loc[~sure, ["d1", "d2", "k1", "k2", "at", "many"]]
+        if not len(rows):
+            continue
+        known = rows["many"].to_numpy(bool)
+        if last is not None:
+            rows, known = pd.concat([last, rows]), np.concatenate([[told], known])
+        d1, d2 = rows["d1"].to_numpy(np.int64), rows["d2"].to_numpy(np.int64)
+        same = np.zeros(len(rows) + 1, bool)
+        same[1:-1] = (d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])
+        hit = same[1:] | same[:-1]
+        yield rows.loc[hit & ~known, ["k1", "k2", "at"]].assign(places=None)
+        last, told = rows.iloc[-1:], bool(known[-1] or hit[-1])
+        rows.reset_index(drop=True, inplace=True)
 
-    return run
+
+def _per_text(frames):
+    """All places of each text in one row; the rows come sorted by text, and each frame gives what is whole in it."""
+    held = None
+    for frame in frames:
+        rows = pd.concat([held, frame]) if held is not None else frame
+        k1, k2 = rows["k1"].to_numpy(np.int64), rows["k2"].to_numpy(np.int64)
+        last = int(np.flatnonzero((k1 == k1[-1]) & (k2 == k2[-1]))[0])
+        yield _joined(rows.iloc[:last])
+        held = rows.iloc[last:]
+    if held is not None:
+        yield _joined(held)
+
+
+def _joined(rows: pd.DataFrame) -> pd.DataFrame:
+    lists = [np.asarray(p, np.int32) if p is not None else None for p in rows["places"]]
+    sizes = np.array([1 if p is None else len(p) for p in lists], np.int64)
+    at = np.repeat(rows["at"].fillna(0).to_numpy(np.int32), sizes)
+    if len(sizes) and sizes.max() > 1 or any(p is not None for p in lists):
+        ends = np.cumsum(sizes)
+        for k, p in enumerate(lists):
+            if p is not None:
+                at[ends[k] - sizes[k] : ends[k]] = p
+    k1, k2 = (np.repeat(rows[c].to_numpy(np.int64), sizes) for c in ("k1", "k2"))
+    order = np.lexsort((at, k2, k1))
+    k1, k2, at = k1[order], k2[order], at[order]
+    edge = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])) if len(at) else np.zeros(0, np.int64)
+    return pd.DataFrame({"k1": k1[edge], "k2": k2[edge], "places": [np.unique(p).tobytes() for p in np.split(at, edge[1:])] if len(at) else []})
+
+
+def _places(rows: DataFrame) -> DataFrame:
+    """(k1, k2, places): the places of each text, in one row; a text's places are no more than its words."""
+    return rows.select("k1", "k2", "at", "places").repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInPandas(_per_text, "k1 long, k2 long, places binary")
 
 
 def _strip(window: int, with_text: bool):
     def run(frames):
         for part in chunks(frames):
             out = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            for text, copies, blob in zip(texts_of(part["text"]), part["copies"], part["starts"], strict=True):
+            for text, copies, blob in zip(texts_of(part["text"]), part["copies"], part["places"], strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 cover = np.zeros(len(words) + 1, np.int64)
                 if len(words) >= window:
                     if copies > 1:
                         starts = np.arange(len(words) - window + 1)
                     else:
-                        starts = np.frombuffer(blob or b"", np.uint32).astype(np.int64)
+                        starts = np.frombuffer(blob or b"", np.int32).astype(np.int64)
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, starts + window, -1)
                 gone = np.cumsum(cover)[:-1] > 0
@@ -245,53 +309,48 @@ def _strip(window: int, with_text: bool):
                 out["n_removed"].append(int(gone.sum()))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 out["kept_text"].append(kept.decode("utf-8", "surrogatepass") if with_text else None)
-            yield pd.DataFrame({"doc_id": part["doc_id"], **out})
+            yield pd.DataFrame({"key": part["key"], "copies": part["copies"], **out})
 
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 2, bucket_chars: int = 8 << 20, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 4, fan_in: int = 3, with_text: bool = False) -> DataFrame:
     """Remove every word covered by a window of ``window`` words that also starts elsewhere.
 
     Words are the runs outside ASCII white space, unchanged; "elsewhere" is any
-    other start, in the same text too; windows are judged on the input.  The
-    texts enter the index in ``batches`` by a hash of the text.  Rows with equal
-    texts count as copies: if such a text has ``window`` words, all its windows
-    repeat and nothing of it is kept.  A common passage costs its bucket one
-    entry per place, never a pair.  Verification compares 96 bits of hash over
-    all words of a window besides its anchor; a text is known by 64 bits.
-
-    Null counts as empty; texts under ``window`` words lose nothing.  Returns
+    other start, in the same text too; windows are judged on the input.  Rows with
+    equal texts become one text first, known by the 128 bits of its md5; if such a text
+    has ``window`` words, all its windows repeat and nothing of it is kept.  The
+    texts enter the index in ``batches`` by their key, and runs are merged at
+    the fan-in.  A passage that stands everywhere costs one entry a flush of a
+    worker, never a pair.  Windows around hits are verified by a 128-bit
+    cryptographic digest over the bytes of all their words.
+
+    Null counts as empty; texts under ``window`` words lose nothing; rows that
+    repeat an id, or have none, are judged by their text.  Returns
     doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one
     space) and, if asked for, kept_text; one row per input row.
     """
     if window < CORE + 1:
         raise ValueError(f"a window has at least {CORE + 1} words")
     spark, stages = docs.sparkSession, Stages(docs.sparkSession, "substring")
-
-    def release() -> None:
-        """Let Spark drop the shuffle files of finished steps."""
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    copies = stages.keep(base.groupBy("key").agg(F.count("*").alias("copies"), F.sum(F.length("text")).alias("chars")), "copies")
-    total, chars = copies.agg(F.sum("copies"), F.sum("chars")).first()
-    n_buckets = max(8, int(-(-(chars or 0) // bucket_chars)))
-    index = FingerprintIndex(stages, window, n_buckets)
-    hits = None
-    for k in range(batches):
-        found = index.add(base.filter(F.pmod(F.shiftright("key", 8), F.lit(batches)) == k).select("key", "text"))
-        hits = found if hits is None else hits.unionByName(found)
-        release()
-    by_text = stages.keep(_places(hits, n_buckets), "hits")
-    rows = base.select("key", "text").join(by_text.withColumnRenamed("at", "hits"), "key").mapInPandas(_window_rows(window, n_buckets), _BUCKET)
-    starts = stages.keep(rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_verify(n_buckets), _BUCKET), "verified")
-    release()
-    starts = stages.keep(_places(starts, n_buckets), "starts")
-    release()
-    per_text = copies.filter("copies = 1").join(starts.withColumnRenamed("at", "starts"), "key").select("key", F.lit(1).cast("long").alias("copies"), "starts")
-    marks = per_text.unionByName(copies.filter("copies > 1").select("key", "copies", F.lit(None).cast("binary").alias("starts")))
-    joined = join_groups(base, marks, "key", "copies", int(total or 0)).select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "starts")
-    out = joined.mapInPandas(_strip(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    return out if with_text else out.drop("kept_text")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    k1, k2 = text_key(F.col("text"))
+    texts = base.select(k1.alias("k1"), k2.alias("k2"), "text").groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    texts = stages.keep_bucketed(texts.withColumn("batch", F.pmod("k2", F.lit(batches)).cast("int")), "texts", buckets, ["k1", "k2"], "batch")
+    index = FingerprintIndex.create(spark, f"{stages.path}/index", window, buckets, fan_in)
+    hits = reduce(DataFrame.unionByName, [index.add(texts.filter(F.col("batch") == k)) for k in range(batches)])
+    index.close()
+    by_text = _places(hits).withColumnRenamed("places", "hits")
+    rows = texts.select("k1", "k2", "text").join(by_text, ["k1", "k2"]).mapInPandas(_window_rows(window), _WINDOW)
+    repeated = rows.repartition("d1", "d2").sortWithinPartitions("d1", "d2").mapInPandas(_repeated, _HIT)
+    starts = stages.keep(_places(repeated), "starts")
+    judged = texts.join(starts, ["k1", "k2"], "left").select(F.md5("text").alias("key"), "copies", "text", "places")
+    made = stages.keep(judged.mapInPandas(_strip(window, with_text), "key string, copies long, n_words long, n_removed long, kept_sha256 string, kept_text string"), "made")
+    light = base.select("doc_id", F.md5("text").alias("key"))
+    if with_text:
+        return light.join(made, "key", "left").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
+    total = made.agg(F.sum("copies")).first()[0]
+    out = join_groups(light, made.drop("kept_text"), "key", "copies", int(total or 0))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -12,18 +12,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 U = np.uint64
-_M64 = (1 << 64) - 1
-BYTE_BASE = 0x9E3779B97F4A7C15 | 1
-WORD_BASE = 0xD6E8FEB86659FD93 | 1
-ALT_BYTE_BASE = 0xC2B2AE3D27D4EB4F | 1
-ALT_WORD_BASE = 0x165667B19E3779F9 | 1
+_NEAR_LETTERS = 64  # places of a word whose letter codes are looked up
+_LEFT, _RIGHT = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 
 #: Texts are handled in chunks of about this many bytes, which bounds the arrays
 #: of a worker; a longer text forms a chunk of its own.
 CHUNK_BYTES = 1 << 20
 
-_POWERS: dict[int, np.ndarray] = {}
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
@@ -32,28 +27,6 @@ _PUNCT = np.zeros(256, bool)
 _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = np.empty(size, U)
-        out[0] = 1
-        filled = 1
-        while filled < size:
-            step = U(pow(base, filled, 1 << 64))
-            take = min(filled, size - filled)
-            out[filled : filled + take] = out[:take] * step
-            filled += take
-        _POWERS[base] = have = out
-    return have[:n]
-
-
-def inverse(base: int) -> int:
-    """The inverse of an odd base modulo 2**64."""
-    return pow(base, -1, 1 << 64)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser; the result is a fresh array."""
     x = x ^ (x >> U(30))
@@ -64,6 +37,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_CODES = mix((np.arange(1, (_NEAR_LETTERS << 8) + 1, dtype=U)) * _LEFT)
+
+
 class Words:
     """The words of a list of texts.
 
@@ -71,11 +47,11 @@ class Words:
     total at the end; start, end: byte range of each word in ``data``.
     """
 
-    __slots__ = ("alt", "data", "end", "first", "hash", "start")
+    __slots__ = ("data", "end", "first", "hash", "letters", "start")
 
-    def __init__(self, hashes, alt, first, start, end, data):
-        self.hash, self.alt, self.first = hashes, alt, first
-        self.start, self.end, self.data = start, end, data
+    def __init__(self, first, start, end, data, letters):
+        self.first, self.start, self.end, self.data, self.letters = first, start, end, data, letters
+        self.hash = self.beginnings()
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -83,13 +59,31 @@ class Words:
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
+    def beginnings(self, most: int | None = None) -> np.ndarray:
+        """A hash of the first ``most`` bytes of each word, of the whole word without a limit."""
+        sizes = self.end - self.start
+        at = np.cumsum(sizes) - sizes
+        taken = sizes if most is None else np.minimum(sizes, most)
+        if not len(sizes):
+            return np.zeros(0, U)
+        if most is None:
+            out = np.add.reduceat(self.letters, at)
+        else:
+            out = self.letters[at].copy()
+            for k in range(1, most):
+                longer = np.flatnonzero(taken > k)
+                out[longer] += self.letters[at[longer] + k]
+        out += taken.astype(U) * _RIGHT
+        return mix(out)
+
 
-def words_of(texts: list[str], ascii_lower: bool = False, full_lower: bool = False, strip_punctuation: bool = False, alt: bool = False) -> Words:
+def words_of(texts: list[str], ascii_lower: bool = False, full_lower: bool = False, strip_punctuation: bool = False) -> Words:
     """Cut and hash the words of the texts (None counts as empty).
 
-    alt also computes an independent second hash.  full_lower lowers all of
-    Unicode, ascii_lower only A-Z; strip_punctuation removes ASCII punctuation
-    bytes, so a word of punctuation alone vanishes.
+    A word's hash is the mixed sum of one random code per byte and its place in
+    the word, so words that differ in regular ways do not cancel out.  full_lower
+    lowers all of Unicode, ascii_lower only A-Z; strip_punctuation removes ASCII
+    punctuation bytes, so a word of punctuation alone vanishes.
     """
     raw = [(t.lower() if full_lower else t).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
@@ -101,40 +95,42 @@ def words_of(texts: list[str], ascii_lower: bool = False, full_lower: bool = Fal
         kept = np.zeros(len(data) + 1, np.int64)
         np.cumsum(keep, out=kept[1:])
         data, ends = data[keep], kept[ends]
-    space = _SPACE[data]
+    solid = ~_SPACE[data]
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~space
+    inside[1:-1] = solid
     edge = np.diff(inside)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     first = np.zeros(len(raw) + 1, np.int64)
     first[1:] = np.searchsorted(start, ends)
-    plain = data.astype(U)
-    plain += U(1)
-    return Words(_spans(plain, start, end, BYTE_BASE), _spans(plain, start, end, ALT_BYTE_BASE) if alt else None, first, start, end, data)
+    return Words(first, start, end, data, _letter_codes(data[solid], end - start))
 
 
-def _spans(plain: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    prefix = np.zeros(len(plain) + 1, U)
-    np.cumsum(plain * powers(base, len(plain)), out=prefix[1:])
-    out = (prefix[end] - prefix[start]) * powers(inverse(base), len(plain) + 1)[start]
-    out += (end - start).astype(U) * U(0xA24BAED4963EE407)
-    return mix(out)
+def _letter_codes(solid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The code of each byte of the words at its place in its word."""
+    place = np.arange(len(solid)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    code = (place << 8) + solid
+    out = _CODES[np.minimum(code, len(_CODES) - 1)]
+    far = np.flatnonzero(place >= _NEAR_LETTERS)
+    out[far] = mix((code[far].astype(U) + U(1)) * _LEFT)
+    return out
 
 
-def windows(hashes: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarray:
-    """A hash of each run of ``width`` consecutive words, borders of texts ignored."""
+def windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of ``width`` consecutive words, borders of texts ignored.
+
+    Runs double in length until two, overlapping if need be, make the width.
+    """
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, U)
-    if width <= 8:
-        out = hashes[:n].copy()
-        for k in range(1, width):
-            out *= U(base)
-            out += hashes[k : k + n]
-        return mix(out)
-    prefix = np.zeros(len(hashes) + 1, U)
-    np.cumsum(hashes * powers(base, len(hashes)), out=prefix[1:])
-    return mix((prefix[width:] - prefix[:n]) * powers(inverse(base), n))
+    out, have = mix(hashes + U(width)), 1
+    while have < width:
+        step = min(have, width - have)
+        left = out[: len(out) - step] * _LEFT
+        left += out[step:] * _RIGHT
+        out = mix(left)
+        have += step
+    return out
 
 
 def inner(first: np.ndarray, width: int) -> np.ndarray:

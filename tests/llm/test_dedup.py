@@ -3,11 +3,12 @@ import random
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessera.llm.exact_dedup import drop_exact_copies, exact_dedup
 from tessera.llm.near_dedup import SIZE, drop_near_copies, near_components, sketch
-from tessera.llm.substring_dedup import remove_repeats
+from tessera.llm.substring_dedup import FingerprintIndex, _folded, _places, _repeated, anchors, remove_repeats
 from tessera.llm.textkit import inner, windows, words_of
 
 WORDS = [f"w{i}é" if i % 7 == 0 else f"word{i}" for i in range(400)]
@@ -73,7 +74,7 @@ def test_near_without_ids_or_rows(make):
 @pytest.mark.parametrize("window", [12, 35])
 def test_remove_repeats_equals_brute_force(make, window):
     rows = corpus(7)
-    got = {r["doc_id"]: r for r in remove_repeats(make(rows), window=window, with_text=True, batches=3, bucket_chars=20_000).collect()}
+    got = {r["doc_id"]: r for r in remove_repeats(make(rows), window=window, with_text=True, batches=5).collect()}
     for i, (n, gone, kept) in brute.remove_repeats(rows, window).items():
         assert (got[i]["n_words"], got[i]["n_removed"]) == (n, gone)
         assert got[i]["kept_text"] == kept and got[i]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
@@ -88,6 +89,83 @@ def test_remove_repeats_edges(make):
         remove_repeats(make([]), window=5)
 
 
+def opposite_words(n):
+    """Two words over a and b that a hash by powers modulo 2**64 cannot tell apart."""
+    a = "a"
+    while len(a) < n:
+        a += a.translate({97: 98, 98: 97})
+    return a, a.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("n", [64, 512, 1024])
+def test_words_that_differ_in_regular_ways_stay_apart(make, n):
+    a, b = opposite_words(n)
+    rows = [(k, " ".join([*(f"q{i}" for i in range(20)), w, *(f"q{i}" for i in range(20, 39))])) for k, w in enumerate((a, b))]
+    assert len(set(words_of([a, b]).hash.tolist())) == 2
+    assert {r["n_removed"] for r in remove_repeats(make(rows)).collect()} == {0}
+    assert {r["component_id"] for r in near_components(make(rows), percent=85).collect()} == {0, 1}
+
+
+def hits_of(frame):
+    return {(r["k1"], int(at)) for r in frame.collect() for at in np.frombuffer(r["places"], np.int32)}
+
+
+def test_index_is_compacted_reopened_and_complete(spark, tmp_path):
+    rng = random.Random(11)
+    passages = [text(rng, 30) for _ in range(6)]
+    texts = [(k, k, " ".join([text(rng, 15), rng.choice(passages), text(rng, 15)])) for k in range(80)]
+    table = spark.createDataFrame(texts, "k1 long, k2 long, text string")
+    path, found = f"file://{tmp_path}/index", set()
+    index = FingerprintIndex.create(spark, path, window=20, buckets=3, fan_in=3)
+    for k in range(7):
+        if k in (2, 5):  # once before and once after a compaction
+            index.close()
+            index = FingerprintIndex.open(spark, path)
+            assert (index.window, index.buckets, index.fan_in) == (20, 3, 3)
+        found |= hits_of(_places(index.add(table.filter(f"k1 % 7 = {k}"))))
+        assert 1 <= len(index.runs) <= 2
+    assert sum(1 for x in (tmp_path / "index").iterdir() if x.name.startswith("run-")) == len(index.runs)  # the merged ones are gone
+    at = {}
+    for k, _, t in texts:
+        w = words_of([t])
+        _, pos, core = anchors(w.hash, w.first, 20)
+        for p in set(pos.tolist()):
+            at.setdefault(int(core[p]), []).append((k, p))
+    assert found == {x for places in at.values() if len(places) > 1 for x in places}
+    index.close()
+    with pytest.raises(FileNotFoundError):
+        FingerprintIndex.open(spark, f"file://{tmp_path}")
+
+
+def test_run_merge_joins_without_moving_history(spark, tmp_path):
+    index = FingerprintIndex.create(spark, f"file://{tmp_path}/index", window=12)
+    index.add(spark.createDataFrame([(1, 1, text(random.Random(1), 50))], "k1 long, k2 long, text string"))
+    old = spark.table(index.runs[0][1])
+    new = spark.range(9).selectExpr("id as h").groupBy("h").count()
+    plan = new.hint("merge").join(old, "h")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and plan.count("Exchange") == 1
+    index.close()
+
+
+def test_a_window_everywhere_leaves_a_flush_once():
+    n = 1000
+    frames = list(_folded(["d1", "d2"], [np.full(n, 5), np.full(n, 6)], np.arange(n), np.arange(n), np.zeros(n, np.int32)))
+    assert len(frames[0]) == 1 and bool(frames[0]["many"][0]) and len(frames[1]) == n
+    assert len(list(_folded(["h"], [np.zeros(0, np.int64)], *[np.zeros(0, np.int64)] * 3))[0]) == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_repeats_are_found_across_frames(size):
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(12), rng.randrange(2), k, k, 0, rng.random() < 0.2) for k in range(40))
+    frame = pd.DataFrame(rows, columns=["d1", "d2", "k1", "k2", "at", "many"]).assign(places=None)
+    got = pd.concat(_repeated([frame.iloc[a : a + size] for a in range(0, 40, size)]))["k1"].tolist()
+    count = {}
+    for d1, d2, *_ in rows:
+        count[d1, d2] = count.get((d1, d2), 0) + 1
+    assert sorted(got) == sorted(k for d1, d2, k, _, _, many in rows if count[d1, d2] > 1 and not many)
+
+
 @pytest.mark.parametrize("keep", ["min", "max"])
 def test_exact_dedup(make, keep):
     rows = corpus(3)
