@@ -69,6 +69,15 @@ def read_latest(spark: SparkSession, folder: str, prefix: str) -> str:
         stream.close()
 
 
+def rename_parts(spark: SparkSession, folder: str, old: str, new: str) -> None:
+    """Give the part files under folder another ending, which may stand before that of a compression."""
+    at, fs = _file_system(spark, folder)
+    for f in fs.listStatus(at):
+        name = f.getPath().getName()
+        if name.startswith("part-") and old in name:
+            fs.rename(f.getPath(), _file_system(spark, f"{folder}/{name.replace(old, new)}")[0])
+
+
 class Stages:
     """Written tables of one query run; each cuts the lineage at a shared folder.
 
@@ -120,6 +129,20 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return of_hot.unionByName(rest.join(groups.filter(F.col(size) <= hot_size), key, "left").select(*of_hot.columns))
 
 
+def join_salted(rows: DataFrame, wide: DataFrame, key: str, by: Column, total: int) -> DataFrame:
+    """Join each of ``total`` rows to wide's row of its key, however wide that row is.
+
+    A key of more than total/HOT_SHARE rows is dealt over several salts, by the
+    other column, and wide's row goes to each; only those keys (fewer than
+    HOT_SHARE) and their numbers of salts are broadcast.
+    """
+    hot_size = max(total // HOT_SHARE, 1)
+    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_size).select(F.col(key).alias("_hot_key"), F.ceil(F.col("_n") / hot_size).cast("int").alias("_salts"))
+    left = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), "_salts"), F.lit(0)).cast("int")).drop("_hot_key", "_salts")
+    right = wide.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot_key", "_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges(a, b); component is the least id reachable.
 
@@ -127,18 +150,18 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     the rounds stop when the edge set no longer changes.
     """
     now = stages.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
+    seen, total = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("degree"))
+        large = join_groups(both.filter("b > a"), least, "a", "degree", 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.filter("a <> b")
-        best = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(best, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        best = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+        small = join_groups(down, best, "a", "degree", total).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
         nxt = stages.keep(small, "star")
         row = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(row) == seen:
             break
-        seen, now = tuple(row), nxt
+        seen, now, total = tuple(row), nxt, row[0]
     members = nxt.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return members.unionByName(nxt.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -35,8 +35,7 @@ CORE = 10
 _POS = U((1 << 30) - 1)
 _FLUSH = 1 << 24  # characters of text whose entries leave a worker together
 _ENTRY = "h long, k1 long, k2 long, at int, many boolean, places array<int>"
-_WINDOW = "d1 long, d2 long, k1 long, k2 long, at int, many boolean, places array<int>"
-_HIT = "k1 long, k2 long, at int, places array<int>"
+_PACKED = "bucket long, d1 binary, d2 binary, k1 binary, k2 binary, at binary, many binary"
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
@@ -76,27 +75,55 @@ def _flushes(frames):
         yield held
 
 
-def _folded(names: list[str], keys: list[np.ndarray], k1: np.ndarray, k2: np.ndarray, at: np.ndarray):
-    """Entries with each key once, and one row per text with its places whose key repeats here.
-
-    So a key that stands everywhere leaves a worker once a flush, however many
-    places it has; ``many`` says that its places here are known already.
-    """
-    order = np.lexsort((*keys,))
+def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by the keys, the last first; which begin a group of equals in it; size of the group of each)."""
+    order = np.lexsort(keys)
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
     group = np.cumsum(new) - 1
-    many = np.bincount(group, minlength=1)[group] > 1 if len(order) else new
+    return order, new, np.bincount(group, minlength=1)[group] if len(order) else group
+
+
+def _split(of: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """The distinct values of a sorted column, and the other columns cut where it changes."""
+    edge = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    return of[edge], [np.split(c, edge[1:]) if len(of) else [] for c in columns]
+
+
+def _entries(h: np.ndarray, k1: np.ndarray, k2: np.ndarray, at: np.ndarray):
+    """Each hash once with its first place; then one row per text with its places whose hash repeats here.
+
+    So an anchor that stands everywhere leaves a worker once a flush, however many
+    places it has; ``many`` says that its places here are known already.
+    """
+    order, new, size = _grouped(h)
     one = order[new]
-    yield pd.DataFrame({**{n: k[one] for n, k in zip(names, keys, strict=True)}, "k1": k1[one], "k2": k2[one], "at": at[one], "many": many[new], "places": None})
-    known = np.sort(order[many])  # by text and place again
+    yield pd.DataFrame({"h": h[one], "k1": k1[one], "k2": k2[one], "at": at[one], "many": size[new] > 1, "places": None})
+    known = np.sort(order[size > 1])  # by text and place again
     if len(known):
         edge = np.flatnonzero(np.concatenate([[True], (k1[known][1:] != k1[known][:-1]) | (k2[known][1:] != k2[known][:-1])]))
-        texts = known[edge]
-        # spread by the text's key; a missing second part tells these rows apart
-        spread = {n: k1[texts] if n == "d1" else None for n in names}
-        yield pd.DataFrame({**spread, "k1": k1[texts], "k2": k2[texts], "at": None, "many": True, "places": np.split(at[known], edge[1:])})
+        yield pd.DataFrame({"h": None, "k1": k1[known[edge]], "k2": k2[known[edge]], "at": None, "many": True, "places": np.split(at[known], edge[1:])})
+
+
+def _by_text(groups: int, k1: np.ndarray, k2: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+    """Places as one row per group of texts, so that rows do not multiply with the texts."""
+    group = ((k1.view(U) >> U(16)) % U(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    values, (a, b, c) = _split(group[order], k1[order], k2[order], at[order])
+    return pd.DataFrame({"bucket": values, "d1": None, "d2": None, "k1": [x.tobytes() for x in a], "k2": [x.tobytes() for x in b], "at": [x.tobytes() for x in c], "many": None})
+
+
+def _windows_packed(groups: int, d1: np.ndarray, d2: np.ndarray, k1: np.ndarray, k2: np.ndarray, at: np.ndarray):
+    """Each digest once with its first place, as one row per bucket of digests; then the places whose digest repeats here, by text."""
+    order, new, size = _grouped(d2, d1.view(U))
+    one = order[new]
+    bucket = ((d1[one].view(U) >> U(16)) // U(-(-(1 << 48) // groups))).astype(np.int64)
+    values, parts = _split(bucket, d1[one], d2[one], k1[one], k2[one], at[one], size[new] > 1)
+    yield pd.DataFrame({"bucket": values, **{n: [x.tobytes() for x in p] for n, p in zip(("d1", "d2", "k1", "k2", "at", "many"), parts, strict=True)}})
+    known = order[size > 1]
+    if len(known):
+        yield _by_text(groups, k1[known], k2[known], at[known])
 
 
 def _anchor_rows(window: int):
@@ -110,7 +137,7 @@ def _anchor_rows(window: int):
                 owner = np.searchsorted(words.first, pos, "right") - 1
                 found.append((core[pos].view(np.int64), part["k1"].to_numpy(np.int64)[owner], part["k2"].to_numpy(np.int64)[owner], (pos - words.first[owner]).astype(np.int32)))
             h, *place = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield from _folded(["h"], [h], *place)
+            yield from _entries(h, *place)
 
     return run
 
@@ -120,14 +147,14 @@ class FingerprintIndex:
 
     def __init__(self, spark: SparkSession, path: str, window: int, buckets: int, fan_in: int, names: list[str], number: int):
         self.spark, self.path, self.window, self.buckets, self.fan_in, self.number = spark, path, window, buckets, fan_in, number
-        self.compactions = 0
+        self.merged: list[tuple[str, str]] = []
         self.stages = Stages(spark, "index-work")
         self.runs = [self._open_run(n) for n in names]
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, window: int = 35, buckets: int | None = None, fan_in: int = 3) -> FingerprintIndex:
-        """An empty index.  buckets is best the session's number of shuffle partitions, which it is unless given."""
-        index = cls(spark, path, window, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fan_in, [], 0)
+        """An empty index; its entries are about a tenth of the text, so it has a quarter of the session's shuffle partitions as buckets unless given."""
+        index = cls(spark, path, window, buckets or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4), fan_in, [], 0)
         index._publish()
         return index
 
@@ -157,45 +184,45 @@ class FingerprintIndex:
     def add(self, batch: DataFrame) -> DataFrame:
         """Take in batch(k1, k2, text), texts that differ and are not in the index yet; return its hits.
 
-        Hits are the places (k1, k2 and at or places) of anchors that stand at two
-        places or more: those of the batch, and those in the runs that it repeats.
+        Hits are the places (k1, k2, places) of anchors that stand at two places or
+        more: those of the batch, and those in the runs that it repeats.  They are
+        read when they are used, before the index is closed.
         """
         found = self.stages.keep(batch.select("k1", "k2", "text").mapInPandas(_anchor_rows(self.window), _ENTRY), "entries")
-        entries = found.filter("h is not null")
+        entries = found.filter("h is not null").select("h", "k1", "k2", "at", "many").repartition(self.buckets, "h")
         new = entries.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
         woken = []
         for i, (_, table) in enumerate(self.runs):
             old = self.spark.table(table).select("h", F.col("many").alias(f"many{i}"), F.struct("k1", "k2", "at").alias(f"place{i}"))
-            new = new.join(old, "h", "left").withColumn("many", F.col("many") | F.col(f"many{i}").isNotNull())
+            new = new.join(old.hint("merge"), "h", "left").withColumn("many", F.col("many") | F.col(f"many{i}").isNotNull())
             woken.append(F.when(~F.col(f"many{i}"), F.col(f"place{i}")))
         none = F.array().cast("array<struct<k1: bigint, k2: bigint, at: int>>")
         run = self._write_run(new.withColumn("woken", F.filter(F.array(*woken), lambda p: p.isNotNull()) if woken else none))
         self.runs.append(run)
         self._publish()
-        rows, alone = self.spark.table(run[1]), F.lit(None).cast("array<int>").alias("places")
-        own = entries.filter("not many").join(rows.filter("many").select("h"), "h", "left_semi").select("k1", "k2", "at", alone)
-        hits = own.unionByName(rows.filter("size(woken) > 0").select(F.inline("woken")).select("k1", "k2", "at", alone)).unionByName(found.filter("h is null").select("k1", "k2", "at", "places"))
-        hits = self.stages.keep(hits, "hits")
+        rows = self.spark.table(run[1])
+        own = entries.filter("not many").join(rows.filter("many").select("h"), "h", "left_semi")
+        alone = own.select("k1", "k2", "at").unionByName(rows.filter("size(woken) > 0").select(F.inline("woken")).select("k1", "k2", "at"))
         if len(self.runs) >= self.fan_in:
             self.compact()
-        return hits
+        return alone.select("k1", "k2", F.array("at").alias("places")).unionByName(found.filter("h is null").select("k1", "k2", "places"))
 
     def compact(self) -> None:
-        """Merge all runs into one; the old ones go after the manifest names the new one."""
-        old = self.runs
-        rows = reduce(DataFrame.unionByName, [self.spark.table(t).select("h", "k1", "k2", "at", "many") for _, t in old])
+        """Merge all runs into one.  Buckets are merged where they lie; the old runs go on close(), as hits may still be read from them."""
+        rows = reduce(DataFrame.unionByName, [self.spark.table(t).select("h", "k1", "k2", "at", "many") for _, t in self.runs])
         merged = rows.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
+        self.merged += self.runs
         self.runs = [self._write_run(merged.withColumn("woken", F.array().cast("array<struct<k1: bigint, k2: bigint, at: int>>")))]
         self._publish()
-        self.compactions += 1
-        for name, table in old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            self.stages.drop(f"{self.path}/{name}")
 
     def close(self) -> None:
-        """Forget the session's names of the runs; the files stay."""
-        for _, table in self.runs:
+        """Delete the runs that were merged into others and forget the session's names; live runs and the manifest stay."""
+        for name, table in self.runs + self.merged:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            if (name, table) in self.merged:
+                self.stages.drop(f"{self.path}/{name}")
+        self.runs, self.merged = [], []
+        self.stages.drop()
 
 
 def _digests(words, starts: np.ndarray, window: int) -> np.ndarray:
@@ -211,7 +238,7 @@ def _digests(words, starts: np.ndarray, window: int) -> np.ndarray:
     return np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
 
 
-def _window_rows(window: int):
+def _window_rows(window: int, groups: int):
     """The windows around the hits of each text, by digest."""
 
     def run(frames):
@@ -221,72 +248,62 @@ def _window_rows(window: int):
                 words = words_of(texts_of(part["text"]))
                 starts, pos, _ = anchors(words.hash, words.first, window)
                 wanted = np.zeros(int(words.first[-1]) + 1, bool)
-                for k, blob in enumerate(part["hits"]):
-                    wanted[words.first[k] + np.frombuffer(blob, np.int32).astype(np.int64)] = True
+                for k, hits in enumerate(part["hits"]):
+                    wanted[words.first[k] + np.asarray(hits, np.int64)] = True
                 starts = starts[wanted[pos]]
                 d = _digests(words, starts, window)
                 owner = np.searchsorted(words.first, starts, "right") - 1
                 found.append((d[:, 0], d[:, 1], part["k1"].to_numpy(np.int64)[owner], part["k2"].to_numpy(np.int64)[owner], (starts - words.first[owner]).astype(np.int32)))
-            d1, d2, *place = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield from _folded(["d1", "d2"], [d1, d2], *place)
+            yield from _windows_packed(groups, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return run
 
 
-def _repeated(frames):
-    """Places whose digest stands at two or more, from rows sorted by digest; only the last row is remembered."""
-    last, told = None, True  # the last row, and whether it has been given out
+def _gathered(frames):
+    """Rows of one partition, sorted by bucket, bucket by bucket."""
+    now, rows = None, []
     for frame in frames:
-        sure = frame["d2"].isna().to_numpy()
-        if sure.any():
-            yield frame.loc[sure, ["k1", "k2", "at", "places"]]
-        rows = frame.loc[~sure, ["d1", "d2", "k1", "k2", "at", "many"]]
-        if not len(rows):
-            continue
-        known = rows["many"].to_numpy(bool)
-        if last is not None:
-            rows, known = pd.concat([last, rows]), np.concatenate([[told], known])
-        d1, d2 = rows["d1"].to_numpy(np.int64), rows["d2"].to_numpy(np.int64)
-        same = np.zeros(len(rows) + 1, bool)
-        same[1:-1] = (d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])
-        hit = same[1:] | same[:-1]
-        yield rows.loc[hit & ~known, ["k1", "k2", "at"]].assign(places=None)
-        last, told = rows.iloc[-1:], bool(known[-1] or hit[-1])
-        rows.reset_index(drop=True, inplace=True)
+        for row in frame.itertuples(index=False):
+            if row.bucket != now and rows:
+                yield rows
+                rows = []
+            now = row.bucket
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _joined(rows: list, **columns) -> list[np.ndarray]:
+    return [np.concatenate([np.frombuffer(getattr(r, c), t) for r in rows]) for c, t in columns.items()]
+
+
+def _repeated(groups: int):
+    """Places whose digest stands at two or more, by text, from rows by bucket of digests."""
+
+    def run(frames):
+        for rows in _gathered(frames):
+            for r in rows:
+                if r.d1 is None:
+                    yield pd.DataFrame([r._asdict()])
+            rows = [r for r in rows if r.d1 is not None]
+            if rows:
+                d1, d2, k1, k2, at, many = _joined(rows, d1=np.int64, d2=np.int64, k1=np.int64, k2=np.int64, at=np.int32, many=bool)
+                order, _, size = _grouped(d2, d1)
+                hit = order[(size > 1) & ~many[order]]
+                if len(hit):
+                    yield _by_text(groups, k1[hit], k2[hit], at[hit])
+
+    return run
 
 
 def _per_text(frames):
-    """All places of each text in one row; the rows come sorted by text, and each frame gives what is whole in it."""
-    held = None
-    for frame in frames:
-        rows = pd.concat([held, frame]) if held is not None else frame
-        k1, k2 = rows["k1"].to_numpy(np.int64), rows["k2"].to_numpy(np.int64)
-        last = int(np.flatnonzero((k1 == k1[-1]) & (k2 == k2[-1]))[0])
-        yield _joined(rows.iloc[:last])
-        held = rows.iloc[last:]
-    if held is not None:
-        yield _joined(held)
-
-
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    lists = [np.asarray(p, np.int32) if p is not None else None for p in rows["places"]]
-    sizes = np.array([1 if p is None else len(p) for p in lists], np.int64)
-    at = np.repeat(rows["at"].fillna(0).to_numpy(np.int32), sizes)
-    if len(sizes) and sizes.max() > 1 or any(p is not None for p in lists):
-        ends = np.cumsum(sizes)
-        for k, p in enumerate(lists):
-            if p is not None:
-                at[ends[k] - sizes[k] : ends[k]] = p
-    k1, k2 = (np.repeat(rows[c].to_numpy(np.int64), sizes) for c in ("k1", "k2"))
-    order = np.lexsort((at, k2, k1))
-    k1, k2, at = k1[order], k2[order], at[order]
-    edge = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])) if len(at) else np.zeros(0, np.int64)
-    return pd.DataFrame({"k1": k1[edge], "k2": k2[edge], "places": [np.unique(p).tobytes() for p in np.split(at, edge[1:])] if len(at) else []})
-
-
-def _places(rows: DataFrame) -> DataFrame:
-    """(k1, k2, places): the places of each text, in one row; a text's places are no more than its words."""
-    return rows.select("k1", "k2", "at", "places").repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInPandas(_per_text, "k1 long, k2 long, places binary")
+    """All places of each text in one row, from rows by group of texts."""
+    for rows in _gathered(frames):
+        k1, k2, at = _joined(rows, k1=np.int64, k2=np.int64, at=np.int32)
+        order = np.lexsort((at, k2, k1))
+        k1, k2, at = k1[order], k2[order], at[order]
+        edge = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+        yield pd.DataFrame({"k1": k1[edge], "k2": k2[edge], "places": [p.tobytes() for p in np.split(at, edge[1:])]})
 
 
 def _strip(window: int, with_text: bool):
@@ -314,7 +331,7 @@ def _strip(window: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 4, fan_in: int = 3, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 4, fan_in: int = 3, bucket_chars: int = 8 << 20, with_text: bool = False) -> DataFrame:
     """Remove every word covered by a window of ``window`` words that also starts elsewhere.
 
     Words are the runs outside ASCII white space, unchanged; "elsewhere" is any
@@ -324,7 +341,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 4, fan_in:
     texts enter the index in ``batches`` by their key, and runs are merged at
     the fan-in.  A passage that stands everywhere costs one entry a flush of a
     worker, never a pair.  Windows around hits are verified by a 128-bit
-    cryptographic digest over the bytes of all their words.
+    cryptographic digest over the bytes of all their words, in buckets of
+    about bucket_chars characters of text, one bucket in memory at a time.
 
     Null counts as empty; texts under ``window`` words lose nothing; rows that
     repeat an id, or have none, are judged by their text.  Returns
@@ -338,19 +356,21 @@ def remove_repeats(docs: DataFrame, window: int = 35, batches: int = 4, fan_in:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     k1, k2 = text_key(F.col("text"))
     texts = base.select(k1.alias("k1"), k2.alias("k2"), "text").groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    texts = stages.keep_bucketed(texts.withColumn("batch", F.pmod("k2", F.lit(batches)).cast("int")), "texts", buckets, ["k1", "k2"], "batch")
-    index = FingerprintIndex.create(spark, f"{stages.path}/index", window, buckets, fan_in)
+    texts = texts.withColumn("batch", F.pmod("k2", F.lit(batches)).cast("int")).withColumn("chars", F.length("text"))
+    texts = stages.keep_bucketed(texts, "texts", buckets, ["k1", "k2"], "batch")
+    total, chars = texts.agg(F.sum("copies"), F.sum(F.col("chars").cast("long"))).first()
+    groups = max(8, -(-(chars or 0) // bucket_chars))
+    index = FingerprintIndex.create(spark, f"{stages.path}/index", window, None, fan_in)
     hits = reduce(DataFrame.unionByName, [index.add(texts.filter(F.col("batch") == k)) for k in range(batches)])
+    by_text = hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list("places")).alias("hits"))  # no more than the words of a text
+    rows = texts.select("k1", "k2", "text").join(by_text, ["k1", "k2"]).mapInPandas(_window_rows(window, groups), _PACKED)
+    repeated = rows.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_repeated(groups), _PACKED).select("bucket", "k1", "k2", "at")
+    starts = stages.keep(repeated.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_per_text, "k1 long, k2 long, places binary"), "starts")
     index.close()
-    by_text = _places(hits).withColumnRenamed("places", "hits")
-    rows = texts.select("k1", "k2", "text").join(by_text, ["k1", "k2"]).mapInPandas(_window_rows(window), _WINDOW)
-    repeated = rows.repartition("d1", "d2").sortWithinPartitions("d1", "d2").mapInPandas(_repeated, _HIT)
-    starts = stages.keep(_places(repeated), "starts")
     judged = texts.join(starts, ["k1", "k2"], "left").select(F.md5("text").alias("key"), "copies", "text", "places")
     made = stages.keep(judged.mapInPandas(_strip(window, with_text), "key string, copies long, n_words long, n_removed long, kept_sha256 string, kept_text string"), "made")
     light = base.select("doc_id", F.md5("text").alias("key"))
     if with_text:
         return light.join(made, "key", "left").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
-    total = made.agg(F.sum("copies")).first()[0]
     out = join_groups(light, made.drop("kept_text"), "key", "copies", int(total or 0))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")

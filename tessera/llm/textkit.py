@@ -107,11 +107,18 @@ def words_of(texts: list[str], ascii_lower: bool = False, full_lower: bool = Fal
 
 def _letter_codes(solid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The code of each byte of the words at its place in its word."""
-    place = np.arange(len(solid)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    code = (place << 8) + solid
-    out = _CODES[np.minimum(code, len(_CODES) - 1)]
-    far = np.flatnonzero(place >= _NEAR_LETTERS)
-    out[far] = mix((code[far].astype(U) + U(1)) * _LEFT)
+    ends = np.cumsum(sizes)
+    code = np.arange(len(solid))
+    code -= np.repeat(ends - sizes, sizes)
+    code <<= 8
+    code |= solid
+    if not len(sizes) or int(sizes.max()) <= _NEAR_LETTERS:
+        return _CODES[code]
+    far = np.flatnonzero(code >= len(_CODES))
+    beyond = mix((code[far].astype(U) + U(1)) * _LEFT)
+    code[far] = 0
+    out = _CODES[code]
+    out[far] = beyond
     return out
 
 

@@ -8,7 +8,7 @@ import pytest
 
 from tessera.llm.exact_dedup import drop_exact_copies, exact_dedup
 from tessera.llm.near_dedup import SIZE, drop_near_copies, near_components, sketch
-from tessera.llm.substring_dedup import FingerprintIndex, _folded, _places, _repeated, anchors, remove_repeats
+from tessera.llm.substring_dedup import FingerprintIndex, _entries, _per_text, _repeated, _windows_packed, anchors, remove_repeats
 from tessera.llm.textkit import inner, windows, words_of
 
 WORDS = [f"w{i}é" if i % 7 == 0 else f"word{i}" for i in range(400)]
@@ -71,10 +71,50 @@ def test_near_without_ids_or_rows(make):
     assert near_components(make([])).count() == 0
 
 
+def test_near_with_repeated_ids(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near_a, near_b = a.replace("a39", "z"), b.replace("b39", "z")
+    rows = [(7, a), (7, b), (3, near_a), (9, near_b), (None, c), (None, c.replace("c39", "z")), (5, c.replace("c0 ", "y ")), (1, None), (1, "")]
+    got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"], r["kept"]) for r in near_components(make(rows)).collect())
+    want = [(-1, 36, 5, False), (-1, 36, 5, False), (1, 0, 1, True), (1, 0, 1, True), (3, 36, 3, True), (5, 36, 5, True), (7, 36, 3, False), (7, 36, 7, True), (9, 36, 7, False)]
+    assert got == want
+    kept = sorted((r["doc_id"] or -1, (r["text"] or "")[:2]) for r in drop_near_copies(make(rows)).collect())
+    assert kept == [(1, ""), (1, ""), (3, "a0"), (5, "y "), (7, "b0")]
+    nameless = [(None, a), (None, near_a), (None, a), (None, b)]
+    assert len({r["text"] for r in drop_near_copies(make(nameless)).collect()}) == 2
+
+
+def test_texts_of_one_template_stay_linear(make):
+    """Texts a little too far apart share every template shingle, and none is compared with all others."""
+    rows = []
+    for k in range(2000):
+        w = [f"t{i}" for i in range(200)]
+        for at in (20, 70, 120, 170):  # 176 of 216 shingles in common
+            w[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(w)))
+    import tessera.llm.near_dedup as N
+
+    pairs = []
+    keep = N.Stages.keep
+
+    def counted(self, df, label="t"):
+        out = keep(self, df, label)
+        if label.endswith("pairs"):
+            pairs.append(out.count())
+        return out
+
+    N.Stages.keep = counted
+    try:
+        got = near_components(make(rows), percent=85).filter("kept").count()
+    finally:
+        N.Stages.keep = keep
+    assert got == 2000 and sum(pairs) < 100 * 2000
+
+
 @pytest.mark.parametrize("window", [12, 35])
 def test_remove_repeats_equals_brute_force(make, window):
     rows = corpus(7)
-    got = {r["doc_id"]: r for r in remove_repeats(make(rows), window=window, with_text=True, batches=5).collect()}
+    got = {r["doc_id"]: r for r in remove_repeats(make(rows), window=window, with_text=True, batches=5, bucket_chars=20_000).collect()}
     for i, (n, gone, kept) in brute.remove_repeats(rows, window).items():
         assert (got[i]["n_words"], got[i]["n_removed"]) == (n, gone)
         assert got[i]["kept_text"] == kept and got[i]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
@@ -106,10 +146,6 @@ def test_words_that_differ_in_regular_ways_stay_apart(make, n):
     assert {r["component_id"] for r in near_components(make(rows), percent=85).collect()} == {0, 1}
 
 
-def hits_of(frame):
-    return {(r["k1"], int(at)) for r in frame.collect() for at in np.frombuffer(r["places"], np.int32)}
-
-
 def test_index_is_compacted_reopened_and_complete(spark, tmp_path):
     rng = random.Random(11)
     passages = [text(rng, 30) for _ in range(6)]
@@ -119,12 +155,13 @@ def test_index_is_compacted_reopened_and_complete(spark, tmp_path):
     index = FingerprintIndex.create(spark, path, window=20, buckets=3, fan_in=3)
     for k in range(7):
         if k in (2, 5):  # once before and once after a compaction
+            n = len(index.runs)
             index.close()
+            assert sum(1 for x in (tmp_path / "index").iterdir() if x.name.startswith("run-")) == n  # what was merged is gone
             index = FingerprintIndex.open(spark, path)
-            assert (index.window, index.buckets, index.fan_in) == (20, 3, 3)
-        found |= hits_of(_places(index.add(table.filter(f"k1 % 7 = {k}"))))
+            assert len(index.runs) == n and (index.window, index.buckets, index.fan_in) == (20, 3, 3)
+        found |= {(r["k1"], at) for r in index.add(table.filter(f"k1 % 7 = {k}")).collect() for at in r["places"]}
         assert 1 <= len(index.runs) <= 2
-    assert sum(1 for x in (tmp_path / "index").iterdir() if x.name.startswith("run-")) == len(index.runs)  # the merged ones are gone
     at = {}
     for k, _, t in texts:
         w = words_of([t])
@@ -147,23 +184,27 @@ def test_run_merge_joins_without_moving_history(spark, tmp_path):
     index.close()
 
 
-def test_a_window_everywhere_leaves_a_flush_once():
-    n = 1000
-    frames = list(_folded(["d1", "d2"], [np.full(n, 5), np.full(n, 6)], np.arange(n), np.arange(n), np.zeros(n, np.int32)))
+def test_what_stands_everywhere_leaves_a_flush_once():
+    n, zero = 1000, np.zeros(0, np.int64)
+    frames = list(_entries(np.full(n, 5), np.arange(n), np.arange(n), np.zeros(n, np.int32)))
     assert len(frames[0]) == 1 and bool(frames[0]["many"][0]) and len(frames[1]) == n
-    assert len(list(_folded(["h"], [np.zeros(0, np.int64)], *[np.zeros(0, np.int64)] * 3))[0]) == 0
-
-
-@pytest.mark.parametrize("size", [1, 2, 3, 100])
-def test_repeats_are_found_across_frames(size):
-    rng = random.Random(size)
-    rows = sorted((rng.randrange(12), rng.randrange(2), k, k, 0, rng.random() < 0.2) for k in range(40))
-    frame = pd.DataFrame(rows, columns=["d1", "d2", "k1", "k2", "at", "many"]).assign(places=None)
-    got = pd.concat(_repeated([frame.iloc[a : a + size] for a in range(0, 40, size)]))["k1"].tolist()
+    frames = list(_windows_packed(8, np.full(n, 5), np.full(n, 6), np.arange(n) << 16, np.arange(n), np.zeros(n, np.int32)))
+    assert len(frames[0]) == 1 and len(frames[0]["d1"][0]) == 8 and len(frames[1]) == 8
+    assert len(next(_entries(*[zero] * 4))) == len(next(_windows_packed(8, *[zero] * 5))) == 0
+
+
+@pytest.mark.parametrize("groups", [1, 3, 64])
+def test_repeats_are_found_across_flushes(groups):
+    rng = random.Random(groups)
+    flushes = [[(rng.randrange(-6, 6) << 60, rng.randrange(2), (30 * f + k) << 16, k, k % 5) for k in range(30)] for f in range(6)]
+    rows = pd.concat([frame for f in flushes for frame in _windows_packed(groups, *(np.array(c) for c in zip(*[x[:4] for x in f], strict=True)), np.array([x[4] for x in f], np.int32))])
+    assert rows["bucket"].between(0, groups - 1).all()
+    found = pd.concat(_repeated(groups)([rows.sort_values("bucket", kind="stable")])).sort_values("bucket", kind="stable")
+    got = {(k1, k2, int(at)) for f in _per_text([found]) for k1, k2, p in f.itertuples(index=False) for at in np.frombuffer(p, np.int32)}
     count = {}
-    for d1, d2, *_ in rows:
-        count[d1, d2] = count.get((d1, d2), 0) + 1
-    assert sorted(got) == sorted(k for d1, d2, k, _, _, many in rows if count[d1, d2] > 1 and not many)
+    for x in (x for f in flushes for x in f):
+        count[x[:2]] = count.get(x[:2], 0) + 1
+    assert got == {x[2:] for f in flushes for x in f if count[x[:2]] > 1}
 
 
 @pytest.mark.parametrize("keep", ["min", "max"])
