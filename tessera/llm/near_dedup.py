@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stages, connected_components, join_groups
-from .textkit import U, chunks, inner, mix, texts_of, windows, words_of
+from .common import Stages, connected_components, join_groups, join_salted
+from .textkit import U, chunks, mix, texts_of, windows, words_of
 
 SIZE = 128  # coordinates of a sketch
 BAND_ROWS = 5  # a pair at similarity 0.85 misses all 25 bands less than once in 10^6
@@ -83,6 +83,7 @@ def _signatures(frames):
         full = [len(s) > 0 for s in sets]
         yield pd.DataFrame({
             "doc_id": part["doc_id"],
+            "key": part["key"],
             "n_shingles": [len(s) for s in sets],
             "set_key": [np.array([mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U), mix(s ^ U(0x14057B7EF767814F)).sum(dtype=U), len(s)], U).tobytes() if ok else None for s, ok in zip(sets, full, strict=True)],
             "bands": [k if ok else None for k, ok in zip(keys, full, strict=True)],
@@ -91,7 +92,7 @@ def _signatures(frames):
 
 def _set_blobs(frames):
     for part in chunks(frames):
-        yield pd.DataFrame({"id": part["doc_id"], "items": [s.tobytes() for s in shingle_sets(texts_of(part["text"]))]})
+        yield pd.DataFrame({"id": part["id"], "items": [s.tobytes() for s in shingle_sets(texts_of(part["text"]))]})
 
 
 def _items(frames):
@@ -115,86 +116,113 @@ def _verifier(percent: int):
     return verify
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """Link texts whose shingle sets have 100 * |A and B| >= percent * |A or B|; label components.
+def _text_key(text: str) -> Column:
+    """The 128 bits by which a text is known; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
-    Rows with equal sets form a class first, however many they are.  Classes
-    meet in band buckets, and each bucket compares its members with one of them,
-    the one whose shingles are the most widespread, never all with all.  What a
-    bucket then still holds apart is compared further: in a small bucket, members
-    of different components; in crowded ones, classes of different components
-    that share one of their rarest shingles early enough to be similar (the exact
-    prefix filter).  So no link between candidate classes is lost, and each is
-    confirmed on the full sets.
 
-    Null or empty texts have n_shingles 0 and stay alone.  Returns id_col,
-    n_shingles, component_id (least id of the component) and kept (id equals
-    component_id), one row per input row; rows repeating id and text agree.  Rows
-    without an id never lead: they join the component of an equal text that has
-    one, and are otherwise alone (component_id null).
-    """
+def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(doc_id, key of the text, n_shingles, lead_id, lead_key) of every row; the lead is the row that stands for its component."""
     stages = Stages(docs.sparkSession, "near")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stages.keep(base.mapInPandas(_signatures, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _text_key(text_col).alias("key"))
+    rows = stages.keep(base.mapInPandas(_signatures, "doc_id long, key binary, n_shingles long, set_key binary, bands array<long>"), "signatures")
     total = rows.count()
+    # rows with equal sets are one class, under a number of its own, as ids may repeat or be missing
     classes = stages.keep(
-        rows.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "bands")).alias("r"), F.count("*").alias("members"))
-        .select("set_key", "members", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), F.col("r.bands").alias("bands")),
+        rows.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "n_shingles", "bands")).alias("r"), F.count("*").alias("members"))
+        .select("set_key", "members", F.monotonically_increasing_id().alias("id"), "r.nameless", "r.doc_id", "r.key", F.col("r.n_shingles").alias("n"), F.col("r.bands").alias("bands")),
         "classes",
     )
     spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
+    n_spread = classes.count() * (SIZE // BAND_ROWS)
     shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    members = stages.keep(spread.join(shared, "bucket").select("bucket", "id", "n", "m"), "buckets")
-    sets = stages.keep(base.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]).mapInPandas(_set_blobs, "id long, items binary"), "sets")
-    size_of = members.select("id", "n").distinct()
+    members = stages.keep(join_groups(spread, shared, "bucket", "m", n_spread).filter("m is not null").select("bucket", "id", "n", "m"), "buckets")
+    met = members.select("id", "n").distinct()
+    reps = classes.join(met.select("id"), "id", "left_semi").select("id", F.col("key").alias("rep_key"), F.col("doc_id").alias("rep_id"))
+    texts = base.join(reps, (F.col("key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("id", "text").dropDuplicates(["id"])
+    sets = stages.keep(texts.mapInPandas(_set_blobs, "id long, items binary"), "sets")
 
     # in crowded buckets: how many classes have each shingle
-    crowd = members.filter(F.col("m") >= CROWD).select("id").distinct()
+    crowd = members.filter(F.col("m") >= CROWD).select("id", "n").distinct()
     items = sets.join(crowd, "id", "left_semi").mapInPandas(_items, "id long, g long")
-    shingles = stages.keep(items.join(items.groupBy("g").agg(F.count("*").alias("k")), "g"), "shingles")
+    n_items = int(crowd.agg(F.sum("n")).first()[0] or 0)
+    shingles = stages.keep(join_groups(items, items.groupBy("g").agg(F.count("*").alias("k")), "g", "k", n_items), "shingles")
     typical = shingles.groupBy("id").agg(F.avg("k").alias("typical"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """pairs(a, b) that pass on size and then on the full sets."""
-        fit = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-        a, b = (sets.join(size_of, "id").select(F.col("id").alias(k), F.col("items").alias(f"items_{k}"), F.col("n").alias(f"n{k}")) for k in "ab")
-        near = pairs.join(size_of.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size_of.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b").filter(fit).select("a", "b")
-        return near.join(a, "a").join(b, "b").select("a", "b", "items_a", "items_b").mapInPandas(_verifier(percent), "a long, b long")
-
-    def components(links: DataFrame) -> DataFrame:
-        return stages.keep(connected_components(stages, links), "components")
-
-    centers = members.join(typical, "id", "left").groupBy("bucket").agg(F.min(F.struct((-F.coalesce("typical", F.lit(0))).alias("r"), "id")).alias("c")).select("bucket", F.col("c.id").alias("center"))
-    tried = stages.keep(members.join(centers, "bucket").filter("id <> center").select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct(), "star-pairs")
+        """The written pairs(a, b) that pass on the full sets."""
+        n_pairs = pairs.count()
+        first = join_salted(pairs, sets.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a", F.col("b"), n_pairs)
+        both = join_salted(first, sets.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b", F.col("a"), n_pairs)
+        return both.select("a", "b", "items_a", "items_b").mapInPandas(_verifier(percent), "a long, b long")
+
+    rated = members.join(typical, "id", "left")
+    centers = rated.groupBy("bucket").agg(F.min(F.struct((-F.coalesce("typical", F.lit(0))).alias("r"), "id", "n")).alias("c"), F.count("*").alias("m")).select("bucket", "m", F.col("c.id").alias("center"), F.col("c.n").alias("nc"))
+    star = join_groups(members.select("bucket", "id", "n"), centers, "bucket", "m", n_spread).filter(f"id <> center and 100 * least(n, nc) >= {percent} * greatest(n, nc)")
+    tried = stages.keep(star.select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct(), "star-pairs")
     links = stages.keep(confirmed(tried), "star-links")
-    comp = components(links)
+    comp = stages.keep(connected_components(stages, links), "components")
 
-    # similar classes share one of their rarest shingles, no later in either than position n - percent % of n + 1
+    # similar classes share one of their rarest shingles, no later in the longer than position n - percent % of n + 1,
+    # and in the shorter early enough for what is left to make the overlap of two sets of its size
+    early = f"({100 + percent} * (n - pos + 1) >= {2 * percent} * n)"
     prefix = (
-        shingles.join(size_of, "id").withColumn("pos", F.row_number().over(Window.partitionBy("id").orderBy("k", "g")))
+        shingles.join(met, "id").withColumn("pos", F.row_number().over(Window.partitionBy("id").orderBy("k", "g")))
         .filter(f"100 * (n - pos + 1) >= {percent} * n and k > 1").select(F.col("g").alias("bucket"), "id", "n", "pos")
     )
-    met = members.filter(F.col("m") < CROWD).select("bucket", "id", "n", F.lit(1).alias("pos")).unionByName(prefix)
-    placed = stages.keep(met.join(comp, "id", "left").select("bucket", "id", "n", "pos", F.coalesce("component", "id").alias("comp")), "placed")
-    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    split = parts.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("top.comp").alias("main"))
-    open_rows = stages.keep(placed.join(split, "bucket"), "open")
-    outside = open_rows.filter("comp <> main").select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("comp").alias("cx"))
+    places = members.filter(F.col("m") < CROWD).select("bucket", "id", "n", F.lit(1).alias("pos")).unionByName(prefix)
+    placed = stages.keep(places.join(comp, "id", "left").select("bucket", "id", "n", "pos", F.coalesce("component", "id").alias("comp"), F.expr(early).alias("early")), "placed")
+    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"), F.max("early").alias("early"))
+    split = parts.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("parts"), F.sum("k").alias("m"), F.max("early").alias("early"))
+    split = split.filter("parts > 1 and early").select("bucket", "m", F.col("top.comp").alias("main"))
+    open_rows = stages.keep(join_groups(placed, split, "bucket", "m", placed.count()).filter("main is not null"), "open")
+    outside = open_rows.filter("comp <> main").select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("comp").alias("cx"), F.col("early").alias("ex"))
     most = "least(nx - px, n - pos) + 1"  # what two classes can share from these positions on
-    rest = (
-        outside.join(open_rows, "bucket").filter(f"cx <> comp and 100 * ({most}) >= {percent} * (nx + n - ({most}))")
-        .select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    )
+    fit = f"cx <> comp and 100 * ({most}) >= {percent} * (nx + n - ({most}))"
+    short = outside.filter("ex").join(open_rows, "bucket").filter(f"nx <= n and {fit}")
+    long = outside.join(open_rows.filter("early"), "bucket").filter(f"nx >= n and {fit}")
+    rest = short.unionByName(long).select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = stages.keep(confirmed(stages.keep(rest, "rest-pairs")), "rest-links")
     if not more.isEmpty():
-        comp = components(links.unionByName(more))
-    labelled = classes.join(comp, "id", "left").select("set_key", "members", F.coalesce("component", "id").alias("component_id"))
-    out = join_groups(rows.select("doc_id", "n_shingles", "set_key"), labelled, "set_key", "members", total)
-    label = F.coalesce("component_id", "doc_id")
+        comp = stages.keep(connected_components(stages, links.unionByName(more)), "components")
+    own = stages.keep(classes.join(comp, "id", "left").select("set_key", "members", "nameless", "doc_id", "key", F.coalesce("component", "id").alias("component")), "own")
+    leads = own.groupBy("component").agg(F.min(F.struct("nameless", "doc_id", "key")).alias("lead"), F.count("*").alias("m")).select("component", "m", F.col("lead.doc_id").alias("lead_id"), F.col("lead.key").alias("lead_key"))
+    labelled = join_groups(own.select("set_key", "members", "component"), leads, "component", "m", total).select("set_key", "members", "lead_id", "lead_key")
+    return join_groups(rows.select("doc_id", "key", "n_shingles", "set_key"), labelled, "set_key", "members", total)
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """Link texts whose shingle sets have 100 * |A and B| >= percent * |A or B|; label components.
+
+    Rows with equal sets form a class first, however many they are.  Classes
+    meet in band buckets, and each bucket compares its members with one of them,
+    the one whose shingles are the most widespread, never all with all.  What a
+    bucket then still holds apart is compared further: in a small bucket, members
+    of different components; in crowded ones, classes of different components
+    that share one of their rarest shingles early enough to be similar (the exact
+    prefix filter).  So no link between candidate classes is lost, and each is
+    confirmed on the full sets.
+
+    Null or empty texts have n_shingles 0 and stay alone.  Returns id_col,
+    n_shingles, component_id (least id of the component) and kept (id equals
+    component_id), one row per input row.  Each row is judged by its own text: rows
+    that repeat an id link by every text they have, and rows without an id
+    link like others but never lead a component that has one (component_id is
+    null where none has).
+    """
+    out = _labelled(docs, id_col, text_col, percent)
+    label = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("lead_id"))
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", label.alias("component_id"), F.col("doc_id").eqNullSafe(label).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of docs that are the least id of their component, with their columns."""
-    gone = near_components(docs, percent=percent).filter("not kept").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that lead their component, with their columns; rows without words stay.
+
+    The lead has the least id, and of texts under that id the first by hash; rows
+    that repeat both stay together.  Where no row of a component has an id, the
+    text that is first by hash stays.
+    """
+    rows = _labelled(docs, "doc_id", "text", percent).filter("set_key is not null")
+    gone = rows.filter(~(F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col("key") == F.col("lead_key")))).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    own = _text_key("text")
+    return docs.join(gone, (own == F.col("_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
