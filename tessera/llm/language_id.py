@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,7 +91,15 @@ class LanguageFilter:
 
     @staticmethod
     def probe(gram: np.ndarray, k: int, slots: int) -> np.ndarray:
-        return ((gram >> U(21 * k)) % U(slots)).astype(np.int64)
+        """The k-th slot of each n-gram: the low half of its hash, stepped by the high half."""
+        low = gram & U(0xFFFFFFFF)
+        return ((low + U(k) * (gram >> U(32) | U(1)) if k else low) % U(slots)).astype(np.int64)
+
+    @staticmethod
+    def slots_for(grams: int, hashes: int, false_positive: float) -> int:
+        """The power of two from which a language with so many n-grams answers wrongly at most that often."""
+        need = -grams * hashes / math.log(1 - false_positive ** (1 / hashes))
+        return 1 << max(16, math.ceil(math.log2(max(need, 1))))
 
     def lookup(self, gram: np.ndarray) -> np.ndarray:
         """The languages containing each n-gram, as bit masks."""
@@ -118,27 +127,27 @@ class LanguageFilter:
         return names, score, np.where(has, np.divide(top, total, out=np.zeros_like(top), where=total > 0), 0.0)
 
 
-def _cuts(counts: list[int], numbers: list[int], most: int, least: int) -> tuple[int, int]:
-    """Counts that at most ``most`` n-grams reach (all of the highest count at any rate) and that at least ``least`` reach, 1 if fewer are there."""
+def _sure(counts: list[int], numbers: list[int], least: int) -> int:
+    """The count that at least ``least`` n-grams reach, 1 if fewer are there."""
     order = np.argsort(counts)[::-1]
-    value, reach = np.array(counts)[order], np.cumsum(np.array(numbers)[order])
-    enough = np.flatnonzero(reach >= least)
-    return int(value[max(int((reach <= most).sum()) - 1, 0)]), int(value[enough[0]]) if len(enough) else 1
+    enough = np.flatnonzero(np.cumsum(np.array(numbers)[order]) >= least)
+    return int(np.array(counts)[order][enough[0]]) if len(enough) else 1
 
 
-def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashes: int = 2, least_share: float = 0.35, least_count: int = 4, most_grams: int = 120_000, least_grams: int = 5000) -> LanguageFilter | None:
+def train(docs: DataFrame, per_language: int = 1000, longest: int = 1_000_000, hashes: int = 2, false_positive: float = 0.03, least_share: float = 0.35, least_count: int = 4, least_grams: int = 5000) -> LanguageFilter | None:
     """Fit the filters on rows that are not held out and have a language; every language is learnt.
 
-    At most per_language rows of each language are used, chosen by a hash of the
-    row; their whole texts are counted in the cluster.  An n-gram enters the
-    filter of every language whose relative frequency is at least least_share of
-    the highest one.  Of those, each language keeps its own commonest ones: at
-    most most_grams, seen least_count times or more, but rarer ones too until it
-    has least_grams, so that one with few or short rows is known as well.
-    None if no row can be learnt from.
+    At most per_language rows of each language, of at most ``longest``
+    characters, are used, chosen by a hash of the row; their whole texts are
+    counted in the cluster.  An n-gram enters the filter of every language whose
+    relative frequency is at least least_share of the highest one, if it was
+    seen least_count times or more; rarer ones too until a language has
+    least_grams, so that one with few or short rows is known as well.  The
+    filters are sized by the n-grams of the largest language.  None if no row can
+    be learnt from.
     """
     spark, stages = docs.sparkSession, Stages(docs.sparkSession, "language")
-    eligible = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 31) - 1)).alias("u"))
+    eligible = docs.filter((F.length("text") <= longest) & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 31) - 1)).alias("u"))
     sizes = [(r["lang"], r["n"]) for r in eligible.groupBy("lang").agg(F.count("*").alias("n")).collect()]
     if not sizes:
         return None
@@ -167,14 +176,15 @@ def train(docs: DataFrame, per_language: int = 1000, slots: int = 1 << 20, hashe
     languages = sorted(numbers)
     if not languages:
         return None
-    cuts = [(name, i, *_cuts(*map(list, zip(*numbers[name], strict=True)), most_grams, least_grams)) for i, name in enumerate(languages)]
-    kept = own.join(F.broadcast(spark.createDataFrame(cuts, "lang string, code int, low long, sure long")), "lang").filter((F.col("n") >= F.col("low")) & ((F.col("total") >= least_count) | (F.col("n") >= F.col("sure"))))
+    cuts = [(name, i, _sure(*map(list, zip(*numbers[name], strict=True)), least_grams)) for i, name in enumerate(languages)]
+    kept = own.join(F.broadcast(spark.createDataFrame(cuts, "lang string, code int, sure long")), "lang").filter((F.col("total") >= least_count) | (F.col("n") >= F.col("sure")))
     rows = kept.select("gram", "code").toPandas()
     stages.drop()
     gram, at = np.unique(rows["gram"].to_numpy(np.int64), return_inverse=True)
     code = rows["code"].to_numpy(np.int64)
     mask = np.zeros((len(gram), -(-len(languages) // 64)), U)
     np.bitwise_or.at(mask, (at, code // 64), U(1) << (code % 64).astype(U))
+    slots = LanguageFilter.slots_for(int(np.bincount(code).max()), hashes, false_positive)
     return LanguageFilter.build(languages, gram.view(U), mask if len(languages) > 64 else mask[:, 0], slots, hashes)
 
 
