@@ -17,7 +17,8 @@ BLOCKS = BITS // 8
 RADIUS = 39  # of 128 bits; texts at similarity 0.8 differ in 19 +- 4
 LOCAL = RADIUS // BLOCKS  # within RADIUS, some block differs in at most so many bits
 _SALTS = mix(np.arange(1, 3, dtype=U) * U(0x632BE59BD9B4E019))
-_NEAR = np.array([[bin(a ^ b).count("1") <= LOCAL for b in range(256)] for a in range(256)])
+_NEAR = [[b for b in range(256) if bin(a ^ b).count("1") <= LOCAL] for a in range(256)]
+_CELLS = 1 << 22  # windows times items looked at together
 _COUNT = np.array([bin(a).count("1") for a in range(256)], np.uint8)
 
 
@@ -44,7 +45,7 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class ItemIndex:
-    """Benchmark items by length, with block tables for the Hamming search and their shingles."""
+    """Benchmark items by length, with lists by block value for the Hamming search, and their shingles."""
 
     def __init__(self, ids: list, texts: list, width: int, least: float):
         self.width, self.least = width, least
@@ -57,10 +58,10 @@ class ItemIndex:
         self.known = np.array([g for g, _ in pairs], U)
         self.lengths_of = np.array([n for _, n in pairs], np.int64)
         self.short = sorted(n for n in self.by_length if n < width)
-        self.tables = {}
-        for n, items in self.by_length.items():
-            prints = np.concatenate([_fingerprints(s, len(s)) for _, s in items])
-            self.tables[n] = (prints, np.stack([_NEAR[:, prints[:, b]] for b in range(BLOCKS)]))
+        self.prints = {n: np.concatenate([_fingerprints(s, len(s)) for _, s in items]) for n, items in self.by_length.items()}
+        # per length and block: the items in order of the block's value, and where each value begins
+        self.order = {n: np.argsort(p, axis=0, kind="stable").astype(np.int32) for n, p in self.prints.items()}
+        self.begin = {n: np.stack([np.concatenate([[0], np.cumsum(np.bincount(p[:, b], minlength=256))]) for b in range(BLOCKS)]) for n, p in self.prints.items()}
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.known & U((1 << 20) - 1)).astype(np.int64)] = True
 
@@ -76,16 +77,27 @@ class ItemIndex:
         """(start, item, similarity) of windows of n words that reach the similarity, from their shingles."""
         w = min(len(shingles), max(1, n - min(self.width, n) + 1))
         prints = _fingerprints(shingles, w)
-        own, table = self.tables[n]
-        near = np.zeros((len(prints), len(own)), bool)
+        own = self.prints[n]
+        step = max(1, _CELLS // len(own))
+        for at in range(0, len(prints), step):
+            part = prints[at : at + step]
+            for start, k in np.argwhere(self._near(part, n)).tolist():
+                if int(_COUNT[part[start] ^ own[k]].sum()) <= RADIUS:
+                    item, its = self.by_length[n][k]
+                    s = weighted_similarity(shingles[at + start : at + start + w], its)
+                    if s >= self.least:
+                        yield at + start, item, s
+
+    def _near(self, prints: np.ndarray, n: int) -> np.ndarray:
+        """Which items of n words share a block with each print but for LOCAL bits: the lists of the block values near its own."""
+        order, begin = self.order[n], self.begin[n]
+        near = np.zeros((len(prints), len(order)), bool)
         for b in range(BLOCKS):
-            near |= table[b][prints[:, b]]
-        for start, k in np.argwhere(near).tolist():
-            if int(_COUNT[prints[start] ^ own[k]].sum()) <= RADIUS:
-                item, its = self.by_length[n][k]
-                s = weighted_similarity(shingles[start : start + w], its)
-                if s >= self.least:
-                    yield start, item, s
+            for value in np.unique(prints[:, b]).tolist():
+                lists = [order[begin[b, v] : begin[b, v + 1], b] for v in _NEAR[value] if begin[b, v] < begin[b, v + 1]]
+                if lists:
+                    near[np.ix_(np.flatnonzero(prints[:, b] == value), np.concatenate(lists))] = True
+        return near
 
     def scan(self, texts: list) -> Iterator[tuple[int, object, int, int, float]]:
         """(text number, item, word position, windows, similarity): the best window per text and item."""
@@ -125,7 +137,7 @@ class ItemIndex:
             yield t, item, start, n, s
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, least: float = 0.8, block_items: int = 20_000, with_key: bool = False) -> DataFrame:
     """Pairs of a document and a benchmark item that some item-sized window of it resembles.
 
     Words are lower-cased and stripped of ASCII punctuation.  A window has as
@@ -140,11 +152,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, least: f
     texts and items match nothing; repeated items report once per item_id.
 
     Returns doc_id, item_id, start_word of the best window, n_windows that
-    match, similarity.
+    match, similarity and, if asked for, the md5 of the text as key.  Each row is judged
+    by itself: rows that repeat an id, or have none, report one by one.
     """
     spark = docs.sparkSession
     items = Stages(spark, "items").keep(benchmark.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text"))
     n_blocks = max(1, -(-items.count() // block_items))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.md5("text") if with_key else F.lit(None).cast("string")).alias("key"))
     out = None
     for k in range(n_blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).orderBy("item_id", "text").toPandas()
@@ -152,16 +166,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, least: f
 
         def run(frames, index=index):
             for part in chunks(frames):
-                ids = part["doc_id"].tolist()
-                rows = [(ids[t], item, start, n, s) for t, item, start, n, s in index.value.scan(texts_of(part["text"]))]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start_word", "n_windows", "similarity"])
+                ids, keys = part["doc_id"].tolist(), part["key"].tolist()
+                found = [(ids[t], item, start, n, s, keys[t]) for t, item, start, n, s in index.value.scan(texts_of(part["text"]))]
+                yield pd.DataFrame(found, columns=["doc_id", "item_id", "start_word", "n_windows", "similarity", "key"])
 
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, item_id long, start_word long, n_windows long, similarity double")
+        part = rows.mapInPandas(run, "doc_id long, item_id long, start_word long, n_windows long, similarity double, key string")
         out = part if out is None else out.unionByName(part)
-    return out
+    return out if with_key else out.drop("key")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that resemble no benchmark item; rows without an id are judged together."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    """The rows of docs that resemble no benchmark item; each row is judged by its own text, whether its id repeats or is missing."""
+    found = contaminated(docs, benchmark, with_key=True).select(F.col("doc_id").alias("_found"), F.col("key").alias("_key")).distinct()
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_found"]) & (F.md5(docs["text"]) == found["_key"]), "left_anti")
