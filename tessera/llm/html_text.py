@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import pickle
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
 from urllib.parse import urlsplit
@@ -37,20 +38,52 @@ COPY = 0.8  # share of common lines above which a neighbour is a copy, not a tem
 NEAR = 4  # distinct outlines compared on each side, besides the page beyond a run of copies
 
 
-
 def _tokens(raw: str) -> re.Pattern:
+    """Comments, elements without text, tags; a tag whose quotes do not match ends at the next angle.
+
+    No part gives back what it took and no two parts of a tag share a character,
+    so with an angle ahead each token costs its own length.
+    """
     return re.compile(
-        rf"<!--.*?(?:-->|\Z)|<({raw})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE
+        rf"""<!--.*?(?P<ended>-->|\Z)|<(?P<raw>{raw})\b(?P<rawtext>[^>]*>.*?)(?P<closed></(?P=raw)\s*>|\Z)"""
+        r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*+)(?P<rest>[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+)>|<(?P<odd_end>/?)(?P<odd>[a-zA-Z][^\s/<>]*+)[^>]*+>|<[!?/][^>]*+>""",
+        re.DOTALL | re.IGNORECASE,
     )
 
 
 _TOKEN, _WHOLE = _tokens(RAW), _tokens("script|style|title")
+
+
+def tokens(page: str, whole: bool = False) -> Iterator[tuple[str, str, bool, str, str]]:
+    """(text before, name of the tag or raw element, whether an end tag, attributes, raw text); the last has the text after all tags.
+
+    Names are lower case and empty for comments and the like.  After the last
+    angle nothing is a tag; an element or comment left open takes the rest.
+    """
+    at, stop = 0, page.rfind(">") + 1
+    for m in (_WHOLE if whole else _TOKEN).finditer(page, 0, stop):
+        before, at = page[at : m.start()], m.end()
+        name = m["name"] or m["odd"] or m["raw"] or ""
+        yield before, name.lower(), bool(m["end"] or m["odd_end"]), m["rest"] or "", m["rawtext"] or ""
+        if m["closed"] == "" or m["ended"] == "":
+            return
+    yield page[at:].split("<!--", 1)[0], "", False, "", ""
+
+
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NOT_LETTERS = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 
 
+def attributes_of(attributes: str) -> dict[str, str]:
+    """Values by lower-case name, without quotes; the first of repeated names counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(attributes):
+        out.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
+    return out
+
+
 def _cued(attributes: str) -> int:
     """Whether class, id or role name boilerplate, or the block is hidden: 0 no, 1 unless it frames the page's text, 2 surely."""
     names: set[str] = set()
@@ -103,22 +136,18 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
             text.append(html.unescape(piece) if "&" in piece else piece)
             plain = plain or (not link and not piece.isspace())
 
-    at = 0
-    for m in (_WHOLE if whole else _TOKEN).finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        name = m[3]
-        if not name:
+    for before, name, ends, attributes, raw in tokens(page, whole):
+        add(before)
+        if raw or not name:
             continue
-        name = name.lower()
         if name == "a":
-            link = 0 if m[2] else 1
+            link = 0 if ends else 1
         if name not in BLOCKS:
             continue
         close()
         if name not in FRAMES:
             continue
-        if m[2]:
+        if ends:
             if any(n == name for n, _, _ in stack):
                 while stack:
                     n, d, c = stack.pop()
@@ -128,8 +157,8 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
                     depth -= n in MAIN
                     if n == name:
                         break
-        elif not m[4].rstrip().endswith("/"):
-            cue = 0 if whole or name in ("html", "body") else _cued(m[4])
+        elif not attributes.rstrip().endswith("/"):
+            cue = 0 if whole or name in ("html", "body") else _cued(attributes)
             drop = not whole and (name in DROPPED or name == "header" and not depth or cue == 2)
             if cue == 1 and not drop:
                 cued.append(len(framing))
@@ -140,7 +169,6 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
                     framing[c] = True
             dropped += drop
             depth += name in MAIN
-    add(page[at:])
     close()
     if not framing:
         return out
