@@ -20,45 +20,94 @@ from .warc import build_derivatives, responses
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words left when windows of 35 words that stand elsewhere too are gone.
+
+    Null and empty texts lose nothing (0 words); equal texts of 35 words or more
+    lose all; rows that repeat an id are judged row by row; no rows give none.
+    """
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a batch of its length bucket, by words.
+
+    Null and empty texts have length 0; a text longer than the budget is alone in
+    its batch; ties and repeated rows take places of their own.
+    """
     return pack(table(spark, sf_dir, "documents"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that a window of it resembles at 0.8 or more.
+
+    Null and empty texts and items match nothing; rows without an id or repeating
+    one report one by one, repeated items once.
+    """
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score in 0..1 for every document, whether it is marked at 0.3, and whether its id is held out.
+
+    Null and empty texts get the score of a text without words; without labels to
+    learn from all scores are 0; an id that is null counts as "".
+    """
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
     return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= 0.3).cast("int")})
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page.
+
+    Null and empty pages give an empty text; a page alone on its host is not
+    differenced; copies of a page, repeated rows too, get the same text.
+    """
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base spans, their hash, and all spans of every document.
+
+    Null and empty texts have none, with the hash of the empty string; rows that
+    repeat get equal results.
+    """
     return digest(find_secrets(table(spark, sf_dir, "documents")))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document and whether its id is held out.
+
+    Null texts and texts without a letter are "und" with score 0, and all are
+    where there is nothing to learn from; of equal evidence the first name wins.
+    """
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train(docs)).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the largest id of its group of equal texts.
+
+    Null counts as the empty text; rows without an id never stay where one has
+    an id; rows that repeat id and text agree.
+    """
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least id reachable over links of 0.85 or more.
+
+    Null and empty texts are alone; rows that repeat an id link by each of their
+    texts; a component without any id has none.
+    """
     return near_components(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response, blocks as digests.
+
+    Null pages have an empty body; repeated rows give equal records under equal ids.
+    """
     out = build_derivatives(responses(table(spark, sf_dir, "pages")))
     return out.withColumn("headers", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("headers"))))).withColumn("block_sha256", F.sha2("block", 256)).drop("block")
 
