@@ -13,27 +13,27 @@ from tessera.llm.packing import pack
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told."""
+    """Drop documents whose language cannot be told: null texts, texts without a letter or of no learnt language."""
     return keep_identified(docs, train(docs))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one of each group of equal documents."""
+    """Keep the largest id of each group of equal texts; of texts that no id has, all rows stay together."""
     return drop_exact_copies(docs, keep="max")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one of each group of similar documents."""
+    """Keep the least id of each group of texts similar at 0.8 or more; texts without words stay."""
     return drop_near_copies(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage like a benchmark item."""
+    """Drop documents that hold a passage like a benchmark item, each row by its own text."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal the documents into batches of similar lengths."""
+    """Deal the documents into batches of similar lengths; every row has its place."""
     return pack(docs)
 
 
