@@ -153,8 +153,8 @@ class FingerprintIndex:
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, window: int = 35, buckets: int | None = None, fan_in: int = 3) -> FingerprintIndex:
-        """An empty index; its entries are about a tenth of the text, so it has a quarter of the session's shuffle partitions as buckets unless given."""
-        index = cls(spark, path, window, buckets or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4), fan_in, [], 0)
+        """An empty index; it has as many buckets as the session has shuffle partitions, unless given, so that a shuffled batch meets them as they are."""
+        index = cls(spark, path, window, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fan_in, [], 0)
         index._publish()
         return index
 
@@ -189,7 +189,7 @@ class FingerprintIndex:
         read when they are used, before the index is closed.
         """
         found = self.stages.keep(batch.select("k1", "k2", "text").mapInPandas(_anchor_rows(self.window), _ENTRY), "entries")
-        entries = found.filter("h is not null").select("h", "k1", "k2", "at", "many").repartition(self.buckets, "h")
+        entries = found.filter("h is not null").select("h", "k1", "k2", "at", "many")
         new = entries.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
         woken = []
         for i, (_, table) in enumerate(self.runs):
@@ -208,8 +208,12 @@ class FingerprintIndex:
         return alone.select("k1", "k2", F.array("at").alias("places")).unionByName(found.filter("h is null").select("k1", "k2", "places"))
 
     def compact(self) -> None:
-        """Merge all runs into one.  Buckets are merged where they lie; the old runs go on close(), as hits may still be read from them."""
-        rows = reduce(DataFrame.unionByName, [self.spark.table(t).select("h", "k1", "k2", "at", "many") for _, t in self.runs])
+        """Merge all runs into one; the old ones go on close(), as hits may still be read from them.
+
+        The runs are read as plain files: over a union of bucketed tables Spark
+        would take the buckets for merged already and aggregate each table by itself.
+        """
+        rows = self.spark.read.schema("h long, k1 long, k2 long, at int, many boolean").parquet(*[f"{self.path}/{name}" for name, _ in self.runs])
         merged = rows.groupBy("h").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"), (F.bool_or("many") | (F.count("*") > 1)).alias("many"))
         self.merged += self.runs
         self.runs = [self._write_run(merged.withColumn("woken", F.array().cast("array<struct<k1: bigint, k2: bigint, at: int>>")))]

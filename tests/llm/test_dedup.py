@@ -162,6 +162,9 @@ def test_index_is_compacted_reopened_and_complete(spark, tmp_path):
             assert len(index.runs) == n and (index.window, index.buckets, index.fan_in) == (20, 3, 3)
         found |= {(r["k1"], at) for r in index.add(table.filter(f"k1 % 7 = {k}")).collect() for at in r["places"]}
         assert 1 <= len(index.runs) <= 2
+        for name, run in index.runs:  # a run holds each hash once, and its files are one a bucket at most
+            assert spark.table(run).count() == spark.table(run).select("h").distinct().count()
+            assert sum(x.suffix == ".parquet" for x in (tmp_path / "index" / name).iterdir()) <= 3
     at = {}
     for k, _, t in texts:
         w = words_of([t])
