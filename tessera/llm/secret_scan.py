@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 
@@ -255,7 +254,3 @@ def redact(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret]")
             out += [text[at:a], mark]
         at = max(at, b)
     return "".join([*out, text[at:]])
-
-
-def sha256_of_spans(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
