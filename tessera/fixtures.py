@@ -39,6 +39,39 @@ READS = f"""SELECT l_orderkey, l_linenumber, l_partkey,
 repeat('I', cast(l_partkey % 45 as int)) || '#' || repeat('I', cast(44 - l_partkey % 45 as int)) AS qual
 FROM {{lineitem}}"""
 
+_LONG = f"{dna('({}suppkey * 7919) % 65536', 8)} || {dna('({}suppkey * 1047) % 65536', 8)} || {dna('{}suppkey % 256', 4)}"
+
+
+def _long(prefix: str) -> str:
+    return _LONG.replace("{}", prefix)
+
+
+def flipped(word: str, *places: int) -> str:
+    """SQL for a word with other bases at these places."""
+    for p in places:
+        word = f"substr({word}, 1, {p - 1}) || CASE WHEN substr({word}, {p}, 1) = 'A' THEN 'C' ELSE 'A' END || substr({word}, {p + 1})"
+    return word
+
+
+#: Words of 20 bases: most suppliers, some with a second entry one or two bases away, and the word of A's.
+LONG_ENTRIES = f"""SELECT w AS barcode FROM (SELECT s_suppkey AS k, {_long('s_')} AS w FROM {{supplier}}) AS e WHERE k % 4 <> 0
+UNION SELECT {flipped('w', 20)} FROM (SELECT s_suppkey AS k, {_long('s_')} AS w FROM {{supplier}}) AS e WHERE k % 5 = 1
+UNION SELECT {flipped('w', 3, 11)} FROM (SELECT s_suppkey AS k, {_long('s_')} AS w FROM {{supplier}}) AS e WHERE k % 5 = 2 UNION SELECT 'AAAAAAAAAAAAAAAAAAAA'"""
+
+#: Observed words by line number: as they are, one to three other bases, one N or two, and near the word of A's.
+LONG_SEEN = f"""SELECT CASE n WHEN 1 THEN w WHEN 2 THEN {flipped('w', 7)} WHEN 3 THEN {flipped('w', 7, 15)} WHEN 4 THEN substr(w, 1, 4) || 'N' || substr(w, 6) WHEN 5 THEN substr(w, 1, 4) || 'N' || substr(w, 6, 5) || 'N' || substr(w, 12)
+WHEN 6 THEN {flipped('w', 2, 7, 15)} ELSE CASE WHEN k % 3 = 0 THEN 'AAAAAAAAAAAAAAAAAAAA' ELSE 'AAAAACAAAAAAAAAAAAA' || substr(w, 20) END END AS barcode
+FROM (SELECT DISTINCT l_suppkey AS k, l_linenumber AS n, {_long('l_')} AS w FROM {{lineitem}}) AS r"""
+
+#: barcode, x, y around a scaled box: some outside of it, some on half pixels.
+WIDE = f"SELECT {_BARCODE.format(*['s_'] * 8)} AS barcode, cast((s_suppkey * 37) % 460 - 20 as double) + CASE WHEN s_suppkey % 2 = 0 THEN 0.5e0 ELSE 0e0 END AS x, cast((s_suppkey * 91) % 360 - 30 as double) + CASE WHEN s_suppkey % 3 = 0 THEN 0.5e0 ELSE 0e0 END AS y FROM {{supplier}}"
+
+#: Lines of a GTF: genes that come before, after or without their exons, exons on both strands, biotypes.
+GTF = """SELECT p_partkey * 4 + k AS line, 'chr' || cast(p_partkey % 3 as string) || chr(9) || 'src' || chr(9) || CASE WHEN k = CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 3 END THEN 'gene' ELSE 'exon' END
+|| chr(9) || cast(p_partkey * 10 + k as string) || chr(9) || cast(p_partkey * 10 + k + 50 as string) || chr(9) || '.' || chr(9) || CASE WHEN (p_partkey + k) % 7 = 0 THEN '-' ELSE '+' END || chr(9) || '.' || chr(9)
+|| 'gene_id "G' || cast(p_partkey as string) || '"; gene_biotype "' || CASE WHEN p_partkey % 11 = 0 THEN 'other' ELSE 'coding' END || '";' AS value
+FROM {part}, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS kinds WHERE NOT (k = 3 AND p_partkey % 3 = 2)"""
+
 #: cell, gene, value: a small expression matrix in long form, with its cluster.
 EXPRESSION = {
     "spark": "SELECT vec_id AS cell, label AS cluster, cast(pos as int) AS gene, cast(floor(greatest(cast(0 as double), cast(v as double)) * 100) as int) AS value FROM {embeddings} LATERAL VIEW posexplode(embedding) AS pos, v",

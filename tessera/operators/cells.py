@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+from .order import numbered
+
 
 def marked(summary: DataFrame, threshold: DataFrame) -> DataFrame:
     """The summary with mark CB (molecules at or above the one-row threshold) or UB."""
@@ -134,10 +138,15 @@ def log_likelihoods(molecules: DataFrame, profile: pd.DataFrame) -> DataFrame:
     """(barcode, umi, loglik) of drawing each barcode's genes from the profile."""
     spark = molecules.sparkSession
     p = spark.createDataFrame(profile[["gene", "p"]])
-    gamma = F.pandas_udf(lambda s: s.map(lambda v: math.lgamma(v + 1)), "double")
+
+    @F.pandas_udf("double")
+    def log_factorial(column: pd.Series) -> pd.Series:
+        values, at = np.unique(column.to_numpy(np.int64), return_inverse=True)  # few counts are distinct
+        return pd.Series(np.array([math.lgamma(v + 1) for v in values.tolist()])[at])
+
     counts = molecules.groupBy("barcode", "gene").agg(F.count("*").alias("x")).join(p, "gene")
-    sums = counts.select("barcode", "x", (F.col("x") * F.log("p") - gamma(F.col("x"))).alias("t")).groupBy("barcode").agg(F.sum("x").alias("umi"), F.sum("t").alias("t"))
-    return sums.select("barcode", "umi", (gamma(F.col("umi")) + F.col("t")).alias("loglik"))
+    sums = counts.select("barcode", "x", (F.col("x") * F.log("p") - log_factorial(F.col("x"))).alias("t")).groupBy("barcode").agg(F.sum("x").alias("umi"), F.sum("t").alias("t"))
+    return sums.select("barcode", "umi", (log_factorial(F.col("umi")) + F.col("t")).alias("loglik"))
 
 
 def simulated_counts(spark, observed: pd.DataFrame, profile: np.ndarray, sims: int = 10_000, seed: int = 0, blocks: int = 16) -> pd.DataFrame:
@@ -174,10 +183,9 @@ def empty_drops(molecules: DataFrame, recovered: int = 3000, ambient: tuple[int,
     none, or the estimate does not apply, the cells by magnitude stand alone.
     """
     spark = molecules.sparkSession
-    summary = molecules.groupBy("barcode").agg(F.count("*").alias("umi")).persist()
+    summary = cut(molecules.groupBy("barcode").agg(F.count("*").alias("umi")))
     n_cells = bootstrap_magnitude(summary, recovered)
-    rank = F.row_number().over(Window.orderBy(F.desc("umi"), "barcode"))
-    ranked = summary.withColumn("rank", rank).persist()
+    ranked = numbered(summary.withColumn("_down", -F.col("umi")), "rank", "_down", "barcode").drop("_down")
     cells = ranked.filter(F.col("rank") <= n_cells)
     empty = ranked.filter((F.col("rank") > ambient[0]) & (F.col("rank") <= ambient[1]))
     base = cells.select("barcode", "umi", F.lit("magnitude").alias("cell"), F.lit(None).cast("double").alias("loglik"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("q"))
@@ -206,8 +214,11 @@ def rank_curve(summary: DataFrame) -> DataFrame:
     return histogram.select("umi", (last - F.col("n") + 1).alias("first_rank"), last.alias("last_rank"))
 
 
-def knee(summary: DataFrame, floor: int = 10) -> DataFrame:
-    """One row: the rank with the least second difference of log10(count + 1) in the first half of the ranks, at least ``floor``."""
+def knee(summary: DataFrame, floor: int = 10, few: int = 100) -> DataFrame:
+    """One row: the rank with the least second difference of log10(count + 1) in the first half of the ranks, at least ``floor``.
+
+    With at most ``few`` barcodes it is a tenth of their number.
+    """
     w = Window.orderBy("rank")
     base = summary.select("umi", F.row_number().over(Window.orderBy(F.desc("umi"), "barcode")).alias("rank"), F.count("*").over(Window.partitionBy(F.lit(1))).alias("n"))
     y = base.withColumn("y", F.log10(F.col("umi") + 1.0))
@@ -217,17 +228,64 @@ def knee(summary: DataFrame, floor: int = 10) -> DataFrame:
         return F.when(before.isNull(), after - F.col(c)).when(after.isNull(), F.col(c) - before).otherwise((after - before) / 2)
 
     second = y.withColumn("g", gradient("y")).withColumn("h", F.round(gradient("g"), 9))
-    return second.filter("rank <= n div 2").agg(F.min_by("rank", F.struct("h", "rank")).alias("k")).select(F.greatest(F.col("k") - 1, F.lit(floor)).cast("int").alias("knee"))
-
-
-def segments(curve: pd.DataFrame, step: float = 0.02, span: int = 20) -> list[tuple[int, int]]:
-    """Greedy cuts of an ordered curve (rank, umi) once its log-log arc exceeds ``step`` and spans over ``span`` ranks."""
-    x, y = np.log(curve["rank"].to_numpy(float)), np.log(np.maximum(curve["umi"].to_numpy(float), 1))
-    arc = np.hypot(np.diff(x, prepend=x[:1]), np.diff(y, prepend=y[:1]))
-    out, start, total = [], 0, 0.0
-    for i in range(len(arc)):
-        total += arc[i]
-        if total >= step and i - start > span:
-            out.append((start, i))
-            start, total = i, 0.0
-    return [*out, (start, len(arc))] if len(arc) else []
+    return second.filter(f"rank <= n div 2 or n <= {few}").agg(F.min_by("rank", F.struct("h", "rank")).alias("k"), F.max("n").alias("n")).select(F.when(F.col("n") <= few, F.floor(F.col("n") * 0.1)).otherwise(F.greatest(F.col("k") - 1, F.lit(floor))).cast("int").alias("knee"))
+
+
+def segments(counts: np.ndarray, start: int, end: int, step: float = 0.02, span: int = 20) -> list[int]:
+    """Cuts of the descending curve between two ranks, with both ends; none if the range is empty.
+
+    The arc is measured on log axes that each run from 0 to 1 over the whole
+    curve.  A piece ends after the rank at which it is ``step`` long, if that lies
+    over ``span`` ranks behind the last cut.  Ranks count from 0; the first of the range
+    is 1 or more, and counts in it are positive.
+    """
+    if end <= start:
+        return []
+    if start < 1:
+        raise ValueError("rank 0 has no place on a log axis")
+    i = np.arange(start, end)
+    before = np.maximum(start, i - 1)
+    y = np.log(np.asarray(counts[:end], float))
+    arc = np.hypot((np.log(i) - np.log(before)) / np.log(len(counts)), (y[i] - y[before]) / np.log(float(np.max(counts))))
+    cuts, base = [start], 0.0
+    along = np.cumsum(arc)
+    at = 0
+    while True:
+        # the first rank where the piece is long enough and spans enough ranks
+        k = max(at, int(np.searchsorted(along, base + step)), cuts[-1] + span + 1 - start)
+        while k < len(i) and along[k] - base < step:
+            k += 1
+        if k >= len(i):
+            break
+        cuts.append(int(i[k]) + 1)
+        at, base = k + 1, along[k]
+    return cuts if cuts[-1] == end else [*cuts, end]
+
+
+def curve_segments(summary: DataFrame, start: int, end: int | None = None) -> DataFrame:
+    """(first, last) rank of each piece of the curve between two ranks, end exclusive; only the histogram of counts leaves the cluster."""
+    rows = summary.filter("umi > 0").groupBy("umi").agg(F.count("*").alias("n")).orderBy(F.desc("umi")).toPandas()
+    counts = np.repeat(rows["umi"].to_numpy(), rows["n"].to_numpy())
+    cuts = segments(counts, start, min(len(counts), len(counts) if end is None else end))
+    return summary.sparkSession.createDataFrame([(int(a), int(b)) for a, b in pairwise(cuts)], "first long, last long")
+
+
+def call_cells(molecules: DataFrame, method: str = "auto", forced: int | None = None, expected: int = 3000, **options) -> DataFrame:
+    """The summary with mark CB or UB and the threshold, by the wanted number of cells if one is given, else by the method.
+
+    Methods: auto (rank), EmptyDrops_CR (magnitude and ambient profile; its
+    threshold is the least count of a cell).  Any other name is an error.
+    """
+    summary = molecules.groupBy("barcode").agg(
+        F.sum("cnt").alias("readcount"), F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt"))), F.lit(0)).alias("umi2"), F.count("*").alias("umi"), F.count_distinct("gene").alias("genes")
+    )
+    if forced is not None:
+        return marked(summary, forced_threshold(summary, forced))
+    if method == "auto":
+        return marked(summary, auto_threshold(summary, expected))
+    if method != "EmptyDrops_CR":
+        raise ValueError(f"unknown method {method!r}; known are auto and EmptyDrops_CR")
+    found = cut(empty_drops(molecules, recovered=expected, **options).select("barcode", F.lit("CB").alias("mark")))
+    out = summary.join(found, "barcode", "left").withColumn("mark", F.coalesce("mark", F.lit("UB")))
+    least = out.filter("mark = 'CB'").agg(F.min("umi").alias("threshold"))
+    return out.crossJoin(F.broadcast(least))

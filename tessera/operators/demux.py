@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,31 +49,31 @@ def displaced_segments(seq: Column, widths: tuple[int, int, int], umi: int, link
 def correct_barcodes(observed: DataFrame, whitelist: DataFrame, width: int, mismatches: int = 1) -> DataFrame:
     """(barcode, corrected) for the distinct barcodes of observed; corrected is null where none or several match.
 
-    Exact entries stay.  Others need exactly one entry within the mismatches, near
-    or far.  The sides meet on one of mismatches + 1 equal pieces, so nothing is
-    compared that does not share a piece.  With an N, only the first is tried
-    with each base, and exactly one must be an entry.
+    Entries of the whitelist stay.  Others need exactly one entry within the
+    mismatches.  With an N, only the first is tried with each base, and exactly
+    one must be an entry; further N's count as T.  Without mismatches only entries
+    stay.  A word of A's is an entry like any other.  Both sides meet on their codes
+    with the bases at each choice of ``mismatches`` places cleared, an equality
+    on whole words: a barcode meets no entry that is farther away than that.
+    The observed side is read once; a word of up to 31 bases fits a code.
     """
-    entries = whitelist.select(F.col("barcode").alias("entry")).distinct()
-    seen = observed.select("barcode").distinct()
-    exact = seen.join(entries, seen["barcode"] == entries["entry"], "left_semi").select("barcode", F.col("barcode").alias("corrected"))
-    rest = seen.join(entries, seen["barcode"] == entries["entry"], "left_anti")
-    if not mismatches:
-        return exact.unionByName(rest.select("barcode", F.lit(None).cast("string").alias("corrected")))
-    pieces, cuts = mismatches + 1, [width * k // (mismatches + 1) for k in range(mismatches + 2)]
-
-    def split(df, name):
-        parts = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.substring(name, cuts[k] + 1, cuts[k + 1] - cuts[k]).alias("p")) for k in range(pieces)])).alias("s")
-        return df.select(name, S.encode(F.col(name)).alias(f"{name}_code"), parts).select(name, f"{name}_code", "s.k", "s.p")
-
-    plain = rest.filter(~F.col("barcode").contains("N"))
-    near = split(plain, "barcode").join(split(entries, "entry"), ["k", "p"]).filter(S.hamming_codes(F.col("barcode_code"), F.col("entry_code")) <= mismatches)
-    first_n = F.instr("barcode", "N")
-    tried = rest.filter(F.col("barcode").contains("N")).select("barcode", F.explode(F.array(*[F.overlay("barcode", F.lit(b), first_n, F.lit(1)) for b in "ACGT"])).alias("t"))
-    with_n = tried.withColumn("entry", S.decode(S.encode(F.col("t")), width)).join(entries, "entry").select("barcode", "entry")
-    unique = near.select("barcode", "entry").unionByName(with_n).groupBy("barcode").agg(F.count_distinct("entry").alias("n"), F.min("entry").alias("e")).filter("n = 1")
-    fixed = rest.join(unique, "barcode", "left").select("barcode", F.col("e").alias("corrected"))
-    return exact.unionByName(fixed)
+    if not 1 <= width <= 31:
+        raise ValueError("a code holds 1 to 31 bases")
+    every = (1 << 2 * width) - 1
+    clear = [every ^ sum(3 << 2 * p for p in places) for places in itertools.combinations(range(width), mismatches)]
+    masks = F.array(*[F.lit(m).cast("long") for m in clear])
+    entries = whitelist.select(S.encode(F.col("barcode")).alias("entry")).distinct()
+    seen = observed.select("barcode").distinct().withColumn("code", S.encode(F.col("barcode"))).withColumn("first_n", F.instr("barcode", "N"))
+    known = seen.join(entries, (F.col("code") == F.col("entry")) & (F.col("first_n") == 0), "left").select("barcode", "code", "first_n", F.col("entry").alias("exact"))
+    # what to look up: (number of the choice, cleared code); -1 is the whole word
+    tried = F.array(*[F.struct(F.lit(-1).alias("k"), S.encode(F.overlay("barcode", F.lit(b), F.col("first_n"), F.lit(1))).alias("word")) for b in "ACGT"])
+    cleared = F.transform(masks, lambda m, k: F.struct(k.alias("k"), F.col("code").bitwiseAND(m).alias("word")))
+    nothing = F.array().cast("array<struct<k: int, word: bigint>>")
+    near = cleared if mismatches else nothing
+    probes = known.select("barcode", "exact", F.explode_outer(F.when(F.col("exact").isNotNull(), nothing).when(F.col("first_n") > 0, tried if mismatches else nothing).otherwise(near)).alias("s")).select("barcode", "exact", "s.k", "s.word")
+    spread = entries.select("entry", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("k"), F.col("entry").alias("word"))), F.transform(masks, lambda m, k: F.struct(k.alias("k"), F.col("entry").bitwiseAND(m).alias("word"))))).alias("s")).select("entry", "s.k", "s.word")
+    found = probes.join(spread, ["k", "word"], "left").groupBy("barcode").agg(F.max("exact").alias("exact"), F.min("entry").alias("low"), F.max("entry").alias("high"))
+    return found.select("barcode", S.decode(F.coalesce("exact", F.when(F.col("low") == F.col("high"), F.col("low"))), width).alias("corrected"))
 
 
 def demultiplex(parsed: DataFrame, whitelist: DataFrame, width: int, mismatches: int = 1) -> DataFrame:
@@ -91,7 +93,7 @@ def match_segments(reads: DataFrame, table: DataFrame, columns: list[str]) -> Da
     """Reads whose segments all appear in a mismatch table, with the corrected segments joined."""
     out = reads
     for c in columns:
-        out = out.join(F.broadcast(table.select(F.col("seq").alias(c), F.col("entry").alias(f"{c}_fixed"))), c)
+        out = out.join(table.select(F.col("seq").alias(c), F.col("entry").alias(f"{c}_fixed")), c)
     return out.withColumn("barcode", F.concat(*[f"{c}_fixed" for c in columns]))
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from .cells import adjust_bh
 
 
@@ -133,43 +136,117 @@ def marker_frame(raw: DataFrame) -> DataFrame:
     return df.withColumn("cluster", F.col("cluster").try_cast("int")).filter("cluster is not null and avg_log2fc is not null and p_val_adj < 0.05")
 
 
-def nearest(vectors: DataFrame, k: int = 15, blocks: int = 16) -> DataFrame:
-    """Exact k nearest neighbours of every vector, euclidean: (id, other, rank, distance).
+def nearest(vectors: DataFrame, k: int = 15, group_rows: int = 8192) -> DataFrame:
+    """Exact k nearest neighbours of every vector, euclidean, ties by id: (id, other, rank, distance).
 
-    Query blocks meet the whole set once each in numpy; each task keeps the best k
-    of its part, and the parts' bests are ranked.
+    Vectors are dealt to groups of about group_rows by a hash of the id; each task
+    gets two groups and keeps the best k of the second for each of the first, and
+    the tasks' bests are ranked.  Nothing passes through the driver.
     """
-    import numpy as np
-    import pandas as pd
-
-    spark = vectors.sparkSession
-    out = None
-    data = vectors.select("id", "v")
-    for b in range(blocks):
-        q = data.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").toPandas()
-        if not len(q):
-            continue
-        shared = spark.sparkContext.broadcast((q["id"].to_numpy(), np.stack(q["v"].to_numpy()).astype(np.float64)))
-
-        def run(frames, shared=shared):
-            ids, m = shared.value
-            for frame in frames:
-                if not len(frame):
-                    continue
-                other, x = frame["id"].to_numpy(), np.stack(frame["v"].to_numpy()).astype(np.float64)
-                d = np.sqrt(np.maximum((m**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * m @ x.T, 0))
+    groups = max(1, -(-vectors.count() // group_rows))
+    base = vectors.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("_g"))
+    each = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_o")
+    asked = base.select("id", "v", "_g", each).select("id", "v", (F.col("_g") * groups + F.col("_o")).alias("cell"), F.lit(True).alias("asks"))
+    given = base.select("id", "v", "_g", each).select("id", "v", (F.col("_o") * groups + F.col("_g")).alias("cell"), F.lit(False).alias("asks"))
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id", kind="stable")
+        ask, give = frame[frame["asks"]], frame[~frame["asks"]]
+        parts = []
+        if len(ask) and len(give):
+            other, x = give["id"].to_numpy(), np.stack(give["v"].to_numpy()).astype(np.float64)
+            square = (x**2).sum(1)
+            for at in range(0, len(ask), 512):
+                ids, m = ask["id"].to_numpy()[at : at + 512], np.stack(ask["v"].to_numpy()[at : at + 512]).astype(np.float64)
+                d = np.round(np.sqrt(np.maximum((m**2).sum(1)[:, None] + square[None, :] - 2 * m @ x.T, 0)), 6)
                 d[ids[:, None] == other[None, :]] = np.inf
                 take = np.argsort(d, axis=1, kind="stable")[:, :k]
                 dist = np.take_along_axis(d, take, 1)
                 rows = pd.DataFrame({"id": np.repeat(ids, take.shape[1]), "other": other[take].reshape(-1), "distance": dist.reshape(-1)})
-                yield rows[np.isfinite(rows["distance"])]
+                parts.append(rows[np.isfinite(rows["distance"])])
+        return pd.concat(parts) if parts else pd.DataFrame({"id": np.zeros(0, np.int64), "other": np.zeros(0, np.int64), "distance": np.zeros(0)})
 
-        part = data.mapInPandas(run, "id long, other long, distance double")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "id long, other long, rank int, distance double")
-    w = Window.partitionBy("id").orderBy(F.round("distance", 6), "other")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("id", "other", "rank", F.round("distance", 6).alias("distance"))
+    found = asked.unionByName(given).groupBy("cell").applyInPandas(best, "id long, other long, distance double")
+    w = Window.partitionBy("id").orderBy("distance", "other")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("id", "other", "rank", "distance")
+
+
+def connectivities(neighbours: DataFrame, rounds: int = 64, tolerance: float = 1e-5) -> DataFrame:
+    """Symmetric weights of a graph of nearest neighbours(id, other, rank, distance): (id, other, weight), either direction once.
+
+    Each vector's distances beyond its nearest positive one decay at the rate at
+    which its weights sum to log2 of the number of its neighbours, counting itself; the
+    two directions join as a + b - ab.  The rate is found by bisection over the
+    array of a vector's distances, which k bounds.
+    """
+    @F.pandas_udf("array<double>")
+    def weigh(column: pd.Series) -> pd.Series:
+        def one(values) -> np.ndarray:
+            d = np.asarray(values, float)
+            positive = d[d > 0]
+            rho = positive.min() if len(positive) else 0.0
+            beyond, target = np.maximum(d - rho, 0.0), np.log2(len(d) + 1)
+            low, high, sigma = 0.0, np.inf, 1.0
+            for _ in range(rounds):
+                total = np.exp(-beyond / sigma).sum()
+                if abs(total - target) < tolerance:
+                    break
+                if total > target:
+                    high = sigma
+                    sigma = (low + high) / 2
+                else:
+                    low = sigma
+                    sigma = sigma * 2 if np.isinf(high) else (low + high) / 2
+            return np.exp(-beyond / max(sigma, 1e-3 * (d.mean() if len(d) else 0.0), 1e-12))
+
+        return column.map(one)
+
+    lists = neighbours.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "other", "distance"))).alias("n"))
+    directed = lists.select("id", F.explode(F.arrays_zip(F.col("n")["other"].alias("other"), weigh(F.col("n")["distance"]).alias("w"))).alias("e")).select("id", F.col("e.other").alias("other"), F.col("e.w").alias("w"))
+    pairs = directed.groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).agg(F.max("w").alias("a"), F.when(F.count("*") > 1, F.min("w")).otherwise(0.0).alias("b"))
+    return pairs.select("id", "other", F.round(F.col("a") + F.col("b") - F.col("a") * F.col("b"), 9).alias("weight"))
+
+
+def merge_communities(edges: DataFrame, levels: int = 10, rounds: int = 8) -> DataFrame:
+    """Communities of an undirected graph(id, other, weight) by greedy modularity: (id, label).
+
+    Each round every node, half of them at a time by a hash, moves to the
+    neighbouring community with the largest gain in modularity (the lower label
+    on ties) if that is positive; when moves end or no longer help, communities become
+    nodes and the next level starts.  It stops at the level that gains nothing.
+    """
+    graph = cut(edges.groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).agg(F.sum("weight").alias("weight")))
+    names = cut(graph.select("id").unionByName(graph.select(F.col("other").alias("id"))).distinct().withColumn("label", F.col("id")))
+    m = graph.agg(F.sum("weight")).first()[0]
+    if not m:
+        return names
+    best = None
+    for _ in range(levels):
+        both = cut(graph.unionByName(graph.filter("id <> other").select(F.col("other").alias("id"), F.col("id").alias("other"), "weight")))
+        degree = cut(both.groupBy("id").agg(F.sum(F.when(F.col("id") == F.col("other"), 2 * F.col("weight")).otherwise(F.col("weight"))).alias("k")))
+        place = cut(degree.select("id", F.col("id").alias("c")))
+        quality = modularity(graph, place.withColumnRenamed("c", "label")).first()[0]
+        for r in range(rounds):
+            total = place.join(degree, "id").groupBy("c").agg(F.sum("k").alias("t"))
+            toward = both.filter("id <> other").join(place.withColumnRenamed("id", "other"), "other").groupBy("id", "c").agg(F.sum("weight").alias("w"))
+            own = place.withColumnRenamed("c", "mine").join(degree, "id")
+            # what a node gains by standing in c, itself taken out of its own community first
+            options = toward.join(own, "id").unionByName(own.select("id", F.col("mine").alias("c"), F.lit(0.0).alias("w"), "mine", "k")).groupBy("id", "c", "mine", "k").agg(F.sum("w").alias("w")).join(total, "c")
+            gain = F.round(F.col("w") - F.col("k") * (F.col("t") - F.when(F.col("c") == F.col("mine"), F.col("k")).otherwise(0.0)) / (2 * m), 9)
+            pick = options.withColumn("gain", gain).groupBy("id", "mine").agg(F.min(F.struct(-F.col("gain"), F.col("c") != F.col("mine"), "c")).alias("p"))
+            moved = cut(pick.select("id", F.when(F.pmod(F.xxhash64("id"), F.lit(2)) == r % 2, F.col("p.c")).otherwise(F.col("mine")).alias("c"), "mine"))
+            after = modularity(graph, moved.select("id", F.col("c").alias("label"))).first()[0]
+            if after <= quality + 1e-9 and r % 2:
+                break
+            if after > quality + 1e-9:
+                place, quality = cut(moved.select("id", "c")), after
+        if best is not None and quality <= best + 1e-9:
+            break
+        best = quality
+        names = cut(names.join(place.withColumnRenamed("id", "label"), "label").select("id", F.col("c").alias("label")))
+        a, b = place.withColumnRenamed("c", "ca"), place.withColumnRenamed("id", "other").withColumnRenamed("c", "cb")
+        graph = cut(graph.join(a, "id").join(b, "other").groupBy(F.least("ca", "cb").alias("id"), F.greatest("ca", "cb").alias("other")).agg(F.sum("weight").alias("weight")))
+    return names
 
 
 def propagate_labels(edges: DataFrame, rounds: int = 5) -> DataFrame:
@@ -177,7 +254,7 @@ def propagate_labels(edges: DataFrame, rounds: int = 5) -> DataFrame:
 
     This stands in for modularity clustering and is not equal to it.
     """
-    both = edges.select("id", "other", "weight").unionByName(edges.select(F.col("other").alias("id"), F.col("id").alias("other"), "weight")).persist()
+    both = cut(edges.select("id", "other", "weight").unionByName(edges.select(F.col("other").alias("id"), F.col("id").alias("other"), "weight")))
     labels = both.select("id").distinct().withColumn("label", F.col("id"))
     for _ in range(rounds):
         votes = both.join(labels.withColumnRenamed("id", "other"), "other").groupBy("id", "label").agg(F.sum("weight").alias("w"))

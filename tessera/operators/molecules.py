@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+from .order import numbered
+
 
 def count_molecules(alignments: DataFrame) -> DataFrame:
     """(barcode, gene, umi, cnt) from alignments(query_name = barcode_umi_..., gene); reads without a gene are dropped."""
@@ -28,18 +33,25 @@ def merge_parents(molecules: DataFrame, width: int, ratio: float = 0.1) -> DataF
     return molecules.join(best, ["barcode", "gene", "umi"], "left")
 
 
-def merge_umis(molecules: DataFrame, width: int, ratio: float = 0.1, rounds: int = 4) -> DataFrame:
+def merge_umis(molecules: DataFrame, width: int, ratio: float = 0.1) -> DataFrame:
     """Molecules after directional merging, with the number of UMIs and reads that each took in.
 
-    Every hop needs a tenfold count, so chains are short: pointer doubling follows
-    2**rounds hops, and 16 exceed any 64-bit count at the default ratio.
+    Every hop needs a count 1/ratio times as high, so a chain of 64-bit counts has
+    at most log(2**63) / log(1 / ratio) hops, and pointer doubling follows them
+    all.  A ratio of 1 or more has no such bound and is an error.
     """
+    if not 0 < ratio < 1:
+        raise ValueError("the ratio lies between 0 and 1")
+    rounds = math.ceil(math.log2(63 * math.log(2) / -math.log(ratio) + 1))
     keys = ["barcode", "gene"]
-    # only merged UMIs take part in the doubling; each step is cached, else it would be computed twice by the next
-    hop = merge_parents(molecules, width, ratio).filter("parent is not null").select(*keys, "umi", F.col("parent").alias("root")).persist()
+    # only merged UMIs take part in the doubling; each step is written, else it would be computed twice by the next
+    hop = cut(merge_parents(molecules, width, ratio).filter("parent is not null").select(*keys, "umi", F.col("parent").alias("root")))
     for _ in range(rounds):
         up = hop.select(*keys, F.col("umi").alias("root"), F.col("root").alias("next"))
-        hop = hop.join(up, [*keys, "root"], "left").select(*keys, "umi", F.coalesce("next", "root").alias("root")).persist()
+        step = cut(hop.join(up, [*keys, "root"], "left").select(*keys, "umi", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        hop = step.drop("moved")
+        if step.filter("moved").isEmpty():
+            break
     now = molecules.join(hop, [*keys, "umi"], "left").select(*keys, "umi", "cnt", F.coalesce("root", "umi").alias("root"))
     merged = F.col("umi") != F.col("root")
     return now.groupBy(*keys, F.col("root").alias("umi")).agg(
@@ -73,6 +85,6 @@ def gene_matrix(molecules: DataFrame, features: DataFrame) -> DataFrame:
     there is an error.  Barcodes are numbered in lexical order.
     """
     values = molecules.groupBy("barcode", "gene").agg(F.count("*").alias("value"))
-    barcodes = molecules.select("barcode").distinct().withColumn("barcode_idx", F.row_number().over(Window.orderBy("barcode")))
+    barcodes = numbered(molecules.select("barcode").distinct(), "barcode_idx", "barcode")
     known = values.join(features, "gene", "left").withColumn("feature_idx", F.when(F.col("feature_idx").isNull(), F.raise_error(F.concat(F.lit("unknown gene "), F.col("gene"))).cast("int")).otherwise(F.col("feature_idx")))
     return known.join(barcodes, "barcode").select("feature_idx", "barcode_idx", "value")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+from .graph import connected
+from .order import numbered
+
 
 def otsu(histogram: DataFrame) -> DataFrame:
     """One row: the level that maximises the variance between the two classes of histogram(level, n); the lowest on ties."""
@@ -32,6 +35,74 @@ def max_entropy(histogram: DataFrame) -> DataFrame:
     return h.filter(rest > 1e-12).withColumn("v", F.round(total, 9)).agg(F.min_by("level", F.struct(-F.col("v"), "level")).alias("threshold"))
 
 
+def yen(histogram: DataFrame) -> DataFrame:
+    """One row: the level with the largest correlation criterion of its two classes (Yen, Chang and Chang 1995); the lowest on ties."""
+    w, t = Window.orderBy("level"), Window.partitionBy(F.lit(1))
+    p = histogram.filter("n > 0").select("level", (F.col("n") / F.sum("n").over(t)).alias("p"))
+    h = p.select("level", F.sum("p").over(w).alias("c"), F.sum(F.col("p") * F.col("p")).over(w).alias("s"), F.sum(F.col("p") * F.col("p")).over(t).alias("all"))
+    below, above = F.col("c") * (1 - F.col("c")), F.col("s") * (F.col("all") - F.col("s"))
+    return h.filter((1 - F.col("c")) > 1e-12).withColumn("v", F.round(F.log(below * below / above), 9)).agg(F.min_by("level", F.struct(-F.col("v"), "level")).alias("threshold"))
+
+
+def isodata(histogram: DataFrame) -> DataFrame:
+    """One row: the lowest level less than one below the middle of the means of both its classes (Ridler and Calvard 1978), over all levels between the ends."""
+    ends = histogram.filter("n > 0").agg(F.min("level").alias("a"), F.max("level").alias("b")).filter("a < b")
+    every = ends.select(F.explode(F.sequence("a", "b")).alias("level")).join(histogram, "level", "left").fillna(0, ["n"])
+    w, t = Window.orderBy("level"), Window.partitionBy(F.lit(1))
+    h = every.select("level", F.sum("n").over(w).alias("k"), F.sum(F.col("n") * F.col("level")).over(w).alias("s"), F.sum("n").over(t).alias("kk"), F.sum(F.col("n") * F.col("level")).over(t).alias("ss"))
+    gap = (F.col("s") / F.col("k") + F.try_divide(F.col("ss") - F.col("s"), F.col("kk") - F.col("k"))) / 2 - F.col("level")
+    return h.filter((gap >= 0) & (gap < 1)).agg(F.min("level").alias("threshold"))
+
+
+def _small(histogram: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Levels from the least to the greatest and their counts; a histogram of 8 or 16 bits is small."""
+    rows = histogram.filter("n > 0").orderBy("level").limit(1 << 16).toPandas()
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0)
+    levels = np.arange(int(rows["level"].min()), int(rows["level"].max()) + 1)
+    counts = np.zeros(len(levels))
+    counts[rows["level"].to_numpy(np.int64) - levels[0]] = rows["n"].to_numpy(float)
+    return levels, counts
+
+
+def cross_entropy(histogram: DataFrame) -> float | None:
+    """The fixed point of minimum cross-entropy (Li and Tam 1998), from the mean on; None without pixels."""
+    levels, counts = _small(histogram)
+    if not len(levels):
+        return None
+    x = levels - levels[0]
+    now, then = float((x * counts).sum() / counts.sum()), None
+    while then is None or abs(now - then) > 0.5:
+        then = now
+        up = x > then
+        if not counts[up].sum() or not counts[~up].sum():
+            break
+        front, back = (x[up] * counts[up]).sum() / counts[up].sum(), (x[~up] * counts[~up]).sum() / counts[~up].sum()
+        if back == 0:
+            break
+        now = float((back - front) / (np.log(back) - np.log(front)))
+    return now + float(levels[0])
+
+
+def triangle(histogram: DataFrame) -> int | None:
+    """The level farthest below the line from the peak to the end of the longer tail (Zack, Rogers and Latt 1977); None without pixels."""
+    levels, counts = _small(histogram)
+    if not len(levels):
+        return None
+    peak = int(counts.argmax())
+    turned = peak < len(counts) - 1 - peak
+    if turned:
+        counts, peak = counts[::-1], len(counts) - 1 - peak
+    if not peak:
+        return int(levels[0])
+    # the tail now rises from place 0 to the peak
+    x = np.arange(peak)
+    norm = np.hypot(counts[peak], peak)
+    away = counts[peak] / norm * x - peak / norm * counts[:peak]
+    at = int(away.argmax())
+    return int(levels[len(counts) - 1 - at if turned else at])
+
+
 def stretch(values: DataFrame, column: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """A column stretched between two percentiles to 0..255; a flat one becomes 0."""
     q = values.agg(F.percentile(column, F.lit(low)).alias("lo"), F.percentile(column, F.lit(high)).alias("hi"))
@@ -70,7 +141,7 @@ def tiles(width: int, height: int, size: int, overlap: int, spark) -> DataFrame:
 def owned_by_core(centroids: DataFrame, tile: DataFrame) -> DataFrame:
     """Labels whose centroid lies in a tile's half-open core."""
     inside = (F.col("cy") >= F.col("core_y0")) & (F.col("cy") < F.col("core_y1")) & (F.col("cx") >= F.col("core_x0")) & (F.col("cx") < F.col("core_x1"))
-    return centroids.join(F.broadcast(tile), inside).select("label", "core_y0", "core_x0")
+    return centroids.join(tile, inside).select("label", "core_y0", "core_x0")
 
 
 def exclude_labels(labels: DataFrame, boxes: list[tuple[int, int, int, int]]) -> DataFrame:
@@ -78,7 +149,7 @@ def exclude_labels(labels: DataFrame, boxes: list[tuple[int, int, int, int]]) ->
     touched = F.lit(False)
     for x0, y0, x1, y1 in boxes:
         touched = touched | ((F.col("col") >= x0) & (F.col("col") < x1) & (F.col("row") >= y0) & (F.col("row") < y1))
-    kept = labels.filter("label <> 0").groupBy("label").agg(F.max(touched).alias("t")).filter(~F.col("t")).select("label", F.row_number().over(Window.orderBy("label")).alias("new_label"))
+    kept = numbered(labels.filter("label <> 0").groupBy("label").agg(F.max(touched).alias("t")).filter(~F.col("t")).select("label"), "new_label", "label")
     return labels.join(kept, "label").select("row", "col", F.col("new_label").alias("label"))
 
 
@@ -104,28 +175,15 @@ def remap(labels: DataFrame, ids: DataFrame) -> DataFrame:
     return labels.join(ids, "label", "left").select("row", "col", F.coalesce("new_label", F.lit(0)).alias("label"))
 
 
-def components(mask: DataFrame, rounds: int = 64) -> DataFrame:
+def components(mask: DataFrame) -> DataFrame:
     """Connected components (four neighbours) of a mask: (row, col, component), numbered by their least run.
 
-    Works on runs: least labels pass between touching runs of adjacent rows with
-    pointer jumping, so long shapes need few rounds.
+    Works on runs: those of adjacent rows that touch are the edges of a graph.
     """
-    context = mask.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():  # a local session without a shared folder
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
-    base = runs(mask).withColumn("id", F.xxhash64("row", "col_start"))
+    base = cut(runs(mask).withColumn("id", F.xxhash64("row", "col_start")))
     a, b = base.alias("a"), base.alias("b")
-    touch = a.join(b, (F.col("a.row") + 1 == F.col("b.row")) & (F.col("a.col_start") <= F.col("b.col_end")) & (F.col("b.col_start") <= F.col("a.col_end"))).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-    links = touch.unionByName(touch.select(F.col("v").alias("u"), F.col("u").alias("v"))).persist()
-    comp = base.select("id", F.col("id").alias("c"))
-    for _ in range(rounds):
-        seen = links.join(comp.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("c").alias("m"))
-        nxt = comp.join(seen, "id", "left").select("id", "c", F.least("c", F.coalesce("m", F.col("c"))).alias("n"))
-        jump = nxt.select(F.col("id").alias("n"), F.col("n").alias("up"))
-        nxt = nxt.join(jump, "n", "left").select("id", "c", F.least("n", F.coalesce("up", F.col("n"))).alias("n")).checkpoint()
-        comp = nxt.select("id", F.col("n").alias("c"))
-        if nxt.filter("c <> n").isEmpty():
-            break
+    touch = a.join(b, (F.col("a.row") + 1 == F.col("b.row")) & (F.col("a.col_start") <= F.col("b.col_end")) & (F.col("b.col_start") <= F.col("a.col_end"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    comp = base.select("id").join(connected(touch), "id", "left").select("id", F.coalesce("component", "id").alias("c"))
     return base.join(comp, "id").select("row", F.explode(F.sequence("col_start", "col_end")).alias("col"), F.col("c").alias("component"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -76,3 +76,36 @@ def exonic_split(summary: DataFrame) -> DataFrame:
 
     parts = summary.agg(F.sum("n").alias("total"), n("Assigned").alias("exonic"), n("Unassigned_NoFeatures").alias("intergenic"), n("Unassigned_Ambiguity").alias("ambiguous"))
     return parts.withColumn("intronic", F.col("total") - F.col("exonic") - F.col("intergenic") - F.col("ambiguous"))
+
+
+def retained_summary(cells: DataFrame) -> DataFrame:
+    """One row over retained cells, over all cells where none is: mean reads, median area, median barcodes per cell.
+
+    cells(retained, reads, area_px, assigned_barcodes); values that are no numbers do not count.
+    """
+    kept = F.coalesce(F.col("retained").try_cast("double"), F.lit(0.0)) > 0
+    any_kept = cells.agg(F.coalesce(F.bool_or(kept), F.lit(False)).alias("_any"))
+    rows = cells.crossJoin(F.broadcast(any_kept)).filter(kept | ~F.col("_any"))
+    value = {c: F.col(c).try_cast("double") for c in ("reads", "area_px", "assigned_barcodes")}
+    return rows.agg(F.avg(value["reads"]).alias("mean_reads_per_cell"), F.median(value["area_px"]).alias("median_cell_area_px2"), F.median(value["assigned_barcodes"]).alias("median_barcodes_per_cell"))
+
+
+def bin_tissue(pixels: DataFrame) -> DataFrame:
+    """Per bin of pixels(bin, in_tissue): whether any of it lies in tissue."""
+    return pixels.groupBy("bin").agg(F.coalesce(F.bool_or(F.col("in_tissue").cast("boolean")), F.lit(False)).alias("in_tissue"))
+
+
+def bin_report(located: DataFrame, label: Column, exonic_reads: int) -> DataFrame:
+    """One row over labelled bins: bins, reads, matched and unmatched rows, means and medians, and the share of exonic reads in bins.
+
+    located(gene, umi, cnt, x, ...): rows without a position have no bin and
+    count as unmatched.  Reads of a molecule that falls into one bin several times add up.
+    """
+    rows = located.withColumn("_bin", label)
+    lost = rows.agg(F.count_if(F.col("_bin").isNull()).alias("unmatched_rows"), F.coalesce(F.sum("cnt"), F.lit(0)).alias("all_reads"))
+    molecules = rows.filter("_bin is not null").groupBy("_bin", "barcode", "gene", "umi").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0")
+    per = molecules.groupBy("_bin").agg(F.sum("cnt").alias("readcount"), F.count("*").alias("umi"), F.count_distinct("gene").alias("genes"))
+    stats = per.agg(
+        F.count("*").alias("bins"), F.coalesce(F.sum("readcount"), F.lit(0)).alias("reads_in_bins"), F.median("umi").alias("median_umi"), F.median("genes").alias("median_genes"), F.round(F.avg("umi"), 6).alias("mean_umi"),
+    )
+    return stats.crossJoin(lost).withColumn("exonic_share", F.round(F.try_divide(F.col("reads_in_bins"), F.lit(exonic_reads).cast("double")), 6))

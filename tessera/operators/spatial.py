@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import grid_barcode
+from .order import numbered
 
 
 def with_positions(molecules: DataFrame, positions: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def retained_cells(counts: DataFrame, least_umi: int = 1, least_genes: int = 1,
     keep = (F.col("umi") >= least_umi) & (F.col("genes") >= least_genes)
     if most_umi:
         keep = keep & (F.col("umi") <= most_umi)
-    return counts.filter(keep).withColumn("new_cell_id", F.row_number().over(Window.orderBy("cell_id")))
+    return numbered(counts.filter(keep), "new_cell_id", "cell_id")
 
 
 def heatmap(located: DataFrame, pixels: int, q: float = 0.05) -> DataFrame:
@@ -159,12 +160,14 @@ def bin_label(x: Column, y: Column, microns: int = 10, pixel_size: float = 0.5)
 
 
 def greedy_spaced(cells: DataFrame, n: int, distance: float) -> list[tuple]:
-    """Ids of at most n cells by molecules, each over ``distance`` from all chosen before.
+    """Ids of at most n cells by molecules (ties by id), each over ``distance`` from all chosen before.
 
-    A report feature: only the best 1000 cells leave the cluster.
+    The sorted cells are read piece by piece until n are chosen.
     """
     chosen: list[tuple] = []
-    for r in cells.orderBy(F.desc("umi"), "cell_id").limit(1000).collect():
-        if len(chosen) < n and all(math.hypot(r["x"] - x, r["y"] - y) > distance for _, x, y in chosen):
+    for r in cells.orderBy(F.desc("umi"), "cell_id").toLocalIterator():
+        if len(chosen) == n:
+            break
+        if all(math.hypot(r["x"] - x, r["y"] - y) > distance for _, x, y in chosen):
             chosen.append((r["cell_id"], r["x"], r["y"]))
     return [c for c, _, _ in chosen]

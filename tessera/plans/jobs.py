@@ -81,6 +81,66 @@ def manifest_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     return a.join(b, "entry", "full").select("entry", kind.alias("change"))
 
 
+def preflight(jobs: DataFrame, exists: DataFrame, overwrite: bool = False) -> DataFrame:
+    """What would stop a run: (job, step, problem, path) of jobs(job, position, step, skipped, role, path), role input or output.
+
+    An input must exist, or be an output of an earlier or skipped step, or lie
+    below one; an output of a step that runs must not exist yet, unless it may be
+    overwritten.  exists(path) lists what is there.
+    """
+    there = exists.select("path").distinct().withColumn("found", F.lit(True))
+    rows = jobs.join(there, "path", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    made = rows.filter("role = 'output'").select("job", F.col("position").alias("at"), F.col("path").alias("made"), "skipped")
+    wanted = rows.filter("role = 'input' and not skipped and not found").drop("skipped")
+    # a path is covered by itself and by each folder above it
+    parts = F.split("path", "/")
+    above = wanted.withColumn("made", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))))
+    covered = above.join(made, ["job", "made"]).filter("at < position").select("job", "step", "path").distinct()
+    missing = wanted.join(covered, ["job", "step", "path"], "left_anti").select("job", "step", F.lit("missing input").alias("problem"), "path")
+    if overwrite:
+        return missing.distinct()
+    clash = rows.filter("role = 'output' and not skipped and found").select("job", "step", F.lit("existing output").alias("problem"), "path")
+    return missing.unionByName(clash).distinct()
+
+
+class ManifestStore:
+    """Input manifests in two phases: propose() records what a run tries, commit() makes it the one that later runs compare with."""
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, name: str):
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _read(self, name: str) -> DataFrame | None:
+        path, fs = self._path(name)
+        return self.spark.read.parquet(path.toString()) if fs.exists(path) else None
+
+    def propose(self, current: DataFrame) -> str:
+        """Write manifest(position, entry) as the tried one; returns its status against the committed one."""
+        current.select("position", "entry").write.mode("overwrite").parquet(f"{self.folder}/tried")
+        return manifest_status(self._read("committed"), self._read("tried"))
+
+    def commit(self) -> bool:
+        """After a successful run: the tried manifest replaces the committed one; False if nothing was tried.
+
+        The old one is moved aside first and comes back if the move fails.
+        """
+        (tried, fs), (kept, _), (aside, _) = (self._path(n) for n in ("tried", "committed", "replaced"))
+        if not fs.exists(tried):
+            return False
+        fs.delete(aside, True)
+        if fs.exists(kept):
+            fs.rename(kept, aside)
+        if not fs.rename(tried, kept):
+            fs.rename(aside, kept)
+            raise RuntimeError(f"could not commit {tried.toString()}")
+        fs.delete(aside, True)
+        return True
+
+
 def execute(steps: list[Step], context: dict, write: Callable[[str, DataFrame], None], done: Callable[[str], bool] = lambda name: False) -> list[tuple[str, str]]:
     """Run steps in order, writing each result; stops at the first that fails and names it."""
     out = []

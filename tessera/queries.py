@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import fixtures as X
 from .functions import numbers as N
 from .functions import seq as S
-from .operators import annotation, cells, demux, expression, molecules, raster, reports, saturation, spatial
+from .operators import annotation, cells, demux, expression, matrix, molecules, raster, reports, saturation, spatial
 from .plans import jobs
 from .sources import fastq, tables
 
@@ -22,7 +22,7 @@ EXPECTED_CELLS, FORCED_CELLS = 1000, 40
 BOX, SHAPE = (0, 0, 400, 300), (300, 400)
 
 _WITH = {
-    "cd": X.sql(X.MOLECULES), "pos": X.sql(X.POSITIONS), "reads": X.sql(X.READS), "ex": X.sql(X.EXPRESSION), "lab": X.sql(X.LABELS), "mask": X.sql(X.MASK), "ann": X.sql(X.ANNOTATION), "files": X.sql(X.FILES),
+    "cd": X.sql(X.MOLECULES), "pos": X.sql(X.POSITIONS), "reads": X.sql(X.READS), "ex": X.sql(X.EXPRESSION), "lab": X.sql(X.LABELS), "mask": X.sql(X.MASK), "ann": X.sql(X.ANNOTATION), "files": X.sql(X.FILES), "seen20": X.sql(X.LONG_SEEN), "entries20": X.sql(X.LONG_ENTRIES), "wide": X.sql(X.WIDE), "gtf": X.sql(X.GTF),
     "bs": "SELECT barcode, cast(sum(cnt) as bigint) AS readcount, cast(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) as bigint) AS umi2, count(*) AS umi, count(DISTINCT gene) AS genes FROM cd GROUP BY barcode",
     "auto": f"SELECT cast(greatest(1, floor(0.1 * (SELECT umi FROM bs ORDER BY umi DESC LIMIT 1 OFFSET (SELECT least(count(*), {EXPECTED_CELLS // 100}) - 1 FROM bs)))) as bigint) AS threshold",
     "loc": "SELECT cd.*, x, y FROM cd JOIN pos USING (barcode)",
@@ -174,7 +174,7 @@ def barcode_rank_curve(spark, d):
     """WITH r AS (SELECT umi, row_number() OVER (ORDER BY umi DESC, barcode) AS k, count(*) OVER () AS n, log10(umi + 1.0::double) AS y FROM bs),
 g AS (SELECT *, CASE WHEN lag(y) OVER w IS NULL THEN lead(y) OVER w - y WHEN lead(y) OVER w IS NULL THEN y - lag(y) OVER w ELSE (lead(y) OVER w - lag(y) OVER w) / 2 END AS g FROM r WINDOW w AS (ORDER BY k)),
 h AS (SELECT *, round(CASE WHEN lag(g) OVER w IS NULL THEN lead(g) OVER w - g WHEN lead(g) OVER w IS NULL THEN g - lag(g) OVER w ELSE (lead(g) OVER w - lag(g) OVER w) / 2 END, 9) AS h FROM g WINDOW w AS (ORDER BY k))
-SELECT cast(greatest((SELECT k FROM h WHERE k <= n // 2 ORDER BY h, k LIMIT 1) - 1, 10) as int) AS knee""",
+SELECT cast(CASE WHEN (SELECT count(*) FROM bs) <= 100 THEN floor((SELECT count(*) FROM bs) * 0.1::double) ELSE greatest((SELECT k FROM h WHERE k <= n // 2 ORDER BY h, k LIMIT 1) - 1, 10) END as int) AS knee""",
     "bs",
 )
 def knee_point(spark, d):
@@ -497,6 +497,16 @@ def threshold_otsu(spark, d):
     return raster.otsu(levels(spark, d))
 
 
+@query("threshold_yen", f"WITH h AS ({_LEVELS}), p AS (SELECT level, n::double / sum(n) OVER () AS p FROM h), c AS (SELECT level, sum(p) OVER (ORDER BY level) AS c, sum(p * p) OVER (ORDER BY level) AS s, sum(p * p) OVER () AS t FROM p) SELECT level AS threshold FROM c WHERE 1 - c > 1e-12 ORDER BY round(ln(pow(c * (1 - c), 2) / (s * (t - s))), 9) DESC, level LIMIT 1")
+def threshold_yen(spark, d):
+    return raster.yen(levels(spark, d))
+
+
+@query("threshold_isodata", f"WITH h AS ({_LEVELS}), e AS (SELECT cast(unnest(range((SELECT min(level) FROM h), (SELECT max(level) + 1 FROM h))) as int) AS level), a AS (SELECT level, coalesce(n, 0) AS n FROM e LEFT JOIN h USING (level)), c AS (SELECT level, (sum(n) OVER w)::double AS k, (sum(n * level) OVER w)::double AS s, (sum(n) OVER ())::double AS kk, (sum(n * level) OVER ())::double AS ss FROM a WINDOW w AS (ORDER BY level)), g AS (SELECT level, (s / k + (ss - s) / nullif(kk - k, 0)) / 2 - level AS gap FROM c) SELECT min(level) AS threshold FROM g WHERE gap >= 0 AND gap < 1")
+def threshold_isodata(spark, d):
+    return raster.isodata(levels(spark, d))
+
+
 @query("threshold_mean", f"WITH h AS ({_LEVELS}) SELECT sum(level * n)::double / sum(n) AS threshold FROM h")
 def threshold_mean(spark, d):
     return raster.mean_threshold(levels(spark, d))
@@ -698,7 +708,7 @@ def vectors(spark, d):
 
 @query("knn_exact", "WITH e AS (SELECT vec_id AS id, embedding::double[] AS v FROM embeddings), p AS (SELECT a.id, b.id AS other, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: pow(t[1] - t[2], 2)))) AS d FROM e a JOIN e b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(d, 6), other) AS k FROM p) SELECT id, other, cast(k as int) AS rank, round(d, 6) AS distance FROM r WHERE k <= 5")
 def knn_exact(spark, d):
-    return expression.nearest(vectors(spark, d), 5, 4)
+    return expression.nearest(vectors(spark, d), 5)
 
 
 @query("pca_scores")
@@ -713,7 +723,7 @@ def kmeans_clusters(spark, d):
 
 @query("graph_communities")
 def graph_communities(spark, d):
-    e = expression.nearest(vectors(spark, d), 5, 4).select("id", "other", (1 / (1 + F.col("distance"))).alias("weight"))
+    e = expression.nearest(vectors(spark, d), 5).select("id", "other", (1 / (1 + F.col("distance"))).alias("weight"))
     return expression.propagate_labels(e, 3)
 
 
@@ -813,3 +823,267 @@ def depth_windows(spark, d):
     from .streaming.ingest import windowed_counts
 
     return windowed_counts(spark.read.parquet(f"{d}/events.parquet"), "ts", "1 hour", "2 hours", ["event_type"]).select("event_type", "n")
+
+
+# Cases that reach the edges of the features above
+
+_KNEE_ALL = """r AS (SELECT s_acctbal AS v, s_suppkey AS barcode, cast(floor(abs(s_acctbal)) as bigint) + 1 AS umi FROM supplier UNION ALL SELECT c_acctbal, c_custkey + 1000000, cast(floor(abs(c_acctbal)) as bigint) + 1 FROM customer),
+y AS (SELECT umi, row_number() OVER (ORDER BY umi DESC, barcode) AS k, count(*) OVER () AS n, log10(umi + 1.0::double) AS y FROM r)"""
+
+
+def balances(spark, d):
+    """More than a hundred counts: those of suppliers and customers."""
+    s = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("barcode"), "s_acctbal")
+    c = spark.read.parquet(f"{d}/customer.parquet").select((F.col("c_custkey") + 1000000).alias("barcode"), "c_acctbal")
+    return s.union(c).select("barcode", (F.floor(F.abs("s_acctbal")) + 1).cast("long").alias("umi"))
+
+
+@query(
+    "knee_point_large",
+    f"""WITH {_KNEE_ALL},
+g AS (SELECT *, CASE WHEN lag(y) OVER w IS NULL THEN lead(y) OVER w - y WHEN lead(y) OVER w IS NULL THEN y - lag(y) OVER w ELSE (lead(y) OVER w - lag(y) OVER w) / 2 END AS g FROM y WINDOW w AS (ORDER BY k)),
+h AS (SELECT *, round(CASE WHEN lag(g) OVER w IS NULL THEN lead(g) OVER w - g WHEN lead(g) OVER w IS NULL THEN g - lag(g) OVER w ELSE (lead(g) OVER w - lag(g) OVER w) / 2 END, 9) AS h FROM g WINDOW w AS (ORDER BY k))
+SELECT cast(greatest((SELECT k FROM h WHERE k <= n // 2 ORDER BY h, k LIMIT 1) - 1, 10) as int) AS knee""",
+)
+def knee_point_large(spark, d):
+    return cells.knee(balances(spark, d))
+
+
+@query(
+    "curve_segments",
+    f"""WITH RECURSIVE {_KNEE_ALL}, a AS (SELECT k - 1 AS i, n, CASE WHEN k - 1 = 1 THEN 0 ELSE sqrt(pow((ln((k - 1)::double) - ln((k - 2)::double)) / ln(n::double), 2) + pow((ln(umi::double) - lag(ln(umi::double)) OVER (ORDER BY k)) / ln((max(umi) OVER ())::double), 2)) END AS arc FROM y WHERE k >= 1),
+s AS (SELECT i, n, sum(CASE WHEN i >= 1 THEN arc ELSE 0 END) OVER (ORDER BY i) AS s FROM a WHERE i >= 1),
+c AS (SELECT 1::bigint AS cut, 0::double AS base, 1::bigint AS nexti UNION ALL SELECT x.i + 1, x.s, x.i + 1 FROM c, LATERAL (SELECT min(s.i) AS i, min(s.s) AS s FROM s WHERE s.i >= c.nexti AND s.i > c.cut + 20 AND s.s - c.base >= 0.02) x WHERE x.i IS NOT NULL),
+e AS (SELECT cut FROM c UNION SELECT max(n) FROM s)
+SELECT cut AS first, lead(cut) OVER (ORDER BY cut) AS last FROM e QUALIFY last IS NOT NULL""",
+)
+def curve_segments(spark, d):
+    return cells.curve_segments(balances(spark, d), 1)
+
+
+@query(
+    "cell_calling_dispatch",
+    f"WITH h AS (SELECT umi, count(*) AS n FROM bs GROUP BY 1), c AS (SELECT umi, sum(n) OVER (ORDER BY umi DESC) AS upto FROM h), t AS (SELECT umi AS threshold FROM c ORDER BY abs(upto - {FORCED_CELLS}), umi DESC LIMIT 1) SELECT 'forced' AS method, barcode, CASE WHEN umi >= threshold THEN 'CB' ELSE 'UB' END AS mark FROM bs, t UNION ALL SELECT 'auto', barcode, CASE WHEN umi >= threshold THEN 'CB' ELSE 'UB' END FROM bs, auto",
+    "auto",
+)
+def cell_calling_dispatch(spark, d):
+    forced, auto = cells.call_cells(mol(spark, d), forced=FORCED_CELLS), cells.call_cells(mol(spark, d), "auto", expected=EXPECTED_CELLS)
+    return forced.select(F.lit("forced").alias("method"), "barcode", "mark").unionByName(auto.select(F.lit("auto").alias("method"), "barcode", "mark"))
+
+
+@query(
+    "whitelist_correct_20",
+    """WITH o AS (SELECT DISTINCT barcode FROM seen20), e AS (SELECT DISTINCT barcode AS entry FROM entries20),
+n AS (SELECT barcode, entry FROM o JOIN e ON instr(barcode, 'N') = 0 AND hamming(barcode, entry) <= 2
+UNION SELECT barcode, entry FROM (SELECT barcode, replace(substr(barcode, 1, instr(barcode, 'N') - 1) || b || substr(barcode, instr(barcode, 'N') + 1), 'N', 'T') AS t FROM o, unnest(['A', 'C', 'G', 'T']) AS u(b) WHERE instr(barcode, 'N') > 0) JOIN e ON t = entry),
+k AS (SELECT barcode, count(*) AS n, min(entry) AS e, bool_or(entry = barcode) AS exact FROM n GROUP BY 1)
+SELECT barcode, CASE WHEN exact THEN barcode WHEN n = 1 THEN e END AS corrected FROM o LEFT JOIN k USING (barcode)""",
+    "seen20", "entries20",
+)
+def whitelist_correct_20(spark, d):
+    return demux.correct_barcodes(X.frame(spark, d, X.LONG_SEEN), X.frame(spark, d, X.LONG_ENTRIES), 20, 2)
+
+
+#: A box that is not the raster: another origin, and scales of 400 / 430 and 300 / 320.
+SCALED_BOX = (5.0, -10.0, 430.0, 320.0)
+_GRID = {
+    "floor": "SELECT wide.*, cast(floor((y + 10) * (300 / 320e0)) as int) AS row, cast(floor((x - 5) * (400 / 430e0)) as int) AS col FROM wide",
+    "round": "SELECT wide.*, cast(round_even((y + 10) * (300 / 320e0), 0) as int) AS row, cast(round_even((x - 5) * (400 / 430e0), 0) as int) AS col FROM wide",
+}
+
+
+def wide(spark, d):
+    return X.frame(spark, d, X.WIDE)
+
+
+for _how in ("floor", "round"):
+
+    @query(f"label_assignment_scaled_{_how}", f"WITH g AS ({_GRID[_how]}) SELECT barcode, x, y, g.row, g.col, g.row BETWEEN 0 AND 299 AND g.col BETWEEN 0 AND 399 AS in_bounds, coalesce(label, 0) AS cell_id FROM g LEFT JOIN lab ON g.row = lab.row AND g.col = lab.col AND label <> 0", "wide", "lab")
+    def label_assignment_scaled(spark, d, how=_how):
+        return spatial.assign_labels(wide(spark, d), X.frame(spark, d, X.LABELS), SCALED_BOX, SHAPE, how)
+
+
+@query("mask_filter_scaled_keep", f"WITH g AS ({_GRID['floor']}) SELECT barcode, x, y FROM g SEMI JOIN mask ON g.row = mask.row AND g.col = mask.col", "wide", "mask")
+def mask_filter_scaled_keep(spark, d):
+    return spatial.keep_in_mask(wide(spark, d), X.frame(spark, d, X.MASK), SCALED_BOX, SHAPE)
+
+
+@query("mask_filter_scaled_invert", f"WITH g AS ({_GRID['floor']}) SELECT barcode, x, y FROM g ANTI JOIN mask ON g.row = mask.row AND g.col = mask.col WHERE g.row BETWEEN 0 AND 299 AND g.col BETWEEN 0 AND 399", "wide", "mask")
+def mask_filter_scaled_invert(spark, d):
+    return spatial.keep_in_mask(wide(spark, d), X.frame(spark, d, X.MASK), SCALED_BOX, SHAPE, invert=True)
+
+
+@query("mask_filter_half_pixels", "WITH m AS (SELECT DISTINCT row + a AS row, col + b AS col FROM mask, range(-1, 2) AS t(a), range(-1, 2) AS u(b)) SELECT wide.* FROM wide ANTI JOIN m ON cast(round_even(y, 0) as int) = m.row AND cast(round_even(x, 0) as int) = m.col", "wide", "mask")
+def mask_filter_half_pixels(spark, d):
+    return spatial.remove_in_mask(wide(spark, d), X.frame(spark, d, X.MASK), 1)
+
+
+@query("cell_geometry_scaled", "SELECT label, count(*) AS area_px, round(avg(row), 6) AS centroid_row_px, round(avg(col), 6) AS centroid_col_px, round((avg(row) + 0.5e0) * (320e0 / 300) - 10, 6) AS pxl_row_in_fullres, round((avg(col) + 0.5e0) * (430e0 / 400) + 5, 6) AS pxl_col_in_fullres FROM lab WHERE label <> 0 GROUP BY 1", "lab")
+def cell_geometry_scaled(spark, d):
+    return spatial.label_geometry(X.frame(spark, d, X.LABELS), SCALED_BOX, SHAPE)
+
+
+def _bin_word(m: int, p: int) -> str:
+    rows, cols = -(-300 // p), -(-400 // p)
+    return X.dna(f"((y // {p}) * {cols} + x // {p})", ((rows * cols - 1).bit_length() + 1) // 2)
+
+
+@query("bin_barcodes", f"SELECT DISTINCT cast(m as int) AS bin_um, cast(y // p as int) AS bin_row, cast(x // p as int) AS bin_col, CASE m {' '.join(f'WHEN {m} THEN {_bin_word(m, p)}' for m, p in ((10, 20), (20, 40), (50, 100), (100, 200)))} END AS bin FROM pos, (VALUES (10, 20), (20, 40), (50, 100), (100, 200)) AS s(m, p)", "pos")
+def bin_barcodes(spark, d):
+    return spatial.square_bins(X.frame(spark, d, X.POSITIONS), 400, 300).select("bin_um", "bin_row", "bin_col", "bin").distinct()
+
+
+# Matrices
+
+
+def matrix_of(spark, d, first: int = 0, last: int = 50):
+    """The count matrix of some genes, barcodes numbered by name."""
+    m = mol(spark, d)
+    barcodes = m.select("barcode").distinct()
+    names = matrix.numbered(barcodes, "barcode_idx", "barcode").select("barcode_idx", "barcode")
+    gene = F.concat(F.lit("G"), F.lpad(F.col("id").cast("string"), 3, "0"))
+    features = spark.range(first, last).select((F.col("id") - first + 1).cast("int").alias("feature_idx"), gene.alias("gene"), gene.alias("name"))
+    values = m.join(features, "gene").join(names, "barcode").groupBy("feature_idx", "barcode_idx").agg(F.count("*").alias("value"))
+    return matrix.Matrix(features, names, values)
+
+
+@query("matrix_concat", "WITH b AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS i FROM (SELECT DISTINCT barcode FROM cd)) SELECT cast(substr(gene, 2) as int) + 1 AS feature_idx, cast(i as int) AS barcode_idx, count(*) AS value FROM cd JOIN b USING (barcode) GROUP BY 1, 2", "cd")
+def matrix_concat(spark, d):
+    return matrix.concat_features(matrix_of(spark, d, 0, 20), matrix_of(spark, d, 20, 50)).values
+
+
+@query("matrix_slice", "WITH b AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS i FROM (SELECT DISTINCT barcode FROM cd)), w AS (SELECT i, row_number() OVER (ORDER BY i DESC) AS j FROM b WHERE i % 3 = 1) SELECT cast(substr(gene, 2) as int) + 1 AS feature_idx, cast(j as int) AS barcode_idx, count(*) AS value FROM cd JOIN b USING (barcode) JOIN w USING (i) GROUP BY 1, 2", "cd")
+def matrix_slice(spark, d):
+    m = matrix_of(spark, d)
+    wanted = m.barcodes.filter("barcode_idx % 3 = 1").select((-F.col("barcode_idx")).alias("position"), "barcode_idx")
+    return matrix.slice_barcodes(m, wanted).values
+
+
+@query("matrix_common_barcodes", "WITH a AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS i FROM (SELECT DISTINCT barcode FROM cd)), b AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS j FROM pos WHERE x > 100) SELECT barcode, cast(i as int) AS a_idx, cast(j as int) AS b_idx FROM a JOIN b USING (barcode)", "cd", "pos")
+def matrix_common_barcodes(spark, d):
+    b = matrix.numbered(X.frame(spark, d, X.POSITIONS).filter("x > 100").select("barcode"), "barcode_idx", "barcode")
+    return matrix.common_barcodes(matrix_of(spark, d).barcodes, b)
+
+
+_STAY = "m AS (SELECT DISTINCT row + a AS row, col + b AS col FROM mask, range(-1, 2) AS t(a), range(-1, 2) AS u(b)), k AS (SELECT barcode FROM wide ANTI JOIN m ON cast(round_even(y, 0) as int) = m.row AND cast(round_even(x, 0) as int) = m.col)"
+
+
+@query("bin_folder_filter", f"WITH {_STAY}, b AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS i FROM (SELECT DISTINCT barcode FROM cd) WHERE barcode IN (SELECT barcode FROM k)) SELECT cast(substr(gene, 2) as int) + 1 AS feature_idx, cast(i as int) AS barcode_idx, count(*) AS value FROM cd JOIN b USING (barcode) GROUP BY 1, 2", "cd", "wide", "mask")
+def bin_folder_filter(spark, d):
+    return matrix.filter_by_mask(matrix_of(spark, d), wide(spark, d), X.frame(spark, d, X.MASK), 1)[0].values
+
+
+@query("bin_folder_summary", f"WITH {_STAY}, n AS (SELECT count(DISTINCT barcode) AS total_barcodes, count(DISTINCT barcode) FILTER (WHERE barcode IN (SELECT barcode FROM k)) AS kept_barcodes FROM cd) SELECT *, total_barcodes - kept_barcodes AS removed_barcodes, (total_barcodes - kept_barcodes)::double / total_barcodes AS removed_fraction FROM n", "cd", "wide", "mask")
+def bin_folder_summary(spark, d):
+    return matrix.filter_by_mask(matrix_of(spark, d), wide(spark, d), X.frame(spark, d, X.MASK), 1)[2]
+
+
+# Annotation files
+
+_GTF_ROWS = "r AS (SELECT line, string_split(value, chr(9)) AS p, regexp_extract(value, 'gene_id \"([^\"]*)\"', 1) AS gene, regexp_extract(value, 'gene_biotype \"([^\"]*)\"', 1) AS kind FROM gtf), g AS (SELECT line, p[1] AS seqid, p[2] AS source, p[3] AS feature, p[4]::bigint AS start_pos, p[5]::bigint AS end_pos, p[6] AS score, p[7] AS strand, p[8] AS frame, p[9] AS attrs, gene, kind FROM r)"
+
+
+def gtf_rows(spark, d):
+    return annotation.read_gtf(X.frame(spark, d, X.GTF))
+
+
+@query("gtf_rows", f"WITH {_GTF_ROWS} SELECT line, seqid, source, feature, start_pos, end_pos, score, strand, frame, attrs FROM g", "gtf")
+def read_gtf_rows(spark, d):
+    return gtf_rows(spark, d)
+
+
+@query(
+    "gtf_built",
+    f"""WITH {_GTF_ROWS}, q AS (SELECT gene, min(line) AS gene_line FROM g WHERE feature = 'gene' GROUP BY 1), l AS (SELECT g.*, gene_line FROM g LEFT JOIN q USING (gene) WHERE feature = 'exon' AND (gene_line IS NULL OR gene_line > line)),
+f AS (SELECT gene, min(line) AS line, arg_min(strand, line) AS strand, arg_min(seqid, line) AS seqid, arg_min(attrs, line) AS attrs FROM l GROUP BY 1),
+d AS (SELECT l.line FROM l JOIN f USING (gene) WHERE l.strand <> f.strand),
+a AS (SELECT f.seqid, 'added' AS source, 'gene' AS feature, min(l.start_pos) AS start_pos, max(l.end_pos) AS end_pos, f.strand, f.attrs FROM l JOIN f USING (gene) WHERE gene_line IS NULL AND l.strand = f.strand GROUP BY gene, f.seqid, f.strand, f.attrs)
+SELECT seqid, source, feature, start_pos, end_pos, strand, attrs FROM g WHERE kind = 'coding' AND line NOT IN (SELECT line FROM d) UNION ALL SELECT * FROM a""",
+    "gtf",
+)
+def gtf_built(spark, d):
+    return annotation.build_gtf(gtf_rows(spark, d), {"gene_biotype": ["coding"]}).select("seqid", "source", "feature", "start_pos", "end_pos", "strand", "attrs")
+
+
+# Reports, jobs
+
+
+@query("retained_summary", "SELECT avg(o_totalprice) FILTER (WHERE o_orderkey % 3 > 0) AS mean_reads_per_cell, median(o_custkey::double) FILTER (WHERE o_orderkey % 3 > 0) AS median_cell_area_px2, median((o_orderkey % 17)::double) FILTER (WHERE o_orderkey % 3 > 0) AS median_barcodes_per_cell FROM (SELECT o_orderkey, o_custkey, floor(o_totalprice) AS o_totalprice FROM orders)")
+def retained_summary(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    text = [F.col("o_orderkey") % 3, F.floor("o_totalprice"), F.col("o_custkey"), F.col("o_orderkey") % 17]
+    return reports.retained_summary(o.select(*[c.cast("string").alias(n) for c, n in zip(text, ("retained", "reads", "area_px", "assigned_barcodes"), strict=True)]))
+
+
+@query("bin_tissue", "SELECT 'b' || (x // 20)::varchar || '_' || (y // 20)::varchar AS bin, bool_or(mask.row IS NOT NULL) AS in_tissue FROM pos LEFT JOIN mask ON y = mask.row AND x = mask.col GROUP BY 1", "pos", "mask")
+def bin_tissue(spark, d):
+    at = X.frame(spark, d, X.POSITIONS).join(X.frame(spark, d, X.MASK).select(F.col("row").alias("y"), F.col("col").alias("x"), F.lit(1).alias("in_tissue")), ["y", "x"], "left")
+    return reports.bin_tissue(at.select(F.concat(F.lit("b"), F.floor(F.col("x") / 20).cast("string"), F.lit("_"), F.floor(F.col("y") / 20).cast("string")).alias("bin"), "in_tissue"))
+
+
+@query(
+    "bin_report",
+    "WITH p AS (SELECT * FROM pos WHERE x % 4 <> 0), l AS (SELECT cd.*, x // 20 AS bcol, y // 20 AS brow FROM cd LEFT JOIN p USING (barcode)), b AS (SELECT bcol, brow, sum(cnt) AS readcount, count(*) AS umi, count(DISTINCT gene) AS genes FROM l WHERE bcol IS NOT NULL GROUP BY 1, 2), n AS (SELECT count(*) FILTER (WHERE bcol IS NULL) AS unmatched_rows, cast(sum(cnt) as bigint) AS all_reads FROM l) SELECT count(*) AS bins, cast(sum(readcount) as bigint) AS reads_in_bins, median(umi) AS median_umi, median(genes) AS median_genes, round(avg(umi), 6) AS mean_umi, any_value(unmatched_rows) AS unmatched_rows, any_value(all_reads) AS all_reads, round(sum(readcount)::double / 1000000, 6) AS exonic_share FROM b, n",
+    "cd", "pos",
+)
+def bin_report(spark, d):
+    p = X.frame(spark, d, X.POSITIONS).filter("x % 4 <> 0")
+    return reports.bin_report(mol(spark, d).join(p, "barcode", "left"), F.when(F.col("x").isNotNull(), spatial.bin_label(F.col("x"), F.col("y"))), 1_000_000)
+
+
+@query(
+    "run_preflight",
+    """WITH j AS (SELECT cast(n_regionkey as bigint) AS job, n_nationkey AS ord, 'd/' || n_regionkey::varchar || '/' || n_nationkey::varchar AS out, CASE WHEN n_nationkey % 3 = 0 THEN 'raw/' || n_nationkey::varchar ELSE 'd/' || n_regionkey::varchar || '/' || (n_nationkey - n_nationkey % 4)::varchar || '/part' END AS inp FROM nation),
+there AS (SELECT 'raw/' || n_nationkey::varchar AS path FROM nation WHERE n_nationkey % 2 = 0 UNION SELECT out FROM j WHERE ord % 5 = 1)
+SELECT job, 's' || ord::varchar AS step, 'missing input' AS problem, inp AS path FROM j WHERE ord % 7 <> 0 AND inp NOT IN (SELECT path FROM there) AND NOT EXISTS (SELECT 1 FROM j k WHERE k.job = j.job AND k.ord < j.ord AND starts_with(j.inp || '/', k.out || '/'))
+UNION ALL SELECT job, 's' || ord::varchar, 'existing output', out FROM j WHERE ord % 7 <> 0 AND out IN (SELECT path FROM there)""",
+)
+def run_preflight(spark, d):
+    n, r = F.col("n_nationkey"), F.col("n_regionkey").cast("string")
+    base = spark.read.parquet(f"{d}/nation.parquet").select(
+        F.col("n_regionkey").cast("long").alias("job"), n.alias("position"), F.concat(F.lit("s"), n.cast("string")).alias("step"), (n % 7 == 0).alias("skipped"), F.concat(F.lit("d/"), r, F.lit("/"), n.cast("string")).alias("out"),
+        F.when(n % 3 == 0, F.concat(F.lit("raw/"), n.cast("string"))).otherwise(F.concat(F.lit("d/"), r, F.lit("/"), (n - n % 4).cast("string"), F.lit("/part"))).alias("inp"),
+    )
+    rows = base.select("job", "position", "step", "skipped", F.lit("output").alias("role"), F.col("out").alias("path")).unionByName(base.select("job", "position", "step", "skipped", F.lit("input").alias("role"), F.col("inp").alias("path")))
+    there = base.filter("position % 2 = 0").select(F.concat(F.lit("raw/"), F.col("position").cast("string")).alias("path")).unionByName(base.filter("position % 5 = 1").select(F.col("out").alias("path")))
+    return jobs.preflight(rows, there)
+
+
+# Sequences
+
+
+@query("neighbour_counts", "SELECT s_suppkey, cast(3 * w + 9 * w * (w - 1) / 2 as bigint) AS within_two FROM (SELECT s_suppkey, s_suppkey % 20 + 1 AS w FROM supplier)")
+def neighbour_counts(spark, d):
+    made = spark.createDataFrame([(w, S.neighbours(w, 2)) for w in range(1, 21)], "w long, within_two long")
+    return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", (F.col("s_suppkey") % 20 + 1).alias("w")).join(made, "w").select("s_suppkey", "within_two")
+
+
+@query("poly_t_reads", "SELECT l_orderkey, l_linenumber, length(regexp_replace(t, '[^T]', '', 'g')) >= 10 AS poly_t FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, repeat('T', cast(l_partkey % 19 as int)) || repeat('A', cast(18 - l_partkey % 19 as int)) AS t FROM lineitem)")
+def poly_t_reads(spark, d):
+    n = (F.col("l_partkey") % 19).cast("int")
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    return rows.select("l_orderkey", "l_linenumber", S.poly_t(F.concat(F.repeat(F.lit("T"), n), F.repeat(F.lit("A"), F.lit(18) - n))).alias("poly_t"))
+
+
+@query("displaced_linkers", "SELECT s_suppkey, cast(s_suppkey % 4 as int) AS shift FROM supplier")
+def displaced_linkers(spark, d):
+    k = F.col("s_suppkey")
+    word = F.concat(F.lit("GATTACAGATTACAG"[:11]), F.repeat(F.lit("T"), (k % 4).cast("int")), F.overlay(F.lit(X.LINKER), F.when(k % 3 == 0, F.lit("A")).otherwise(F.lit("C")), F.lit(1), F.lit(1)), F.lit("ACGTACGT"))
+    return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", S.displaced_linker(word, X.LINKER, 11).alias("shift"))
+
+
+@query("gene_flags", "SELECT p_partkey, starts_with(upper(g), 'MT-') AS mt, regexp_matches(upper(g), '^RP[SL]') AS ribo, regexp_matches(upper(g), '^HB[^(P)]') AS hb FROM (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'mt-Nd' WHEN 1 THEN 'Rps' WHEN 2 THEN 'HBA' WHEN 3 THEN 'HBP' WHEN 4 THEN 'RPL' ELSE 'MTOR' END || p_partkey::varchar AS g FROM part)")
+def gene_flags(spark, d):
+    names = F.element_at(F.array(*[F.lit(x) for x in ("mt-Nd", "Rps", "HBA", "HBP", "RPL", "MTOR")]), (F.col("p_partkey") % 6 + 1).cast("int"))
+    mt, ribo, hb = expression.gene_flags(F.concat(names, F.col("p_partkey").cast("string")))
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", mt.alias("mt"), ribo.alias("ribo"), hb.alias("hb"))
+
+
+@query("graph_connectivities")
+def graph_connectivities(spark, d):
+    return expression.connectivities(knn_exact(spark, d))
+
+
+@query("modularity_communities")
+def modularity_communities(spark, d):
+    return expression.merge_communities(graph_connectivities(spark, d))

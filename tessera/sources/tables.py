@@ -8,7 +8,7 @@ import json
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -35,17 +35,34 @@ def read_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rest.join(features, "i").join(barcodes, "j").select("gene", "name", "barcode", F.col("value_").alias("value"))
 
 
+def _one_file(rows: DataFrame, path: str) -> None:
+    """rows(value), already in one sorted partition, as the gzip text file of exactly this path."""
+    spark, folder = rows.sparkSession, path + ".parts"
+    rows.write.mode("overwrite").option("compression", "gzip").text(folder)
+    context = spark.sparkContext
+    made = context._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = made.getFileSystem(context._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(made) if f.getPath().getName().startswith("part-"))
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs.delete(target, False)
+    fs.rename(part, target)
+    fs.delete(made, True)
+
+
 def write_matrix(triplets: DataFrame, features: DataFrame, barcodes: DataFrame, folder: str) -> None:
-    """The 10x text form, each file one gzip part in a folder of its name: triplets(feature_idx, barcode_idx, value), features(feature_idx, gene, name), barcodes(barcode_idx, barcode)."""
+    """matrix.mtx.gz, features.tsv.gz and barcodes.tsv.gz: triplets(feature_idx, barcode_idx, value), features(feature_idx, gene, name), barcodes(barcode_idx, barcode).
+
+    The format is one file each, so one task writes each of them from a sorted
+    stream; nothing is held in memory.
+    """
     n, f, b = triplets.count(), features.count(), barcodes.count()
     spark = triplets.sparkSession
     head = spark.createDataFrame([(0, 0, "%%MatrixMarket matrix coordinate integer general"), (0, 1, f"{f} {b} {n}")], "a long, b long, value string")
     body = triplets.select(F.col("barcode_idx").cast("long").alias("a"), F.col("feature_idx").cast("long").alias("b"), F.concat_ws(" ", "feature_idx", "barcode_idx", "value").alias("value"))
-    one = head.unionByName(body).repartition(1).sortWithinPartitions("a", "b").select("value")
-    one.write.option("compression", "gzip").text(f"{folder}/matrix.mtx")
+    _one_file(head.unionByName(body).repartition(1).sortWithinPartitions("a", "b").select("value"), f"{folder}/matrix.mtx.gz")
     kind = F.lit("Gene Expression")
-    features.repartition(1).sortWithinPartitions("feature_idx").select(F.concat_ws("\t", "gene", F.coalesce("name", "gene"), kind)).write.option("compression", "gzip").text(f"{folder}/features.tsv")
-    barcodes.repartition(1).sortWithinPartitions("barcode_idx").select("barcode").write.option("compression", "gzip").text(f"{folder}/barcodes.tsv")
+    _one_file(features.repartition(1).sortWithinPartitions("feature_idx").select(F.concat_ws("\t", "gene", F.coalesce("name", "gene"), kind).alias("value")), f"{folder}/features.tsv.gz")
+    _one_file(barcodes.repartition(1).sortWithinPartitions("barcode_idx").select(F.col("barcode").alias("value")), f"{folder}/barcodes.tsv.gz")
 
 
 def read_whitelist(lines: DataFrame) -> DataFrame:
@@ -61,11 +78,6 @@ def read_whitelist(lines: DataFrame) -> DataFrame:
     return first.select("barcode", F.col("p.x").cast("double").cast("int").alias("x"), F.col("p.y").cast("double").cast("int").alias("y"))
 
 
-def uniform_length(whitelist: DataFrame) -> DataFrame:
-    """One row: shortest and longest barcode; they must agree."""
-    return whitelist.agg(F.min(F.length("barcode")).alias("shortest"), F.max(F.length("barcode")).alias("longest"))
-
-
 def parse_box(text: str) -> tuple[float, float, float, float]:
     """Four numbers of a comma, tab or blank separated text."""
     values = [float(x) for x in re.split(r"[,\s]+", text.strip()) if x]
@@ -185,9 +197,3 @@ def tag_names(alignments: DataFrame, names: DataFrame) -> DataFrame:
     parts = alignments.select("*", p[0].alias("cb"), p[1].alias("ub"), F.posexplode_outer(F.split("genes", ",")).alias("i", "g"))
     named = parts.join(names, parts["g"] == names["gene"], "left").withColumn("n", F.coalesce("name", "g"))
     return named.groupBy("query_name", "genes", "cb", "ub").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda s: s["n"]), ",").alias("gn"))
-
-
-def metric(name: str, value: Column, total: Column | None = None) -> Column:
-    """A report metric: value, and its share of a total to two decimals."""
-    share = F.bround(F.try_divide(value, total) * 100, 2) if total is not None else F.lit(None).cast("double")
-    return F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), share.alias("fraction"))

@@ -1,7 +1,6 @@
 """Operators without a SQL twin, and odd inputs of the others."""
 
 import gzip
-import itertools
 import math
 import random
 
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numbers as N
 from tessera.functions import seq as S
-from tessera.operators import cells, demux, expression, molecules, raster, saturation, spatial
+from tessera.operators import annotation, cells, demux, expression, matrix, molecules, raster, saturation, spatial
+from tessera.operators.order import numbered
 from tessera.plans import jobs
 from tessera.sources import fastq, tables
 from tessera.streaming import ingest
@@ -149,7 +149,6 @@ def test_rank_sum_equals_dense(spark):
 def test_components_and_holes(spark):
     art = ["##..#", "#.#.#", "####.", ".....", "#.#.."]
     mask = spark.createDataFrame([(r, c) for r, line in enumerate(art) for c, x in enumerate(line) if x == "#"], "row int, col int")
-    spark.sparkContext.setCheckpointDir("/tmp/tessera-test-checkpoint")
     sizes = sorted(r["n"] for r in raster.components(mask).groupBy("component").agg(F.count("*").alias("n")).collect())
     assert sizes == [1, 1, 2, 8]
     filled = {tuple(r) for r in raster.fill_holes(mask, (5, 5)).collect()} - {tuple(r) for r in mask.collect()}
@@ -235,9 +234,189 @@ def test_empty_inputs(spark):
     assert cells.marked(s, cells.auto_threshold(s, 1000)).count() == 0 and cells.rank_curve(s).count() == 0
     curve = saturation.saturation_curve(m).collect()
     assert len(curve) == 11 and all(r["umi_saturation"] == 0 for r in curve)
-    assert cells.segments(pd.DataFrame({"rank": [], "umi": []})) == []
-    cuts = cells.segments(pd.DataFrame({"rank": range(1, 500), "umi": range(500, 1, -1)}))
-    assert cuts[0][0] == 0 and cuts[-1][1] == 499 and all(a[1] == b[0] for a, b in itertools.pairwise(cuts))
+    assert cells.segments(np.array([]), 3, 3) == []
+
+
+def cuts_by_hand(counts, start, end, step, span):
+    x, y = math.log(len(counts)), math.log(max(counts))
+    out, total = [start], 0.0
+    for i in range(start, end):
+        before = max(start, i - 1)
+        total += math.hypot((math.log(i) - math.log(before)) / x, (math.log(counts[i]) - math.log(counts[before])) / y)
+        if total >= step and i > out[-1] + span:
+            out.append(i + 1)
+            total = 0.0
+    return out if out[-1] == end else [*out, end]
+
+
+def test_segments_equal_a_plain_walk():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        counts = np.sort(rng.integers(1, 5000, int(rng.integers(30, 900))))[::-1]
+        start, end = int(rng.integers(1, 20)), int(rng.integers(20, len(counts) + 1))
+        for step, span in ((0.02, 20), (0.2, 3), (1e-9, 5)):
+            assert cells.segments(counts, start, end, step, span) == cuts_by_hand(counts, start, end, step, span)
+    with pytest.raises(ValueError):
+        cells.segments(np.array([3, 2, 1]), 0, 3)
+
+
+def test_knee_of_few_barcodes(spark):
+    for n in (1, 9, 100):
+        assert cells.knee(spark.createDataFrame([(f"b{k}", 1000 - k) for k in range(n)], "barcode string, umi long")).first()["knee"] == n // 10
+
+
+def test_merging_follows_long_chains(spark):
+    """With a ratio near one a chain has many hops, and all end at its top."""
+    word = ["AAAA"]
+    for at, base in [(a, b) for b in "CGT" for a in range(4)]:
+        word.append(word[-1][:at] + base + word[-1][at + 1 :])
+    rows = [("b", "g", w, int(100 * 1.2**k) + k) for k, w in enumerate(word)]
+    got = molecules.merge_umis(spark.createDataFrame(rows, "barcode string, gene string, umi string, cnt long"), 4, ratio=0.9).collect()
+    assert len(got) < len(rows) and sum(r["cnt"] for r in got) == sum(r[3] for r in rows)
+    with pytest.raises(ValueError):
+        molecules.merge_umis(spark.createDataFrame(rows, "barcode string, gene string, umi string, cnt long"), 4, ratio=1.0)
+
+
+def test_long_shapes_are_one_component(spark):
+    """A snake of 160 rows: more hops than any fixed number of plain rounds."""
+    cells_ = [(r, c) for r in range(0, 160, 2) for c in range(20)] + [(r, 0 if r % 4 == 3 else 19) for r in range(1, 159, 2)]
+    out = raster.components(spark.createDataFrame(cells_, "row int, col int"))
+    assert out.select("component").distinct().count() == 1 and out.count() == len(cells_)
+
+
+def test_numbers_are_dense_in_order(spark):
+    rows = [(k * 7919 % 1009, "x" * (k % 3)) for k in range(500)]
+    got = numbered(spark.createDataFrame(rows, "a int, b string").repartition(9), "n", "a").collect()
+    assert [r["a"] for r in sorted(got, key=lambda r: r["n"])] == sorted(a for a, _ in rows) and sorted(r["n"] for r in got) == list(range(1, 501))
+    assert numbered(spark.createDataFrame([], "a int"), "n", "a").count() == 0
+
+
+def small_matrix(spark, genes, values, names=("x", "y", "z")):
+    f = spark.createDataFrame([(k + 1, g, g) for k, g in enumerate(genes)], "feature_idx int, gene string, name string")
+    b = spark.createDataFrame([(k + 1, n) for k, n in enumerate(names)], "barcode_idx int, barcode string")
+    return matrix.Matrix(f, b, spark.createDataFrame(values, "feature_idx int, barcode_idx int, value long"))
+
+
+def test_matrix_algebra(spark):
+    a, b = small_matrix(spark, ["g1", "g2"], [(1, 1, 5), (2, 3, 7)]), small_matrix(spark, ["g3"], [(1, 2, 9)])
+    both = matrix.concat_features(a, b)
+    assert sorted(map(tuple, both.values.collect())) == [(1, 1, 5), (2, 3, 7), (3, 2, 9)] and both.features.count() == 3
+    for other in (small_matrix(spark, ["g2"], [(1, 1, 1)]), small_matrix(spark, ["g9"], [(1, 1, 1)], ("x", "z", "y")), small_matrix(spark, ["g9"], [(1, 1, 1)], ("x", "y"))):
+        with pytest.raises(ValueError):
+            matrix.concat_features(a, other)
+    cut = matrix.slice_barcodes(a, spark.createDataFrame([(0, 3), (1, 1), (2, 3)], "position int, barcode_idx int"))
+    assert sorted(map(tuple, cut.values.collect())) == [(1, 2, 5), (2, 1, 7), (2, 3, 7)] and [r["barcode"] for r in cut.barcodes.orderBy("barcode_idx").collect()] == ["z", "x", "z"]
+    with pytest.raises(IndexError):
+        matrix.slice_barcodes(a, spark.createDataFrame([(0, 4)], "position int, barcode_idx int"))
+    mask = spark.createDataFrame([(1, 1)], "row int, col int")
+    at = [("x", 1.0, 1.0), ("y", 2.5, 2.5), ("z", 9.0, 9.0), ("w", 0.0, 0.0)]
+    out, places, summary = matrix.filter_by_mask(a, spark.createDataFrame(at, "barcode string, x double, y double"), mask, 1)
+    assert sorted(map(tuple, out.values.collect())) == [(2, 1, 7)] and [r["barcode"] for r in places.collect()] == ["z"]
+    assert tuple(summary.first()) == (3, 1, 2, 2 / 3)
+    with pytest.raises(ValueError, match="1 barcodes"):
+        matrix.filter_by_mask(a, spark.createDataFrame(at[:2], "barcode string, x double, y double"), mask)
+
+
+def test_matrix_files_are_single_files(spark, tmp_path):
+    m = small_matrix(spark, ["g1", "g2"], [(1, 1, 5), (2, 3, 7), (1, 2, 3)])
+    tables.write_matrix(m.values, m.features, m.barcodes, str(tmp_path))
+    assert {p.name for p in tmp_path.iterdir() if p.is_file() and not p.name.startswith(".")} == {"matrix.mtx.gz", "features.tsv.gz", "barcodes.tsv.gz"}
+    with gzip.open(tmp_path / "matrix.mtx.gz", "rt") as f:
+        assert f.read().split("\n") == ["%%MatrixMarket matrix coordinate integer general", "2 3 3", "1 1 5", "1 2 3", "2 3 7", ""]
+    assert sorted(map(tuple, tables.read_matrix(spark, str(tmp_path)).collect())) == [("g1", "g1", "x", 5), ("g1", "g1", "y", 3), ("g2", "g2", "z", 7)]
+
+
+def test_inputs_by_layout(spark, tmp_path):
+    def put(*names, data=b"x"):
+        for n in names:
+            (tmp_path / n).write_bytes(data)
+
+    with pytest.raises(fastq.FastqError):
+        fastq.detect_inputs(spark, str(tmp_path), "s")
+    put("s_1.fq.gz", "s_2.fq.gz")
+    names = lambda found: (found[0], *([p.rsplit("/", 1)[1] for p in side] for side in found[1:]))
+    assert names(fastq.detect_inputs(spark, str(tmp_path), "s")) == ("simple", ["s_1.fq.gz"], ["s_2.fq.gz"])
+    put("s_fold2_1.fq.gz", "s_fold2_2.fq.gz", "s_fold3_1.fq.gz")
+    assert names(fastq.detect_inputs(spark, str(tmp_path), "s")) == ("fold", ["s_fold2_1.fq.gz"], ["s_fold2_2.fq.gz"])
+    put("s_S1_L002_R1_001.fastq.gz", "s_S1_L001_R1_001.fq.gz", "s_S1_L001_R2_001.fq.gz")
+    with pytest.raises(fastq.FastqError, match="2 first and 1 second"):
+        fastq.detect_inputs(spark, str(tmp_path), "s")
+    put("s_S1_L002_R2_001.fastq.gz", data=b"")
+    with pytest.raises(fastq.FastqError, match="empty"):
+        fastq.detect_inputs(spark, str(tmp_path), "s")
+    assert fastq.detect_inputs(spark, str(tmp_path), "s", validate=False)[0] == "multi_lane"
+    with pytest.raises(fastq.FastqError, match="no folder"):
+        fastq.detect_inputs(spark, str(tmp_path / "none"), "s")
+    one, two = fastq.order_mates(spark, f"{tmp_path}/s_S1_L*_R1_*.gz", f" {tmp_path}/s_S1_L002_R2_001.fastq.gz,{tmp_path}/s_S1_L001_R2_001.fq.gz")
+    assert [p[-20:-16] for p in one] and ["L001" in p for p in one] == [True, False] and ["L001" in p for p in two] == [True, False]
+    assert fastq.expand_paths(spark, f"{tmp_path}/none*") == [f"{tmp_path}/none*"]
+
+
+def test_sample_names_end_at_the_first_layout_part(spark):
+    r = fastq.parse_names(spark.createDataFrame([("a_S1_L001_b_S2_L002_R1_001.fastq.gz",)], "file string")).first()
+    assert r["sample"] in ("a", "a_S1_L001_b") and r["read"] == 1
+
+
+def test_fastq_pieces(spark, tmp_path):
+    text = "".join(f"@r{k} x\nACGT\n+\nIIII\n" for k in range(25))
+    (tmp_path / "a.fastq.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "b.fastq").write_text(text + "\n\n")
+    rows = fastq.read_fastq(spark, f"{tmp_path}/*", rows=4).collect()
+    assert len(rows) == 50 and sorted(r["read_no"] for r in rows if r["file"].endswith("gz")) == list(range(25))
+    for bad in ("@r\nACGT\n+\n", "@r\nACGT\n+\nIII\n", "r\nACGT\n+\nIIII\n"):
+        with pytest.raises(ValueError):
+            list(fastq.records(bad.encode()))
+    assert list(fastq.records(b"")) == []
+    fastq.write_fastq(spark.createDataFrame([("r1", "AC", "II")], "name string, seq string, qual string"), f"{tmp_path}/out")
+    assert [tuple(r)[2:] for r in fastq.read_fastq(spark, f"{tmp_path}/out/part-*").collect()] == [("r1", "AC", "II")]
+
+
+def test_gtf_lines_that_fail(spark):
+    good = "c\ts\texon\t1\t9\t.\t+\t.\tgene_id \"g\";"
+    def lines(*texts):
+        return spark.createDataFrame(list(enumerate(texts, 1)), "line int, value string")
+
+    assert annotation.read_gtf(lines("# head", "", good)).count() == 1
+    for bad, why in ((good + "\tx", "nine"), (good.replace("+", "?"), "strand"), (good.replace("gene_id", "id"), "gene_id")):
+        with pytest.raises(Exception, match=why):
+            annotation.read_gtf(lines(good, bad)).collect()
+    assert annotation.read_gff3(lines("# x", good)).first()["attrs"] == 'gene_id "g";'
+    with pytest.raises(Exception, match="nine"):
+        annotation.read_gff3(lines("a\tb")).collect()
+    row = annotation.read_gtf(lines(good))
+    assert row.select(annotation.gtf_text(row)).first()[0] == good
+
+
+def test_manifests_commit_in_two_phases(spark, tmp_path):
+    def files(*names):
+        return spark.createDataFrame(list(enumerate(names)), "position int, entry string")
+
+    store = jobs.ManifestStore(spark, str(tmp_path))
+    assert not store.commit() and store.propose(files("a", "b")) == "new" and store.propose(files("a", "c")) == "new"
+    assert store.commit() and not store.commit()
+    assert [store.propose(files(*n)) for n in (("a", "c"), ("c", "a"), ("a", "c", "d"), ("a", "x"))] == ["same", "reordered", "added", "changed"]
+    assert store.commit() and store.propose(files("a", "x")) == "same"
+
+
+def test_connectivities_and_communities(spark):
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.normal(c, 0.3, (25, 2)) for c in (0, 5, 10)])
+    near = expression.nearest(spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(points)], "id long, v array<double>"), 6, 20)
+    rows = near.collect()
+    for k in range(75):
+        want = sorted((round(float(np.linalg.norm(points[k] - points[j])), 6), j) for j in range(75) if j != k)[:6]
+        got = [(r["distance"], r["other"]) for r in sorted((r for r in rows if r["id"] == k), key=lambda r: r["rank"])]
+        assert [j for _, j in got] == [j for _, j in want] and [d for d, _ in got] == pytest.approx([d for d, _ in want], abs=2e-6)
+    graph = expression.connectivities(near)
+    weights = graph.collect()
+    assert all(0 < r["weight"] <= 1 and r["id"] < r["other"] for r in weights) and {x for r in weights for x in (r["id"], r["other"])} == set(range(75))
+    labels = expression.merge_communities(graph)
+    found = {r["id"]: r["label"] for r in labels.collect()}
+    assert len(found) == 75 and all(found[k] != found[j] for k in range(25) for j in range(25, 75))
+    alone = graph.select("id").union(graph.select("other")).distinct().withColumn("label", F.col("id"))
+    by_cluster = alone.withColumn("label", F.floor(F.col("id") / 25))
+    q = [expression.modularity(graph, x).first()[0] for x in (labels, alone, by_cluster)]
+    assert q[0] > q[1] and q[0] >= 0.85 * q[2]
 
 
 def test_empty_drops_is_registered_whole(monkeypatch):
@@ -264,3 +443,28 @@ def test_empty_drops_is_registered_whole(monkeypatch):
     monkeypatch.setattr(queries.F, "alias", lambda *a: None, raising=False)
     queries.QUERIES["emptydrops_calls"](None, "")
     assert taken["candidates"] == 20_000 and taken["sims"] == 10_000
+
+
+def test_thresholds_of_a_histogram(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "level int, n long")
+
+    two = [(10 + k, 50 - 8 * abs(k - 2)) for k in range(5)] + [(60 + k, 20 - 3 * abs(k - 2)) for k in range(5)]
+    for f in (raster.otsu, raster.yen, raster.isodata):
+        assert 10 <= f(table(two)).first()["threshold"] < 60
+    assert 14 < raster.cross_entropy(table(two)) < 60
+    tail = [(k, 1000 - 150 * k) for k in range(6)] + [(k, 10) for k in range(6, 100)]
+    assert 5 <= raster.triangle(table(tail)) <= 8
+    assert raster.triangle(table([(99 - k, n) for k, n in tail])) == 99 - raster.triangle(table(tail))
+    # cross-entropy is least at the fixed point, up to one level
+    x = np.repeat(*np.array(two).T)
+
+    def entropy(t):
+        low, high = x[x <= t] - 10, x[x > t] - 10
+        return -sum(v.sum() * math.log(v.mean()) for v in (low, high) if len(v) and v.mean() > 0)
+
+    t = raster.cross_entropy(table(two))
+    assert entropy(t) <= min(entropy(v) for v in range(11, 63)) + 1e-6
+    for f in (raster.cross_entropy, raster.triangle):
+        assert f(table([])) is None
+    assert raster.yen(table([])).first()["threshold"] is None and raster.isodata(table([(5, 9)])).first()["threshold"] is None
