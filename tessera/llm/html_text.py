@@ -115,6 +115,7 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
     stack: list[tuple[str, bool, bool]] = []
     # cued frames: whether they hold an article, by number; the open ones; those around each line
     framing: list[bool] = []
+    within: list[bool] = []  # whether they stand in an article themselves
     cued: list[int] = []
     around: list[tuple[int, ...]] = []
     dropped = depth = link = 0
@@ -163,6 +164,7 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
             if cue == 1 and not drop:
                 cued.append(len(framing))
                 framing.append(False)
+                within.append(depth > 0)
             stack.append((name, drop, cue == 1 and not drop))
             if name in MAIN and not dropped and not drop:
                 for c in cued:
@@ -172,13 +174,14 @@ def lines_of(page: str | None, whole: bool = False) -> list[tuple[str, bool, boo
     close()
     if not framing:
         return out
-    # a cued frame goes unless it holds an article or most of the text
+    # a cued frame goes unless it holds an article, or most of the text where no article is marked around or beside it
+    marked = any(m for _, m, _ in out)
     size = [0] * len(framing)
     for (t, _, _), frames in zip(out, around, strict=True):
         for c in frames:
             size[c] += len(t)
     whole = sum(len(t) for t, _, _ in out)
-    gone = {c for c, holds in enumerate(framing) if not holds and 2 * size[c] <= whole}
+    gone = {c for c, holds in enumerate(framing) if not holds and (2 * size[c] <= whole or marked and not within[c])}
     return [x for x, frames in zip(out, around, strict=True) if not gone.intersection(frames)]
 
 
@@ -262,9 +265,11 @@ def _mask(row, before, after) -> bytes:
 
     before, after: (pages from the nearest on, the page beyond a run of copies).
     Nearer is the longer common path, then the place in URL order, the earlier if
-    equal.  Only the article is judged where the page has one.  If all are alike
-    without one, it may be for a long template around a short text: then lines
-    count as shared that pages at two other paths or more agree on.
+    equal.  Whether pages are alike is judged by the article where one is marked;
+    there a line goes only if every such page compared agrees, at two other paths or
+    more, as articles may share a line by chance.  If all are alike without an article, it
+    may be for a long template around a short text: then lines count as shared
+    that pages at two other paths or more agree on.
     """
     main = np.frombuffer(row[3], np.uint64) & np.uint64(1) == 1
     found = []
@@ -274,12 +279,18 @@ def _mask(row, before, after) -> bytes:
             own.append(far)
         found += [(-_path_in_common(row, p), d, side, p) for d, p in enumerate(own)]
     agreed: dict[bytes, set] = {}
+    every, different = None, set()
     for *_, page in sorted(found, key=lambda x: x[:3]):
         shared = _shared(row[3], page[3])
         if (shared[main] if main.any() else shared).mean() <= COPY:
-            return shared.tobytes()
+            if not main.any():
+                return shared.tobytes()
+            every = shared if every is None else every & (shared | ~main)
+            different.add(page[2])
         if page[2] != row[2] and not shared.all() and not main.any():
             agreed.setdefault(shared.tobytes(), set()).add(page[2])
+    if every is not None:
+        return (every if len(different - {row[2]}) > 1 else every & ~main).tobytes()
     return min((m for m, paths in agreed.items() if len(paths) > 1), key=lambda m: (m.count(1), m), default=b"")
 
 

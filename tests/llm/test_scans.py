@@ -181,6 +181,20 @@ def test_differencing_decides_in_and_out_of_the_article(spark):
     assert all(got[10 + k] == f"same a same b same c same d same e edit {k}" for k in range(4))
 
 
+def test_lines_that_two_articles_share_by_chance_stay(spark):
+    def page(k, own):
+        return f"<body><p>Welcome<article><p>title {k}<p>{own}<p>more {k}</article><p>All rights reserved</body>"
+
+    lines = ["Les."] * 2 + [f"own {k}" for k in range(6)]
+    got = texts_by_id(spark, [(k, f"http://c.org/{k}", page(k, line)) for k, line in enumerate(lines)])
+    assert [got[k] for k in range(8)] == [f"title {k} {line} more {k}" for k, line in enumerate(lines)]
+
+
+def test_an_advert_longer_than_a_marked_article_goes(spark):
+    page = "<body><div class='ad'>a very long advert that says much more</div><article><p>short {}</article></body>"
+    assert texts_by_id(spark, [(k, f"http://{k % 2}.org/{k}", page.format(k)) for k in range(3)]) == {k: f"short {k}" for k in range(3)}
+
+
 @pytest.mark.parametrize("attributes", ['class="overflow-hidden"', 'data-hidden="0"', 'aria-hidden="false"', 'class="has-sidebar"', 'class="with-menu"', 'class="sidebar-layout"'])
 def test_wrappers_are_kept(attributes):
     for tag in ("article", "p"):
