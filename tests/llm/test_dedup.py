@@ -71,6 +71,27 @@ def test_near_without_ids_or_rows(make):
     assert near_components(make([])).count() == 0
 
 
+@pytest.mark.parametrize("many", [1, 10**9])
+def test_components_on_either_route(spark, tmp_path, monkeypatch, many):
+    import tessera.llm.common as C
+
+    monkeypatch.setattr(C, "MANY_EDGES", many)
+    rng = random.Random(9)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000, k) for k in range(2000, 2400)] + [(k, k + 1) for k in range(3000, 3040)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = C.connected_components(C.Stages(spark, "test"), spark.createDataFrame(edges, "a long, b long"))
+    assert {r["id"]: r["component"] for r in got.collect()} == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+
+
 def test_near_with_repeated_ids(make):
     a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
     near_a, near_b = a.replace("a39", "z"), b.replace("b39", "z")
