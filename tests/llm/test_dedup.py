@@ -158,9 +158,9 @@ def opposite_words(n):
     return a, a.translate({97: 98, 98: 97})
 
 
-@pytest.mark.parametrize("n", [64, 512, 1024])
-def test_words_that_differ_in_regular_ways_stay_apart(make, n):
-    a, b = opposite_words(n)
+def test_words_that_differ_in_regular_ways_stay_apart(make):
+    assert all(len(set(words_of(list(opposite_words(n))).hash.tolist())) == 2 for n in (2, 64, 512, 4096))
+    a, b = opposite_words(1024)
     rows = [(k, " ".join([*(f"q{i}" for i in range(20)), w, *(f"q{i}" for i in range(20, 39))])) for k, w in enumerate((a, b))]
     assert len(set(words_of([a, b]).hash.tolist())) == 2
     assert {r["n_removed"] for r in remove_repeats(make(rows)).collect()} == {0}
