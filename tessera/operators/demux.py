@@ -101,7 +101,7 @@ def combinations(fragments: DataFrame, n: int = 3) -> DataFrame:
     """All joins of n fragments: the whitelist that a segmented barcode spans."""
     out = fragments.select(F.col("value").alias("barcode"))
     for _ in range(n - 1):
-        out = out.crossJoin(F.broadcast(fragments)).select(F.concat("barcode", "value").alias("barcode"))
+        out = out.crossJoin(fragments).select(F.concat("barcode", "value").alias("barcode"))
     return out
 
 

@@ -21,7 +21,7 @@ def gene_flags(name: Column) -> tuple[Column, Column, Column]:
 
 def qc_metrics(values: DataFrame, flags: DataFrame) -> DataFrame:
     """Per cell: genes, counts, and percent of counts in flagged genes(gene, mt)."""
-    v = values.filter("value > 0").join(F.broadcast(flags), "gene", "left")
+    v = values.filter("value > 0").join(flags, "gene", "left")
     return v.groupBy("cell").agg(F.count("*").alias("genes"), F.sum("value").alias("counts"), F.round(F.sum(F.when(F.col("mt"), F.col("value")).otherwise(0)) / F.sum("value") * 100, 6).alias("pct_mt"))
 
 

@@ -242,10 +242,18 @@ def amplification_top_n(spark, d):
     return saturation.top_contribution(mol(spark, d))
 
 
-@query("thinning_replicates")
+@query(
+    "thinning_replicates",
+    """WITH r AS (SELECT barcode, gene, umi, k, unnest(range(1, cnt + 1)) AS i FROM cd, unnest([0, 1, 2]) AS t(k)), u AS (SELECT *, ('0x' || substr(md5(concat_ws('|', '0', k, barcode, gene, umi, i)), 1, 8))::bigint / 4294967296.0::double AS u FROM r),
+k AS (SELECT f, k, barcode, gene, umi, count(*) AS cnt FROM u, unnest([0.1, 0.25, 0.5, 0.75]) AS t(f) WHERE u < f::double GROUP BY ALL), b AS (SELECT f, k, barcode, sum(cnt) AS reads, count(*) AS umi, count(DISTINCT gene) AS genes FROM k GROUP BY 1, 2, 3),
+m AS (SELECT f, k, sum(reads)::double AS reads, sum(umi)::double AS umi, sum(genes)::double / (SELECT count(DISTINCT barcode) FROM cd) AS g FROM b GROUP BY 1, 2)
+SELECT f::double AS read_fraction, round(avg(reads), 6) AS reads_mean, round(stddev_samp(reads), 6) AS reads_sd, round(avg(umi), 6) AS umi_mean, round(stddev_samp(umi), 6) AS umi_sd, round(avg(g), 6) AS mean_genes_mean, round(stddev_samp(g), 6) AS mean_genes_sd FROM m GROUP BY 1""",
+    "cd",
+)
 def thinning_replicates(spark, d):
     m = mol(spark, d)
-    return saturation.aggregate_replicates(saturation.thinned_metrics(m, m.select("barcode").distinct(), [0.25, 0.5], 2))
+    out = saturation.aggregate_replicates(saturation.thinned_metrics(m, m.select("barcode").distinct(), [0.1, 0.25, 0.5, 0.75], 3))
+    return out.select("read_fraction", *[F.round(c, 6).alias(c) for c in out.columns if c != "read_fraction"])
 
 
 # Sequences and demultiplexing
