@@ -18,7 +18,9 @@ RADIUS = 39  # of 128 bits; texts at similarity 0.8 differ in 19 +- 4
 LOCAL = RADIUS // BLOCKS  # within RADIUS, some block differs in at most so many bits
 _SALTS = mix(np.arange(1, 3, dtype=U) * U(0x632BE59BD9B4E019))
 _NEAR = [[b for b in range(256) if bin(a ^ b).count("1") <= LOCAL] for a in range(256)]
+_IS_NEAR = np.array([[b in near for b in range(256)] for near in map(set, _NEAR)])
 _CELLS = 1 << 22  # windows times items looked at together
+FEW = 256  # items of one length up to which their block values are compared one by one
 _COUNT = np.array([bin(a).count("1") for a in range(256)], np.uint8)
 
 
@@ -89,9 +91,13 @@ class ItemIndex:
                         yield at + start, item, s
 
     def _near(self, prints: np.ndarray, n: int) -> np.ndarray:
-        """Which items of n words share a block with each print but for LOCAL bits: the lists of the block values near its own."""
+        """Which items of n words share a block with each print but for LOCAL bits: from the lists of the block values near its own, or one by one where items are few."""
         order, begin = self.order[n], self.begin[n]
         near = np.zeros((len(prints), len(order)), bool)
+        if len(order) <= FEW:
+            for b in range(BLOCKS):
+                near |= _IS_NEAR[prints[:, b][:, None], self.prints[n][:, b][None, :]]
+            return near
         for b in range(BLOCKS):
             for value in np.unique(prints[:, b]).tolist():
                 lists = [order[begin[b, v] : begin[b, v + 1], b] for v in _NEAR[value] if begin[b, v] < begin[b, v + 1]]

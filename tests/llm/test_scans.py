@@ -59,6 +59,20 @@ def test_decontamination_equals_brute_force(spark, make):
     assert contaminated(make([]), bench).count() == 0 and contaminated(make(docs), bench.limit(0)).count() == 0
 
 
+def test_block_lists_equal_comparing_one_by_one(monkeypatch):
+    from tessera.llm import decontaminate as D
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(12)) for _ in range(60)]
+    index = D.ItemIndex(list(range(60)), texts, 5, 0.8)
+    prints = np.random.default_rng(1).integers(0, 256, (90, D.BLOCKS)).astype(np.uint8)
+    prints[:60] = index.prints[12]
+    near = [index._near(prints, 12) for few in (0, 10**6) if not monkeypatch.setattr(D, "FEW", few)]
+    assert (near[0] == near[1]).all() and near[0][np.arange(60), np.arange(60)].all()
+    far = np.array([[np.unpackbits(a ^ b).reshape(D.BLOCKS, 8).sum(1).min() > D.LOCAL for b in index.prints[12]] for a in prints])
+    assert (near[0] == ~far).all()
+
+
 def padding(lengths, counts, bounds):
     return sum(n * (min(b for b in bounds if b >= x) - x) for x, n in zip(lengths, counts, strict=True))
 
