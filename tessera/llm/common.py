@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: A group of copies counts as hot when it holds over 1/HOT_SHARE of all rows, so
 #: there are never more than HOT_SHARE hot groups: that bounds what is broadcast.
 HOT_SHARE = 1000
-MANY_EDGES = 4_000_000
+#: Rows up to which the rows of one key burden no task: a third of them are read by one in about a minute, without holding them.
+MANY_ROWS = 50_000_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -130,6 +131,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return of_hot.unionByName(rest.join(groups.filter(F.col(size) <= hot_size), key, "left").select(*of_hot.columns))
 
 
+def join_large(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """The inner join of rows with their group's row: by join_groups from MANY_ROWS rows on, plainly below.
+
+    Both give the same rows; the plain join has the shorter plan, which spares the
+    driver where many rounds follow each other.
+    """
+    if total < MANY_ROWS:
+        return rows.join(groups, key)
+    return join_groups(rows, groups, key, size, total).filter(F.col(size).isNotNull())
+
+
 def join_salted(rows: DataFrame, wide: DataFrame, key: str, by: Column, total: int) -> DataFrame:
     """Join each of ``total`` rows to wide's row of its key, however wide that row is.
 
@@ -148,23 +160,17 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges(a, b); component is the least id reachable.
 
     Alternates the large-star and small-star steps; each round is written, and
-    the rounds stop when the edge set no longer changes.  From MANY_EDGES on, the
-    edges of a hub are spread by join_groups; fewer rows burden no task, and the
-    shorter plans spare the driver.
+    the rounds stop when the edge set no longer changes.
     """
-
-    def least_of(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
-        return join_groups(rows, least, "a", "degree", n) if n >= MANY_EDGES else rows.join(least, "a")
-
     now = stages.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen, total = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("degree"))
-        large = least_of(both.filter("b > a"), least, 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = join_large(both.filter("b > a"), least, "a", "degree", 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.filter("a <> b")
         best = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
-        small = least_of(down, best, total).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        small = join_large(down, best, "a", "degree", total).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
         nxt = stages.keep(small, "star")
         row = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(row) == seen:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stages, connected_components, join_groups, join_salted
+from .common import Stages, connected_components, join_groups, join_large, join_salted
 from .textkit import U, chunks, mix, texts_of, windows, words_of
 
 SIZE = 128  # coordinates of a sketch
@@ -136,7 +136,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Data
     spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
     n_spread = classes.count() * (SIZE // BAND_ROWS)
     shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    members = stages.keep(join_groups(spread, shared, "bucket", "m", n_spread).filter("m is not null").select("bucket", "id", "n", "m"), "buckets")
+    members = stages.keep(join_large(spread, shared, "bucket", "m", n_spread).select("bucket", "id", "n", "m"), "buckets")
     met = members.select("id", "n").distinct()
     reps = classes.join(met.select("id"), "id", "left_semi").select("id", F.col("key").alias("rep_key"), F.col("doc_id").alias("rep_id"))
     texts = base.join(reps, (F.col("key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("id", "text").dropDuplicates(["id"])

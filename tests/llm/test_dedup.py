@@ -75,7 +75,7 @@ def test_near_without_ids_or_rows(make):
 def test_components_on_either_route(spark, tmp_path, monkeypatch, many):
     import tessera.llm.common as C
 
-    monkeypatch.setattr(C, "MANY_EDGES", many)
+    monkeypatch.setattr(C, "MANY_ROWS", many)
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000, k) for k in range(2000, 2400)] + [(k, k + 1) for k in range(3000, 3040)]
     parent = {x: x for e in edges for x in e}
@@ -92,7 +92,9 @@ def test_components_on_either_route(spark, tmp_path, monkeypatch, many):
     assert {r["id"]: r["component"] for r in got.collect()} == {x: root(x) for e in edges if e[0] != e[1] for x in e}
 
 
-def test_near_with_repeated_ids(make):
+@pytest.mark.parametrize("many", [1, 10**9])
+def test_near_with_repeated_ids(make, monkeypatch, many):
+    monkeypatch.setattr("tessera.llm.common.MANY_ROWS", many)
     a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
     near_a, near_b = a.replace("a39", "z"), b.replace("b39", "z")
     rows = [(7, a), (7, b), (3, near_a), (9, near_b), (None, c), (None, c.replace("c39", "z")), (5, c.replace("c0 ", "y ")), (1, None), (1, "")]
