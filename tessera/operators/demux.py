@@ -53,26 +53,31 @@ def correct_barcodes(observed: DataFrame, whitelist: DataFrame, width: int, mism
     mismatches.  With an N, only the first is tried with each base, and exactly
     one must be an entry; further N's count as T.  Without mismatches only entries
     stay.  A word of A's is an entry like any other.  Both sides meet on their codes
-    with the bases at each choice of ``mismatches`` places cleared, an equality
-    on whole words: a barcode meets no entry that is farther away than that.
+    with each choice of ``mismatches`` pairs of neighbouring bases cleared: at most
+    16 entries share such a code for every pair cleared, and the bases are compared
+    then.  The spread sides are never broadcast, as their sizes are guessed from
+    the tables before they are spread; only pairs that match are grouped.
     The observed side is read once; a word of up to 31 bases fits a code.
     """
     if not 1 <= width <= 31:
         raise ValueError("a code holds 1 to 31 bases")
     every = (1 << 2 * width) - 1
-    clear = [every ^ sum(3 << 2 * p for p in places) for places in itertools.combinations(range(width), mismatches)]
-    masks = F.array(*[F.lit(m).cast("long") for m in clear])
+    pairs = [every & (15 << 4 * p) for p in range((width + 1) // 2)]
+    masks = F.array(*[F.lit(every ^ sum(places)).cast("long") for places in itertools.combinations(pairs, min(mismatches, len(pairs)))])
     entries = whitelist.select(S.encode(F.col("barcode")).alias("entry")).distinct()
     seen = observed.select("barcode").distinct().withColumn("code", S.encode(F.col("barcode"))).withColumn("first_n", F.instr("barcode", "N"))
-    known = seen.join(entries, (F.col("code") == F.col("entry")) & (F.col("first_n") == 0), "left").select("barcode", "code", "first_n", F.col("entry").alias("exact"))
-    # what to look up: (number of the choice, cleared code); -1 is the whole word
+    known = seen.join(entries.hint("merge"), (F.col("code") == F.col("entry")) & (F.col("first_n") == 0), "left").select("barcode", "code", "first_n", F.col("entry").alias("exact"))
+    # what to look up: (number of the choice, cleared code); -1 is the whole word, -2 meets nothing and keeps the barcode
     tried = F.array(*[F.struct(F.lit(-1).alias("k"), S.encode(F.overlay("barcode", F.lit(b), F.col("first_n"), F.lit(1))).alias("word")) for b in "ACGT"])
     cleared = F.transform(masks, lambda m, k: F.struct(k.alias("k"), F.col("code").bitwiseAND(m).alias("word")))
     nothing = F.array().cast("array<struct<k: int, word: bigint>>")
-    near = cleared if mismatches else nothing
-    probes = known.select("barcode", "exact", F.explode_outer(F.when(F.col("exact").isNotNull(), nothing).when(F.col("first_n") > 0, tried if mismatches else nothing).otherwise(near)).alias("s")).select("barcode", "exact", "s.k", "s.word")
+    itself = F.array(F.struct(F.lit(-2).alias("k"), F.col("code").alias("word")))
+    look = F.when(F.col("exact").isNotNull() | F.lit(not mismatches), nothing).when(F.col("first_n") > 0, tried).otherwise(cleared)
+    probes = known.select("barcode", "code", "exact", F.explode(F.concat(itself, look)).alias("s")).select("barcode", "code", "exact", "s.k", "s.word")
     spread = entries.select("entry", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("k"), F.col("entry").alias("word"))), F.transform(masks, lambda m, k: F.struct(k.alias("k"), F.col("entry").bitwiseAND(m).alias("word"))))).alias("s")).select("entry", "s.k", "s.word")
-    found = probes.join(spread, ["k", "word"], "left").groupBy("barcode").agg(F.max("exact").alias("exact"), F.min("entry").alias("low"), F.max("entry").alias("high"))
+    near = (F.col("k") == -1) | (S.hamming_codes(F.col("code").bitwiseAND(F.lit(every)), F.col("entry").bitwiseAND(F.lit(every))) <= mismatches)
+    met = probes.join(spread.hint("merge"), ["k", "word"], "left").filter((F.col("k") == -2) | (F.col("entry").isNotNull() & near))
+    found = met.groupBy("barcode").agg(F.max("exact").alias("exact"), F.min("entry").alias("low"), F.max("entry").alias("high"))
     return found.select("barcode", S.decode(F.coalesce("exact", F.when(F.col("low") == F.col("high"), F.col("low"))), width).alias("corrected"))
 
 

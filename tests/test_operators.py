@@ -85,6 +85,18 @@ def test_barcode_correction_equals_brute_force(spark, d):
     assert {r["barcode"]: r["corrected"] for r in got.collect()} == {b: corrected_by_hand(b, entries, d) for b in seen}
 
 
+@pytest.mark.parametrize(("width", "d"), [(5, 1), (7, 2), (7, 3), (2, 2)])
+def test_barcode_correction_spreads_without_broadcasts(spark, width, d):
+    rng = random.Random(width + d)
+    entries = {"".join(rng.choice("ACGT") for _ in range(width)) for _ in range(30)} | {"A" * width}
+    seen = {"".join(rng.choice("ACGTN" if rng.random() < 0.2 else "ACGT") for _ in range(width)) for _ in range(200)} | set(list(entries)[:5]) | {"N" * width}
+    got = demux.correct_barcodes(spark.createDataFrame([(x,) for x in [*seen, None]], "barcode string"), spark.createDataFrame([(x,) for x in entries], "barcode string"), width, d)
+    rows = got.collect()
+    assert {r["barcode"]: r["corrected"] for r in rows} == {b: corrected_by_hand(b, entries, d) for b in seen} | {None: None} and len(rows) == len(seen) + 1
+    # the spread whitelist is many times the size that Spark guesses for it
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sequence_functions(spark):
     df = spark.createDataFrame([("ACGTN", "!!5I~", 7)], "s string, q string, n long")
     r = df.select(
