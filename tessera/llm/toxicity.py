@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Stages
 from .language_id import held_out
 from .textkit import U, chunks, texts_of, words_of
 
@@ -17,6 +19,10 @@ DIM = 16
 FILTERS = 8
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 5)  # bytes of a word's beginnings that are hashed besides the whole word
+LEARNER_ROWS = 2_000  # rows that one learner gets at least, so that few rows are not learnt in vain by many
+LEARNERS = 256  # at once; they read all rows however many there are
+_BLOCK = 1 << 16  # places whose responses are held at a time
+_ROWS = 1 << 10  # embedding rows that are averaged together
 _PAD = max(WIDTHS)  # rows of padding after each text: an empty text still spans one window
 
 
@@ -61,57 +67,28 @@ class TextCnn:
             out[:, k * FILTERS : (k + 1) * FILTERS] = r
         return out
 
-    def fit(self, texts: list, labels: np.ndarray, epochs: int = 5, batch: int = 32, rate: float = 0.05, decay: float = 1e-4, seed: int = 11) -> TextCnn:
-        """Adagrad on the log loss; the gradient passes only through the places that pooling chose."""
-        rng = np.random.default_rng(seed)
-        squares = {k: np.full(v.shape, 1e-3, np.float32) for k, v in (("e", self.embedding), ("b", self.bias), ("w", self.weights), *((f"f{k}", f) for k, f in enumerate(self.filters)))}
-
-        def step(name: str, value: np.ndarray, grad: np.ndarray) -> None:
-            squares[name] += grad * grad
-            value -= rate * grad / np.sqrt(squares[name])
+    def _peaks(self, rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each filter responds most in each text, and how much; a long text in blocks."""
+        if len(rows) <= _BLOCK:
+            r = self._responses(self.embedding[rows].sum(axis=1))
+            place = np.stack([s + r[s : s + max(1, n)].argmax(axis=0) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
+            return place, r[place, np.arange(r.shape[1])[None, :]]
+        place = np.zeros((len(starts), len(WIDTHS) * FILTERS), np.int64)
+        most = np.full(place.shape, -np.inf, np.float32)
+        for i, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+            end = s + max(1, n)
+            for at in range(s, end, _BLOCK):
+                r = self._responses(self.embedding[rows[at : min(end, at + _BLOCK) + _PAD - 1]].sum(axis=1))
+                best = r.max(axis=0)
+                place[i] = np.where(best > most[i], at + r.argmax(axis=0), place[i])
+                most[i] = np.maximum(most[i], best)
+        return place, most
 
-        labels = np.asarray(labels, np.float32)
-        offset_square = 1e-3
-        cut = [_features([t])[0] for t in texts]
+    def fit(self, texts: list, labels: np.ndarray, epochs: int = 5, seed: int = 11) -> TextCnn:
+        """Learn from texts in memory."""
+        state, rng = Learning.start(self), np.random.default_rng(seed)
         for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for a in range(0, len(order), batch):
-                ids = order[a : a + batch]
-                rows = np.concatenate([cut[i] for i in ids])
-                sizes = np.array([len(cut[i]) - _PAD for i in ids])
-                starts = np.cumsum(sizes + _PAD) - sizes - _PAD
-                x = self.embedding[rows].sum(axis=1)
-                r = self._responses(x)
-                place = np.stack([s + r[s : s + max(1, n)].argmax(axis=0) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
-                cols = np.arange(r.shape[1])
-                pre = r[place, cols[None, :]] + self.bias
-                pooled = np.maximum(pre, 0)
-                p = 1 / (1 + np.exp(-np.clip(pooled @ self.weights + self.offset, -30, 30)))
-                err = (p - labels[ids]) / len(ids)
-                to_pre = (err[:, None] * self.weights[None, :]) * (pre > 0)
-                grad_w = pooled.T @ err + decay * self.weights
-                touched_rows, touched = [], []
-                for k, f in enumerate(self.filters):
-                    own = slice(k * FILTERS, (k + 1) * FILTERS)
-                    g, at = to_pre[:, own], place[:, own]
-                    grad_f = np.zeros_like(f)
-                    for j in range(len(f)):
-                        grad_f[j] = np.einsum("nfd,nf->df", x[at + j], g)
-                        touched_rows.append(rows[at + j].reshape(-1, rows.shape[1]))
-                        touched.append((g[:, :, None] * f[j].T[None, :, :]).reshape(-1, DIM))
-                    step(f"f{k}", f, grad_f + decay * f)
-                step("b", self.bias, to_pre.sum(axis=0))
-                step("w", self.weights, grad_w)
-                offset_square += float(err.sum()) ** 2
-                self.offset -= rate * float(err.sum()) / offset_square**0.5
-                at_rows, inverse = np.unique(np.concatenate(touched_rows), return_inverse=True)
-                inverse = inverse.reshape(-1, rows.shape[1])
-                grad_e, every = np.zeros((len(at_rows), DIM), np.float32), np.concatenate(touched)
-                for k in range(rows.shape[1]):
-                    np.add.at(grad_e, inverse[:, k], every)
-                grad_e[at_rows == BUCKETS] = 0
-                squares["e"][at_rows] += grad_e * grad_e
-                self.embedding[at_rows] -= rate * grad_e / np.sqrt(squares["e"][at_rows])
+            state.learn(texts, labels, rng)
         return self
 
     def tables(self) -> np.ndarray:
@@ -138,6 +115,97 @@ class TextCnn:
         return 1 / (1 + np.exp(-np.clip(pooled @ self.weights + self.offset, -30, 30)))
 
 
+@dataclass
+class Learning:
+    """A network with the squares of Adagrad."""
+
+    network: TextCnn
+    squares: dict[str, np.ndarray]
+
+    @classmethod
+    def start(cls, network: TextCnn) -> Learning:
+        return cls(network, {k: np.full(v.shape, 1e-3, np.float32) for k, v in (("e", network.embedding), *_dense(network).items(), ("o", np.zeros(1)))})
+
+    def learn(self, texts: list, labels: np.ndarray, rng: np.random.Generator, batch: int = 32, rate: float = 0.05, decay: float = 1e-4) -> int:
+        """Adagrad on the log loss, once over the texts; the gradient passes only through the places that pooling chose.  The number of batches."""
+        net, squares, labels = self.network, self.squares, np.asarray(labels, np.float32)
+        dense = _dense(net)
+
+        def step(name: str, grad: np.ndarray) -> None:
+            squares[name] += grad * grad
+            dense[name][...] -= rate * grad / np.sqrt(squares[name])
+
+        whole, begin, count = _features(texts)
+        order = rng.permutation(len(texts))
+        for a in range(0, len(order), batch):
+            ids = order[a : a + batch]
+            rows = np.concatenate([whole[begin[i] : begin[i] + count[i] + _PAD] for i in ids])
+            sizes = count[ids]
+            starts = np.cumsum(sizes + _PAD) - sizes - _PAD
+            place, peak = net._peaks(rows, starts, sizes)
+            pre = peak + net.bias
+            pooled = np.maximum(pre, 0)
+            p = 1 / (1 + np.exp(-np.clip(pooled @ net.weights + net.offset, -30, 30)))
+            err = (p - labels[ids]) / len(ids)
+            to_pre = (err[:, None] * net.weights[None, :]) * (pre > 0)
+            grad_w = pooled.T @ err + decay * net.weights
+            touched_rows, touched = [], []
+            for k, f in enumerate(net.filters):
+                own = slice(k * FILTERS, (k + 1) * FILTERS)
+                g, at = to_pre[:, own], place[:, own]
+                grad_f = np.zeros_like(f)
+                for j in range(len(f)):
+                    grad_f[j] = np.einsum("nfd,nf->df", net.embedding[rows[at + j]].sum(axis=2), g)
+                    touched_rows.append(rows[at + j].reshape(-1, rows.shape[1]))
+                    touched.append((g[:, :, None] * f[j].T[None, :, :]).reshape(-1, DIM))
+                step(f"f{k}", grad_f + decay * f)
+            step("b", to_pre.sum(axis=0))
+            step("w", grad_w)
+            squares["o"] += float(err.sum()) ** 2
+            net.offset -= rate * float(err.sum()) / float(squares["o"][0]) ** 0.5
+            at_rows, inverse = np.unique(np.concatenate(touched_rows), return_inverse=True)
+            inverse = inverse.reshape(-1, rows.shape[1])
+            grad_e, every = np.zeros((len(at_rows), DIM), np.float32), np.concatenate(touched)
+            for k in range(rows.shape[1]):
+                np.add.at(grad_e, inverse[:, k], every)
+            grad_e[at_rows == BUCKETS] = 0
+            squares["e"][at_rows] += grad_e * grad_e
+            net.embedding[at_rows] -= rate * grad_e / np.sqrt(squares["e"][at_rows])
+        return -(-len(order) // batch)
+
+    def copy(self) -> Learning:
+        n = self.network
+        return Learning(TextCnn(n.embedding.copy(), [f.copy() for f in n.filters], n.bias.copy(), n.weights.copy(), n.offset), {k: v.copy() for k, v in self.squares.items()})
+
+    def words(self) -> np.ndarray:
+        """A row for each row of the embedding, with its squares."""
+        return np.concatenate([self.network.embedding, self.squares["e"]], axis=1)
+
+    def rest(self) -> np.ndarray:
+        """Everything else in one row."""
+        dense = _dense(self.network)
+        return np.concatenate([*(v.ravel() for v in dense.values()), *(self.squares[k].ravel() for k in dense), [self.network.offset], self.squares["o"]]).astype(np.float32)[None, :]
+
+    def moved(self, words: dict[int, tuple[np.ndarray, np.ndarray]], rest: np.ndarray) -> Learning:
+        """The state after these changes of some rows of words() and of rest()."""
+        out, at = self.copy(), 0
+        for ids, change in words.values():
+            out.network.embedding[ids] += change[:, :DIM]
+            out.squares["e"][ids] += change[:, DIM:]
+        dense = _dense(out.network)
+        for v in (*dense.values(), *(out.squares[k] for k in dense)):
+            v += rest[0, at : at + v.size].reshape(v.shape)
+            at += v.size
+        out.network.offset += float(rest[0, at])
+        out.squares["o"] += rest[0, at + 1]
+        return out
+
+
+def _dense(network: TextCnn) -> dict[str, np.ndarray]:
+    """The arrays that every batch changes."""
+    return {**{f"f{k}": f for k, f in enumerate(network.filters)}, "b": network.bias, "w": network.weights}
+
+
 @dataclass
 class ToxicityModel:
     network: TextCnn
@@ -157,39 +225,113 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float((scores[order[k]] + after) / 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, epochs: int = 5, longest: int = 100_000) -> ToxicityModel | None:
-    """Fit on labelled rows that are not held out; None if both labels do not occur.
+def learning_round(rows: DataFrame, state: Learning, number: int) -> Learning:
+    """One pass over all rows(text, toxic): each partition learns its own from the same state, and the changes are averaged.
+
+    A row of the embedding takes the mean over the learners that met it, by their
+    batches.  The mean is made in the cluster, so the driver gets one network.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(state)
+
+    def learn(frames):
+        own, learner, batches = shared.value.copy(), TaskContext.get().partitionId(), 0
+        rng = np.random.default_rng((11, number, learner))
+        for part in chunks(frames):
+            batches += own.learn(texts_of(part["text"]), part["toxic"].to_numpy(int), rng)
+        if batches:
+            before = shared.value
+            change = own.words() - before.words()
+            ids = np.flatnonzero((own.squares["e"] != before.squares["e"]).any(axis=1)).astype(np.int32)
+            for block in np.unique(ids // _ROWS).tolist():
+                some = ids[ids // _ROWS == block]
+                yield pd.DataFrame({"block": [block], "learner": [learner], "batches": [batches], "ids": [some.tobytes()], "change": [change[some].tobytes()]})
+            yield pd.DataFrame({"block": [-1], "learner": [learner], "batches": [batches], "ids": [np.zeros(1, np.int32).tobytes()], "change": [(own.rest() - before.rest()).tobytes()]})
+
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("learner")
+        ids = [np.frombuffer(x, np.int32) for x in frame["ids"]]
+        every = np.unique(np.concatenate(ids))
+        total, weight = None, np.zeros(len(every))
+        for own, change, n in zip(ids, frame["change"], frame["batches"], strict=True):
+            change = np.frombuffer(change, np.float32).reshape(len(own), -1)
+            total = np.zeros((len(every), change.shape[1])) if total is None else total
+            at = np.searchsorted(every, own)
+            total[at] += change * float(n)
+            weight[at] += n
+        out = (total / weight[:, None]).astype(np.float32)
+        return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "ids": [every.tobytes()], "change": [out.tobytes()]})
+
+    changes = rows.select("text", "toxic").mapInPandas(learn, "block int, learner int, batches long, ids binary, change binary")
+    found = changes.groupBy("block").applyInPandas(mean, "block int, ids binary, change binary").collect()
+    shared.destroy()
+    got = {r["block"]: (ids := np.frombuffer(r["ids"], np.int32), np.frombuffer(r["change"], np.float32).reshape(len(ids), -1)) for r in found}
+    if not got:
+        return state
+    rest = got.pop(-1)[1]
+    return state.moved(got, rest)
+
 
-    At most per_class rows of each label are learnt from, chosen by a hash of
-    the id, each with its whole text; texts of over ``longest`` characters are
-    not learnt from, so what reaches the driver is bounded.  A quarter of the rows
-    calibrates one threshold per language instead; a language without positives
-    there takes the threshold over all.  Of rows repeating an id, one with the
-    greatest label counts and one text, the first in order.
+def thresholds(scored: DataFrame) -> tuple[dict[str, float], float]:
+    """For scored(lang, score, toxic): best_threshold of every language with a positive, and over all rows, from counts by score.
+
+    Scores are counted down within steps of their logit and, over the steps of a
+    language, from the sums of the steps, so that no task gets a whole language.
     """
-    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.filter(~held_out(F.col("doc_id")))
-    chosen = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for t in (0, 1)]
-    picked = chosen[0].unionByName(chosen[1])
-    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= longest).select("doc_id", "text", "lang")
-    one = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("r"))
-    rows = one.select("doc_id", "toxic", "r.text", "r.lang").toPandas().sort_values("doc_id")
-    if rows["toxic"].nunique() < 2:
+    stages = Stages(scored.sparkSession, "thresholds")
+    groups = F.array(F.struct(F.lit(True).alias("every"), F.lit("").alias("lang")), F.struct(F.lit(False).alias("every"), F.col("lang")))
+    inner = F.least(F.greatest(F.col("score"), F.lit(1e-13)), F.lit(1 - 1e-13))
+    rows = scored.select(F.explode(groups).alias("g"), "score", "toxic", F.floor(F.ln(inner / (1 - inner)) * 256).cast("int").alias("step")).filter("g.lang is not null")
+    by = stages.keep(rows.groupBy("g.every", "g.lang", "step", "score").agg(F.count("*").alias("n"), F.sum("toxic").alias("hit")), "scores")
+    group, step = Window.partitionBy("every", "lang"), Window.partitionBy("every", "lang", "step").orderBy(F.desc("score"))
+    steps = by.groupBy("every", "lang", "step").agg(F.sum("n").alias("sn"), F.sum("hit").alias("sh"), F.max("score").alias("top"))
+    down = group.orderBy(F.desc("step"))
+    steps = steps.select("every", "lang", "step", (F.sum("sn").over(down) - F.col("sn")).alias("n0"), (F.sum("sh").over(down) - F.col("sh")).alias("hit0"), F.sum("sh").over(group).alias("total"), F.coalesce(F.lead("top").over(down), F.lit(0.0)).alias("below"))
+    sums = by.join(steps.filter("total > 0"), ["every", "lang", "step"]).select("every", "lang", "score", "total", (F.col("n0") + F.sum("n").over(step)).alias("marked"), (F.col("hit0") + F.sum("hit").over(step)).alias("hits"), F.coalesce(F.lead("score").over(step), "below").alias("after"))
+    f1 = 2 * F.col("hits") / (F.col("marked") + F.col("total"))
+    best = sums.groupBy("every", "lang").agg(F.max_by((F.col("score") + F.col("after")) / 2, F.struct(f1, "score")).alias("t")).collect()
+    stages.drop()
+    return {r["lang"]: r["t"] for r in best if not r["every"]}, next((r["t"] for r in best if r["every"]), 0.5)
+
+
+def train(docs: DataFrame, labels: DataFrame, epochs: int = 5) -> ToxicityModel | None:
+    """Fit on all labelled rows that are not held out, each with its whole text; None if both labels do not occur.
+
+    The rows stay in the cluster: in every epoch each partition learns its rows
+    from the same network and the networks are averaged, see learning_round.  A
+    quarter of the ids, by hash, calibrates one threshold per language instead; a
+    language without positives there takes the threshold over all.  Of labels
+    repeating an id the greatest counts; every row of documents with that id is learnt.
+    Labels are never broadcast, as they grow with the documents.
+    """
+    known = labels.filter(F.col("toxic").cast("int").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    own = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang").join(known.hint("merge"), "doc_id")
+    own = own.withColumns({"mixed": F.xxhash64("doc_id"), "checks": F.xxhash64("doc_id").bitwiseAND(F.lit(3)) == 0})
+    stages = Stages(docs.sparkSession, "toxicity")
+    rows = stages.keep(own.sortWithinPartitions("mixed", "doc_id", "text", "lang").select("text", "lang", "toxic", "checks"), "rows")
+    sizes = {(r["toxic"], r["checks"]): r["n"] for r in rows.groupBy("toxic", "checks").agg(F.count("*").alias("n")).collect()}
+    if len({toxic for toxic, _ in sizes}) < 2:
         return None
-    texts, y = texts_of(rows["text"]), rows["toxic"].to_numpy(int)
-    check = np.random.default_rng(3).permutation(len(rows)) % 4 == 0
-    network = TextCnn.start().fit([t for t, c in zip(texts, check, strict=True) if not c], y[~check], epochs)
-    tables = network.tables()
-    held = np.flatnonzero(check)
-    scores = np.concatenate([network.score([texts[i] for i in held[k : k + 100]], tables) for k in range(0, len(held), 100)]) if len(held) else np.zeros(0)
-    langs = rows["lang"].to_numpy(object)[held]
-    default = best_threshold(scores, y[held])
-    by = {}
-    for name in {x for x in langs if isinstance(x, str)}:
-        own = langs == name
-        if y[held][own].any():
-            by[name] = best_threshold(scores[own], y[held][own])
-    return ToxicityModel(network, by, default)
+    learnt = rows.filter("not checks").coalesce(max(1, min(LEARNERS, sum(n for (_, checks), n in sizes.items() if not checks) // LEARNER_ROWS)))
+    state = Learning.start(TextCnn.start())
+    for number in range(epochs):
+        state = learning_round(learnt, state, number)
+    model = ToxicityModel(state.network, {}, 0.5)
+    scored = _scored(rows.filter("checks").select("text", "lang", "toxic"), model, "lang string, toxic int, score double")
+    by, default = thresholds(scored)
+    stages.drop()
+    return ToxicityModel(state.network, by, default)
+
+
+def _scored(rows: DataFrame, model: ToxicityModel, schema: str) -> DataFrame:
+    """The other columns of rows(text, ...) with the score of the text."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.network, model.network.tables()))
+
+    def run(frames):
+        network, tables = shared.value
+        for part in chunks(frames):
+            yield part.drop(columns="text").assign(score=network.score(texts_of(part["text"]), tables).astype(float))
+
+    return rows.mapInPandas(run, schema)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:

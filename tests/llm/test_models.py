@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tessera.llm import toxicity
 from tessera.llm.language_id import LanguageFilter, grams, held_out, identify, keep_identified, train
-from tessera.llm.toxicity import TextCnn, _features, best_threshold, score_toxicity
+from tessera.llm.toxicity import Learning, TextCnn, _features, best_threshold, learning_round, score_toxicity, thresholds
 from tessera.llm.toxicity import train as train_toxicity
 
 PARTS = {"en": "the ing tion er th on re".split(), "de": "sch ung keit ein ge ver ü".split(), "fr": "eau oi ment é que aux ier".split()}
@@ -158,3 +160,51 @@ def test_learning_from_empty_texts(spark, make):
 def test_best_threshold():
     assert best_threshold(np.array([0.1, 0.9, 0.8]), np.array([0, 1, 1])) == (0.8 + 0.1) / 2
     assert best_threshold(np.array([0.1]), np.array([0])) == 0.5
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, make):
+    """A word that only one text has gets its embedding from that text, however many rows there are and however long they are."""
+    n = 4000
+    texts = {i: f"w{i}" if i % 100 else f"w{i} " * 25_000 for i in range(n)}
+    model = train_toxicity(make(list(texts.items())), spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int"), epochs=1)
+    checks = {r["id"] for r in spark.range(n).filter(F.xxhash64("id").bitwiseAND(F.lit(3)) == 0).collect()}
+    learnt = [i for i in range(n) if i not in checks and zlib.crc32(str(i).encode()) % 4 != 2]
+    at = _features([f"w{i}" for i in learnt])
+    own = at[0][at[1], 0]
+    changed = (model.network.embedding[own] != TextCnn.start().embedding[own]).any(axis=1)
+    assert len(learnt) > 2000 and any(len(texts[i]) > 100_000 for i in learnt) and changed.all()
+
+
+def test_a_round_averages_what_its_learners_change(spark):
+    rows = [("a b scum", 1), ("a c", 0), ("d e f", 0), ("a scum", 1), (None, 0), ("", 1)]
+    parts = [rows[:2], rows[2:]]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).mapPartitionsWithIndex(lambda k, _: parts[k]), "text string, toxic int")
+    start = Learning.start(TextCnn.start())
+    got = learning_round(df, start, 4)
+    alone = [start.copy() for _ in parts]
+    for k, (own, part) in enumerate(zip(alone, parts, strict=True)):
+        own.learn([t for t, _ in part], np.array([y for _, y in part]), np.random.default_rng((11, 4, k)))
+    met = [(x.squares["e"] != start.squares["e"]).any(axis=1) for x in alone]
+    change = sum(x.words() - start.words() for x in alone) / np.maximum(1, sum(m.astype(int) for m in met))[:, None]
+    assert (met[0] & met[1]).any() and (met[0] ^ met[1]).any() and np.allclose(got.words(), start.words() + change, atol=1e-6)
+    assert np.allclose(got.rest(), (alone[0].rest() + alone[1].rest()) / 2, atol=1e-5)
+    assert learning_round(df.limit(0), start, 0) is start
+
+
+def test_peaks_of_long_texts_in_blocks(monkeypatch):
+    rows, starts, sizes = _features(["a b c d e f g h i j k l m n o p q r s t", "", "x y", " ".join(f"z{k}" for k in range(40))])
+    want = TextCnn.start()._peaks(rows, starts, sizes)
+    monkeypatch.setattr(toxicity, "_BLOCK", 7)
+    got = TextCnn.start()._peaks(rows, starts, sizes)
+    assert (got[0] == want[0]).all() and np.allclose(got[1], want[1])
+
+
+def test_thresholds_equal_the_plain_ones(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["en", "de", None]), rng.random(), rng.randrange(2)) for _ in range(300)] + [("fr", 0.99, 0), ("es", 0.5, 1)]
+    by, default = thresholds(spark.createDataFrame(rows, "lang string, score double, toxic int"))
+    plain = lambda own: best_threshold(np.array([s for _, s, _ in own]), np.array([y for *_, y in own]))
+    assert by == {x: plain([r for r in rows if r[0] == x]) for x in ("en", "de", "es")} and default == plain(rows)
+    assert thresholds(spark.createDataFrame([], "lang string, score double, toxic int")) == ({}, 0.5)
+    # a tie is marked as a whole
+    assert thresholds(spark.createDataFrame([("en", 0.9, 1), ("en", 0.9, 0), ("en", 0.1, 0)], "lang string, score double, toxic int"))[1] == 0.5
